@@ -17,6 +17,13 @@ SETTINGS = {
 }
 
 
+def rely_on_aqe(spark: SparkSession) -> None:
+    """Switch on the adaptive options the plans count on against hot keys, whatever the session."""
+    for key, value in SETTINGS.items():
+        if key.startswith("spark.sql.adaptive."):
+            spark.conf.set(key, value)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in SETTINGS.items():
@@ -32,6 +39,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
