@@ -22,11 +22,9 @@ def net_children(
     ``defaults`` fills parents without children; columns not listed there stay NULL.
     """
     totals = child.groupBy(key).agg(*[expr.alias(name) for name, expr in aggregates.items()])
-    joined = parent.join(totals, key, "left")
-    for name, default in defaults.items():
-        joined = joined.withColumn(name, F.coalesce(F.col(name), default))
-    return joined
-
-
-def any_true(condition: Column) -> Column:
-    return F.bool_or(condition)
+    kept = [name for name in parent.columns if name != key]
+    filled = [
+        (F.coalesce(F.col(name), defaults[name]) if name in defaults else F.col(name)).alias(name)
+        for name in aggregates
+    ]
+    return parent.join(totals, key, "left").select(key, *kept, *filled)

@@ -76,10 +76,13 @@ def overlap_period(
     """
     first_day = periods.agg(F.min("period_start_date")).scalar()
     last_day = periods.agg(F.max("period_end_date")).scalar()
-    clamped = df.withColumn("_from", F.greatest(F.col(start), first_day)).withColumn(
-        "_to", F.least(F.coalesce(F.col(end), last_day), last_day)
+    clamped = df.select(
+        "*",
+        F.greatest(F.col(start), first_day).alias("_from"),
+        F.least(F.coalesce(F.col(end), last_day), last_day).alias("_to"),
     )
-    left = clamped.withColumn("_month", F.explode(steps(month_of("_from"), month_of("_to"), "INTERVAL 1 MONTH")))
+    months = steps(month_of("_from"), month_of("_to"), "INTERVAL 1 MONTH")
+    left = clamped.select("*", F.explode(months).alias("_month"))
     right = periods.select(
         *columns,
         F.col("period_start_date").alias("_p_start"),
@@ -104,7 +107,7 @@ def with_tax(
     """``round(amount * tax_rate, 2)``; a region without a rate is taxed at 0, never dropped."""
     rated = df.join(rates.select(F.col("region").alias("_region"), "tax_rate"), F.col(region) == F.col("_region"), "left")
     tax = F.round(F.col(amount) * F.coalesce(F.col("tax_rate"), F.lit(0).cast("decimal(6,4)")), 2)
-    return rated.withColumn(name, tax.cast("decimal(18,2)")).drop("_region", "tax_rate")
+    return rated.select(*df.columns, tax.cast("decimal(18,2)").alias(name))
 
 
 def cash_by_period(df: DataFrame, date_col: str, periods: DataFrame, aggregates: dict) -> DataFrame:

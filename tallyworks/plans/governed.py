@@ -130,6 +130,11 @@ def _over(numerator: Column, denominator: Column) -> Column:
     return F.when(denominator > 0, numerator / denominator)
 
 
+def _share(numerator: Column, denominator: Column) -> Column:
+    """The same for money: an exact decimal, rounded to ten places."""
+    return F.when(denominator > 0, F.round(numerator / denominator, 10).cast("decimal(38,10)"))
+
+
 def _kept(m: Mapping[str, Column]) -> Column:
     return m["opening_mrr"] - m["contraction_mrr"] - m["churned_mrr"]
 
@@ -165,17 +170,17 @@ METRICS = (
     Metric(
         "churn_rate",
         inputs=("churned_mrr", "opening_mrr"),
-        formula=lambda m: _over(m["churned_mrr"], m["opening_mrr"]),
+        formula=lambda m: _share(m["churned_mrr"], m["opening_mrr"]),
     ),
     Metric(
         "gross_revenue_retention",
         inputs=("opening_mrr", "contraction_mrr", "churned_mrr"),
-        formula=lambda m: _over(_kept(m), m["opening_mrr"]),
+        formula=lambda m: _share(_kept(m), m["opening_mrr"]),
     ),
     Metric(
         "net_revenue_retention",
         inputs=("opening_mrr", "contraction_mrr", "churned_mrr", "expansion_mrr"),
-        formula=lambda m: _over(_kept(m) + m["expansion_mrr"], m["opening_mrr"]),
+        formula=lambda m: _share(_kept(m) + m["expansion_mrr"], m["opening_mrr"]),
     ),
     Metric(
         "retention_rate",

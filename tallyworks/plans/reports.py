@@ -33,21 +33,21 @@ def scorecard(registry: Registry, t: Tables) -> DataFrame:
     )
     closed = _latest(revenue.filter(F.col(CLOSED)), MONTH)
     active = metric_query(registry, t, ["active_customers"], [MONTH])
-    month = closed.select(MONTH).scalar()
-    preferred = active.orderBy((F.col(MONTH) == month).desc_nulls_last(), F.desc(MONTH)).limit(1)
+    newest_active = active.agg(F.max_by("active_customers", MONTH)).scalar()
     mrr = metric_query(registry, t, ["mrr", "churn_rate"], [MONTH])
-    latest_mrr = _latest(mrr.filter(F.col("mrr").isNotNull() | F.col("churn_rate").isNotNull()), MONTH)
+    known = mrr.filter(F.col("mrr").isNotNull() | F.col("churn_rate").isNotNull())
+    latest_mrr = known.agg(F.max_by(F.struct(MONTH, "mrr", "churn_rate"), MONTH)).scalar()
     curve = metric_query(registry, t, ["retention_rate"], [SINCE_START])
-    first_month = curve.filter(F.col(SINCE_START) == 1)
-    return closed.select(
+    first_month = curve.filter(F.col(SINCE_START) == 1).agg(F.max("retention_rate")).scalar()
+    return closed.join(active, MONTH, "left").select(
         F.col(MONTH).alias("as_of_month"),
         "net_booked_revenue",
         "cash_collected_against_bookings",
-        preferred.select("active_customers").scalar().alias("active_customers"),
-        latest_mrr.select(MONTH).scalar().alias("mrr_month"),
-        latest_mrr.select("mrr").scalar().alias("mrr"),
-        F.round(latest_mrr.select("churn_rate").scalar(), 4).cast(RATIO).alias("churn_rate"),
-        first_month.select("retention_rate").scalar().alias("month_1_retention"),
+        F.coalesce("active_customers", newest_active).alias("active_customers"),
+        latest_mrr[MONTH].alias("mrr_month"),
+        latest_mrr["mrr"].alias("mrr"),
+        F.round(latest_mrr["churn_rate"], 4).cast(RATIO).alias("churn_rate"),
+        first_month.alias("month_1_retention"),
     )
 
 

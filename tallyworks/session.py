@@ -40,6 +40,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Recording the call site of every Python expression triples the time to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

@@ -7,6 +7,9 @@ days of history; item lines are merged by partial aggregation instead of being r
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,12 +23,39 @@ PLANS = (
     (3, "Pro Monthly", "monthly", 19.99, "USD"),
     (4, "Pro Annual", "annual", 199.00, "USD"),
 )
+
+# The columns of the test tables; a declared schema spares a job per file to infer it.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 ADD_ON_PRICE = 5
 MAX_GAP_DAYS = 180
 LAST_PHASE_DAYS = 120
 EVENT_TYPES = {"view": "product_view", "click": "add_to_cart", "error": "checkout_start"}
 
 
+def _once(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Build a table's plan once per ``TestTables``: plans are immutable and cheap to share."""
+
+    @wraps(make)
+    def memo(self: TestTables, *args: str) -> DataFrame:
+        key = (make.__name__, *args)
+        if key not in self._plans:
+            self._plans[key] = make(self, *args)
+        return self._plans[key]
+
+    return memo
+
+
 class TestTables:
     """Lazy canonical tables over one test-data directory."""
 
@@ -34,12 +64,15 @@ class TestTables:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
         self.path = path
+        self._plans: dict[tuple[str, ...], DataFrame] = {}
 
+    @_once
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path}/{name}.parquet")
 
     # -- reference tables ---------------------------------------------------------------
 
+    @_once
     def _calendar_bounds(self) -> DataFrame:
         day = F.to_date("o_orderdate")
         return self.read("orders").agg(
@@ -47,10 +80,12 @@ class TestTables:
             F.add_months(F.trunc(F.max(day), "MM"), 4).alias("last_month"),
         )
 
+    @_once
     def accounting_periods(self) -> DataFrame:
         """Months from the first order to four months after the last."""
         return make_accounting_periods(self._calendar_bounds())
 
+    @_once
     def calendar_bounds(self) -> DataFrame:
         """First order date to one year after the last: the day calendar's range."""
         day = F.to_date("o_orderdate")
@@ -58,6 +93,7 @@ class TestTables:
             F.min(day).alias("start_date"), F.add_months(F.max(day), 12).alias("end_date")
         )
 
+    @_once
     def tax_rates(self) -> DataFrame:
         """A rate per nation; the highest nation key has none, to keep the missing-rate case."""
         nation = self.read("nation")
@@ -69,6 +105,7 @@ class TestTables:
 
     # -- retail -------------------------------------------------------------------------
 
+    @_once
     def customers(self) -> DataFrame:
         places = self.read("nation").join(
             self.read("region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -90,6 +127,7 @@ class TestTables:
             )
         )
 
+    @_once
     def products(self) -> DataFrame:
         price = money("p_retailprice")
         return self.read("part").select(
@@ -101,6 +139,7 @@ class TestTables:
             (F.col("p_size") <= 47).alias("is_active"),
         )
 
+    @_once
     def orders(self) -> DataFrame:
         status = F.col("o_orderstatus")
         return self.read("orders").select(
@@ -111,6 +150,7 @@ class TestTables:
             F.col("o_orderpriority").alias("channel"),
         )
 
+    @_once
     def _lines(self) -> DataFrame:
         """One item per (order, line number); repeated lines are merged on the map side.
 
@@ -143,11 +183,13 @@ class TestTables:
             )
         )
 
+    @_once
     def order_items(self) -> DataFrame:
         return self._lines().select(
             "order_item_id", "order_id", "product_id", "quantity", "unit_price", "discount"
         )
 
+    @_once
     def payments(self) -> DataFrame:
         """One payment per order item, ten days apart by line number."""
         discount = F.col("discount").cast("decimal(6,4)")
@@ -169,17 +211,20 @@ class TestTables:
 
     # -- billing ------------------------------------------------------------------------
 
+    @_once
     def plans(self) -> DataFrame:
         """The price list, restricted to plans that subscriptions use."""
         used = self._phases().select("plan_id").distinct()
         return used.join(self._price_list(), "plan_id")
 
+    @_once
     def _price_list(self) -> DataFrame:
         rows = ", ".join(f"(CAST({i} AS BIGINT), '{n}', '{b}', CAST({p} AS DOUBLE), '{c}')" for i, n, b, p, c in PLANS)
         return self.spark.sql(
             f"SELECT * FROM VALUES {rows} AS t(plan_id, plan_name, billing_interval, price, currency)"
         )
 
+    @_once
     def _phases(self) -> DataFrame:
         return (
             self.read("orders")
@@ -188,6 +233,7 @@ class TestTables:
             .withColumn("plan_id", F.col("subscription_id") % 4 + 1)
         )
 
+    @_once
     def subscriptions(self) -> DataFrame:
         """One phase per distinct (customer, order date); the customer is the chain."""
         by_date = Window.partitionBy("customer_id").orderBy("phase_start_date")
@@ -236,21 +282,24 @@ class TestTables:
             F.when(end.isNotNull(), reason).alias("ended_reason"),
         )
 
+    @_once
     def _billed(self) -> DataFrame:
         """Billing runs of every paid phase, one per full plan interval."""
         data_end = self.read("orders").agg(F.last_day(F.max(F.to_date("o_orderdate")))).scalar()
-        step = F.when(F.col("plan_id").isin(1, 3), 1).otherwise(12)
         until = F.coalesce("phase_end_date", data_end)
-        paid = self.subscriptions().filter(~F.col("is_trial")).withColumn("_until", until).withColumn("_step", step)
+        step = F.when(F.col("plan_id").isin(1, 3), 1).otherwise(12)
+        paid = self.subscriptions().filter(~F.col("is_trial")).select(
+            "subscription_id", "customer_id", "plan_id", "phase_start_date", until.alias("_until"), step.alias("_step")
+        )
         # As many runs as could fit are numbered, then those that end in time are kept.
-        tried = paid.withColumn("_months", F.months_between("_until", "phase_start_date").cast("int") + 1)
-        series = F.when(F.col("_months") >= 0, F.sequence(F.lit(0), (F.col("_months") / F.col("_step")).cast("int")))
-        numbered = tried.withColumn("i", F.explode(series))
+        months = F.months_between("_until", "phase_start_date").cast("int") + 1
+        runs = F.when(months >= 0, F.sequence(F.lit(0), (months / F.col("_step")).cast("int")))
+        numbered = paid.select("*", F.explode(runs).alias("i"))
         end = F.date_sub(F.add_months("phase_start_date", ((F.col("i") + 1) * F.col("_step")).cast("int")), 1)
         sid, i = F.col("subscription_id"), F.col("i")
         price = F.element_at(F.create_map(*[F.lit(x) for p in PLANS for x in (p[0], str(p[3]))]), F.col("plan_id").cast("int"))
         return (
-            numbered.withColumn("period_end", end)
+            numbered.select("*", end.alias("period_end"))
             .filter(F.col("period_end") <= F.col("_until"))
             .select(
                 (sid * 1000 + i).alias("invoice_id"),
@@ -267,6 +316,7 @@ class TestTables:
         add_on = F.when(F.col("_mix") % 10 == 0, ADD_ON_PRICE).otherwise(0).cast("decimal(18,2)")
         return money(F.col("_price") + add_on)
 
+    @_once
     def invoices(self) -> DataFrame:
         return self._billed().select(
             "invoice_id",
@@ -278,6 +328,7 @@ class TestTables:
             self._amount().alias("amount"),
         )
 
+    @_once
     def invoice_lines(self) -> DataFrame:
         fee = F.struct(F.lit(1).alias("n"), F.lit("plan fee").alias("description"), F.col("_price").alias("amount"))
         add_on = F.struct(
@@ -296,6 +347,7 @@ class TestTables:
             F.col("line.amount").alias("amount"),
         )
 
+    @_once
     def _attempts(self) -> DataFrame:
         """Payment attempts: unpaid, retried, half paid, late and plain invoices by mix key."""
         case, days = F.col("_mix") % 20, F.col("_mix") % 4
@@ -314,9 +366,11 @@ class TestTables:
             "_mix",
         )
 
+    @_once
     def billing_payments(self) -> DataFrame:
         return self._attempts().drop("_mix")
 
+    @_once
     def refunds(self) -> DataFrame:
         """Full refunds after 50 days and half refunds after 20, on succeeded payments."""
         full, half = F.col("_mix") % 23 == 0, F.col("_mix") % 23 == 1
@@ -330,6 +384,7 @@ class TestTables:
 
     # -- events -------------------------------------------------------------------------
 
+    @_once
     def events(self) -> DataFrame:
         """Two anonymous ids per user, one user in five never identified, some events sent twice."""
         user, event = F.col("user_id"), F.col("event_id")
