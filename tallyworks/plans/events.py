@@ -49,8 +49,14 @@ def int_events_resolved(events: DataFrame) -> DataFrame:
     return resolve_identity(events).select(*EVENT_COLUMNS)
 
 
-def int_events_deduplicated(resolved: DataFrame) -> DataFrame:
-    return dedup_exact(resolved, event_key(), "event_id").select(*EVENT_COLUMNS)
+def int_events_deduplicated(events: DataFrame) -> DataFrame:
+    """Resolved events without copies, from the staged events.
+
+    Copies go first, straight off the scan, so they are dropped before any shuffle; identity
+    still comes from all events, since a dropped copy may be the one that names the customer.
+    """
+    once = dedup_exact(events.drop("customer_id"), event_key(), "event_id")
+    return once.join(identity_map(events), "anonymous_id", "left").select(*EVENT_COLUMNS)
 
 
 def int_sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:

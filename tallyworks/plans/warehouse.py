@@ -63,7 +63,7 @@ INTERMEDIATE: dict[str, _Model] = {
     "int_subscription_mrr_movements": (movements, ("int_subscription_mrr_by_chain_month",)),
     "int_identity_resolution": (events.int_identity_resolution, ("stg_events__events",)),
     "int_events_resolved": (events.int_events_resolved, ("stg_events__events",)),
-    "int_events_deduplicated": (events.int_events_deduplicated, ("int_events_resolved",)),
+    "int_events_deduplicated": (events.int_events_deduplicated, ("stg_events__events",)),
     "int_sessions": (events.int_sessions, ("stg_events__events",)),
     "int_revenue_by_period_retail": (
         finance.int_revenue_by_period_retail,
