@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime
-from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +19,28 @@ SOURCES: dict[str, tuple[str, ...]] = {
     "raw_events": ("events",),
 }
 
+@dataclass(frozen=True)
+class Rule:
+    """A type a text column takes if every one of its values has this shape and converts."""
+
+    shape: str
+    convert: Callable[[Column], Column]
+    #: Type used instead when some values are missing (whole numbers become doubles).
+    with_nulls: str | None = None
+
+
 # Fixed formats: a timestamp is tried before a date, so a time of day is never lost.
-TEMPORAL_FORMATS = (
-    ("yyyy-MM-dd HH:mm:ss", r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", "timestamp_ntz"),
-    ("yyyy-MM-dd", r"^\d{4}-\d{2}-\d{2}$", "date"),
+TEMPORAL = (
+    Rule(
+        r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+        lambda c: F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"),
+    ),
+    Rule(r"^\d{4}-\d{2}-\d{2}$", lambda c: F.to_date(F.try_to_timestamp(c, F.lit("yyyy-MM-dd")))),
+)
+NUMERIC = (
+    Rule(r"^[+-]?\d{1,18}$", lambda c: c.try_cast("bigint"), with_nulls="double"),
+    Rule(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$", lambda c: c.try_cast("double")),
+    Rule(r"^(?i)(true|false)$", lambda c: c.try_cast("boolean")),
 )
 
 
@@ -33,51 +51,54 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header. Without a schema the types are inferred (one extra pass over the file)."""
+    """CSV with a header; a declared schema spares the pass that finds the types.
+
+    Either way text columns end up as timestamps or dates where all their values are.
+    """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no extract at {path}")
     reader = spark.read.option("header", True)
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    # Dates and timestamps stay text here: coerce_temporal decides about them as a whole column.
-    return reader.option("inferSchema", True).option("prefersDate", False).option("timestampFormat", "'none'").csv(path)
-
-
-def _parsed(column: Column, pattern: str, kind: str) -> Column:
-    if kind == "date":
-        return F.to_date(F.try_to_timestamp(column, F.lit(pattern)))
-    return F.try_to_timestamp(column, F.lit(pattern)).cast("timestamp_ntz")
+        return coerce_temporal(reader.schema(schema).csv(path))
+    return _coerce(reader.csv(path), NUMERIC + TEMPORAL)
 
 
 def coerce_temporal(df: DataFrame) -> DataFrame:
     """Turn text columns that hold only timestamps, or only dates, into those types.
 
     All-or-nothing per column: one value that does not parse, or no value at all, leaves the
-    column as text. One aggregation decides about every text column at once.
+    column as text.
     """
+    return _coerce(df, TEMPORAL)
+
+
+def _coerce(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Apply the first rule that fits all values of a text column; one aggregation decides for all."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not texts:
         return df
-    tests = []
+    tests = [F.count("*").alias("rows")]
     for i, name in enumerate(texts):
         value = F.col(f"`{name}`")
         tests.append(F.count(value).alias(f"n{i}"))
-        for j, (pattern, shape, kind) in enumerate(TEMPORAL_FORMATS):
-            good = value.rlike(shape) & _parsed(value, pattern, kind).isNotNull()
-            tests.append(F.count_if(good).alias(f"n{i}_{j}"))
+        for j, rule in enumerate(rules):
+            fits = value.rlike(rule.shape) & rule.convert(value).isNotNull()
+            tests.append(F.count_if(fits).alias(f"n{i}_{j}"))
     counts = df.agg(*tests).first()
-    columns = []
-    chosen = {name: i for i, name in enumerate(texts)}
-    for f in df.schema.fields:
-        value = F.col(f"`{f.name}`")
-        i = chosen.get(f.name)
-        if i is not None and counts[f"n{i}"] > 0:
-            for j, (pattern, _, kind) in enumerate(TEMPORAL_FORMATS):
+
+    def typed(name: str) -> Column:
+        value = F.col(f"`{name}`")
+        if name in texts and counts[f"n{texts.index(name)}"]:
+            i = texts.index(name)
+            for j, rule in enumerate(rules):
                 if counts[f"n{i}_{j}"] == counts[f"n{i}"]:
-                    value = _parsed(value, pattern, kind)
+                    complete = counts[f"n{i}"] == counts["rows"]
+                    converted = rule.convert(value)
+                    value = converted if complete or not rule.with_nulls else converted.cast(rule.with_nulls)
                     break
-        columns.append(value.alias(f.name))
-    return df.select(*columns)
+        return value.alias(name)
+
+    return df.select(*[typed(f.name) for f in df.schema.fields])
 
 
 def stamp_loaded_at(df: DataFrame, loaded_at: Column | datetime) -> DataFrame:
@@ -98,6 +119,6 @@ def load_tables(
     schemas = schemas or {}
     loaded = {}
     for table in tables if tables is not None else SOURCES[source]:
-        path = str(PurePosixPath(data_dir) / f"{table}.csv") if "://" not in data_dir else f"{data_dir}/{table}.csv"
-        loaded[table] = stamp_loaded_at(coerce_temporal(load_csv(spark, path, schemas.get(table))), loaded_at)
+        path = f"{data_dir.rstrip('/')}/{table}.csv"
+        loaded[table] = stamp_loaded_at(load_csv(spark, path, schemas.get(table)), loaded_at)
     return loaded
