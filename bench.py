@@ -9,10 +9,11 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from tallyworks.queries import QUERIES
-from tallyworks.session import local_session
+from tallyworks.session import checkpoint_dir, local_session
 
 HEADLINE = (
     "md25_fct_orders",
@@ -48,6 +49,8 @@ def main() -> None:
     cores = int(os.environ.get("BENCH_CPUS", "8"))
     wanted = sys.argv[1:] or HEADLINE
     spark = local_session(cores, shuffle_partitions=cores)
+    if checkpoint_dir(spark) is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bench-"))
     spark.read.parquet(f"{directory}/orders.parquet").count()  # start the executor threads
     seconds = {}
     for name in wanted:

@@ -10,7 +10,7 @@ from tallyworks.operators.contracts import Contract
 from tallyworks.operators.spine import date_spine
 from tallyworks.operators.subscriptions import bridge, cohorts, lifetime_value, movements, recurring_revenue
 from tallyworks.plans import billing, events, finance, reliability, retail, staging
-from tallyworks.sources.tables import read_table, replace_table
+from tallyworks.sources.tables import read_table, replace_table, write_scratch
 
 # Each model names what it reads; a source is written "source.table".
 _Model = tuple[Callable[..., DataFrame], tuple[str, ...]]
@@ -261,6 +261,17 @@ class Warehouse(Mapping[str, DataFrame]):
     def use(self, name: str, df: DataFrame) -> None:
         self._frames[name] = df
 
+    def share(self, *names: str) -> Warehouse:
+        """Compute models once that the next query reads several times.
+
+        They are written to the session's shared checkpoint folder and read back, so neither the
+        consumers nor a lost executor recompute the chain behind them, and each consumer reads
+        only its own columns. Without such a folder they stay lazy.
+        """
+        for name in names:
+            self._frames[name] = write_scratch(self[name])
+        return self
+
 
 def build(warehouse: Warehouse, root: str) -> Warehouse:
     """Write the shared intermediates and all marts under ``root``; returns a warehouse over them.

@@ -104,14 +104,37 @@ MODEL_IDS = (
 )
 
 
-def warehouse(spark: SparkSession, directory: str) -> Warehouse:
+# Models a query reads several times, in the order they build on each other.
+MRR = ("stg_billing__invoices", "int_subscription_mrr_by_chain_month")
+ADJUSTMENTS = ("fct_period_close_adjustments",)
+PERIOD_MARTS = (
+    "mart_revenue_reconciliation_by_period",
+    "mart_cash_movements_by_period",
+    "int_active_customers_by_period",
+)
+SHARED_BY_QUERY: dict[str, tuple[str, ...]] = {
+    "md33_mart_retention_cohorts": MRR,
+    "md34_mart_customer_lifetime_value": (*MRR, "int_subscription_mrr_movements"),
+    "chk13_check_results": ("stg_orders", "stg_order_items", "stg_payments"),
+    "chk13_check_summary": ("stg_orders", "stg_order_items", "stg_payments"),
+    "chk16_check_grew": ADJUSTMENTS,
+    "sem12_several_models": PERIOD_MARTS,
+    "sem13_totals": MRR,
+    "sem17_reconciliation": (*PERIOD_MARTS, "mart_mrr_movements", "mart_funnel_conversion"),
+    "bi1_scorecard": (*MRR, "int_active_customers_by_period"),
+    "bi8_alert": ("stg_orders", "stg_order_items", "stg_payments"),
+    "bi9_health": ("stg_orders", "stg_order_items", "stg_payments", "stg_billing__invoices", *ADJUSTMENTS),
+}
+
+
+def warehouse(spark: SparkSession, directory: str, query: str = "") -> Warehouse:
     """All models over the canonical tables derived from one test-data directory."""
     rely_on_aqe(spark)
-    return Warehouse(TestTables(spark, directory).makers())
+    return Warehouse(TestTables(spark, directory).makers()).share(*SHARED_BY_QUERY.get(query, ()))
 
 
-def _model(name: str) -> Query:
-    return lambda spark, directory: warehouse(spark, directory)[name]
+def _model(name: str, query: str) -> Query:
+    return lambda spark, directory: warehouse(spark, directory, query)[name]
 
 
 def _plans_in_use(name: str) -> Query:
@@ -127,17 +150,17 @@ def _named_check(name: str) -> Query:
     return lambda spark, directory: NAMED_CHECKS[name](warehouse(spark, directory))
 
 
-for _i, _name in enumerate(STAGING_IDS, 1):
-    QUERIES[f"stg{_i:02d}_{_name}"] = _plans_in_use(_name) if "plans" in _name else _model(_name)
-for _i, _name in enumerate(MODEL_IDS, 1):
-    QUERIES[f"md{_i:02d}_{_name}"] = _plans_in_use(_name) if _name == "dim_plans" else _model(_name)
+for _prefix, _names in (("stg", STAGING_IDS), ("md", MODEL_IDS)):
+    for _i, _name in enumerate(_names, 1):
+        _query = f"{_prefix}{_i:02d}_{_name}"
+        QUERIES[_query] = _plans_in_use(_name) if "plans" in _name else _model(_name, _query)
 for _i, _name in enumerate(NAMED_CHECKS, 1):
     QUERIES[f"sgl{_i:02d}_{_name}"] = _named_check(_name)
 assert set(STAGING_IDS) | set(MODEL_IDS) == set(MODELS)
 
 
 def register(fn: Callable[[Warehouse], DataFrame]) -> Callable[[Warehouse], DataFrame]:
-    QUERIES[fn.__name__] = lambda spark, directory: fn(warehouse(spark, directory))
+    QUERIES[fn.__name__] = lambda spark, directory: fn(warehouse(spark, directory, fn.__name__))
     return fn
 
 

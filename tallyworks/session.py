@@ -24,6 +24,11 @@ def rely_on_aqe(spark: SparkSession) -> None:
             spark.conf.set(key, value)
 
 
+def checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared folder the session names for checkpoints, if any; never a folder of our own."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in SETTINGS.items():

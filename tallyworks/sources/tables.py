@@ -12,7 +12,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.operators.contracts import Contract, assert_contract, schema_violations, ContractViolation
+from tallyworks.operators.contracts import Contract, ContractViolation, assert_contract, schema_violations
+from tallyworks.session import checkpoint_dir
 from tallyworks.sources.ingest import LOADED_AT
 
 POINTER = "_current"
@@ -101,6 +102,20 @@ def _drop_versions(spark: SparkSession, path: str, keep: set[str | None]) -> Non
             fs.delete(entry.getPath(), True)
 
 
+def write_scratch(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write ``df`` to the session's shared checkpoint folder and read it back.
+
+    Unlike an RDD checkpoint this runs the plan once and keeps column pruning. The folder is the
+    cluster's to clean, like any checkpoint. Without one, ``df`` is returned as it is.
+    """
+    folder = checkpoint_dir(df.sparkSession)
+    if not folder:
+        return df
+    path = f"{folder}/tallyworks/{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Hand a result to another process as CSV with a header."""
     df.write.mode("overwrite").option("header", True).csv(path)
