@@ -131,10 +131,10 @@ class Relationships:
         return f"relationships_{self.table}_{self.column}__{self.parent}_{self.parent_column}"
 
     def failures(self, tables: Tables) -> DataFrame:
-        # One row per child key reaches the join, so a parent with very many children is no skew.
+        # One row per key reaches the join from either side, so a key with very many rows is no skew.
         child = tables[self.table].filter(F.col(self.column).isNotNull())
         keys = child.groupBy(F.col(self.column).alias("orphan_key")).agg(F.count("*").alias("n_records"))
-        parents = tables[self.parent].select(F.col(self.parent_column).alias("_key"))
+        parents = tables[self.parent].select(F.col(self.parent_column).alias("_key")).distinct()
         return keys.join(parents, F.col("orphan_key") == F.col("_key"), "left_anti")
 
     def count(self, tables: Tables) -> DataFrame:

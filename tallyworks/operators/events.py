@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyworks.functions.columns import elapsed_days, ratio
+from tallyworks.operators.joins import join_hot
 
 
 def dedup_exact(df: DataFrame, keys: Sequence[Column | str], order: str) -> DataFrame:
@@ -41,7 +42,7 @@ def resolve_identity(
     events: DataFrame, anon: str = "anonymous_id", known: str = "customer_id"
 ) -> DataFrame:
     """Back-fill the resolved customer onto every event of the visitor, earlier ones included."""
-    return events.drop(known).join(identity_map(events, anon, known), anon, "left")
+    return join_hot(events.drop(known), identity_map(events, anon, known), anon, "left")
 
 
 def _slot(events: DataFrame, ts: str, minutes: int) -> Column:
@@ -214,11 +215,9 @@ def activation(
         .groupBy("customer_id")
         .agg(F.min(ts).alias("first_signup_at"))
     )
-    # Inner join first: its streamed side is the one with many rows per customer, and only an
-    # inner join lets AQE split either side.
+    goals = known.filter(F.col("event_type") == goal_event)
     reached = (
-        known.filter(F.col("event_type") == goal_event)
-        .join(starts, "customer_id")
+        join_hot(goals, starts, "customer_id")
         .filter(F.col(ts) >= F.col("first_signup_at"))
         .groupBy("customer_id")
         .agg(F.min(ts).alias("first_purchase_at"))

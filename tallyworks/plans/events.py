@@ -16,6 +16,7 @@ from tallyworks.operators.events import (
     session_totals,
     sessionize,
 )
+from tallyworks.operators.joins import join_hot
 
 EVENT_COLUMNS = [
     "event_id",
@@ -56,7 +57,7 @@ def int_events_deduplicated(events: DataFrame) -> DataFrame:
     still comes from all events, since a dropped copy may be the one that names the customer.
     """
     once = dedup_exact(events.drop("customer_id"), event_key(), "event_id")
-    return once.join(identity_map(events), "anonymous_id", "left").select(*EVENT_COLUMNS)
+    return join_hot(once, identity_map(events), "anonymous_id", "left").select(*EVENT_COLUMNS)
 
 
 def int_sessions(events: DataFrame, gap_minutes: int = 30) -> DataFrame:

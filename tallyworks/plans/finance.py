@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.columns import money, sum_money, sum_money_if, zero_money
+from tallyworks.operators.joins import join_hot
 from tallyworks.operators.periods import assign_period, cash_by_period, fill_periods, overlap_period, with_tax
 
 
@@ -27,7 +28,7 @@ def int_revenue_by_period_retail(
     orders: DataFrame, customers: DataFrame, tax_rates: DataFrame, periods: DataFrame
 ) -> DataFrame:
     completed = orders.filter(F.col("order_status") == "completed")
-    located = completed.join(customers.select("customer_id", "region"), "customer_id")
+    located = join_hot(completed, customers.select("customer_id", "region"), "customer_id")
     taxed = with_tax(located, "order_amount", tax_rates)
     return assign_period(taxed, "order_date", periods).select(
         "order_id",
@@ -43,7 +44,7 @@ def int_revenue_by_period_retail(
 def int_revenue_by_period_billing(
     invoices: DataFrame, customers: DataFrame, tax_rates: DataFrame, periods: DataFrame
 ) -> DataFrame:
-    located = invoices.join(customers.select("customer_id", "region"), "customer_id")
+    located = join_hot(invoices, customers.select("customer_id", "region"), "customer_id")
     taxed = with_tax(located, "invoice_amount", tax_rates)
     return assign_period(taxed, "invoice_date", periods).select(
         "invoice_id",

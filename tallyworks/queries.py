@@ -23,6 +23,7 @@ from tallyworks.operators.checks import (
 from tallyworks.operators.contracts import assert_contract, freshness
 from tallyworks.operators.events import session_totals
 from tallyworks.operators.history import scd2_apply, start_history
+from tallyworks.operators.joins import join_hot
 from tallyworks.operators.metrics import metric_query
 from tallyworks.operators.periods import assign_period, overlap_period, with_tax
 from tallyworks.operators.reconcile import reconcile, reconcile_all
@@ -243,12 +244,13 @@ def flt7_late_adjustments(w: Warehouse) -> DataFrame:
 
 @register
 def flt8_orders_without_items(w: Warehouse) -> DataFrame:
-    return w["stg_orders"].join(w["stg_order_items"], "order_id", "left_anti").select("order_id", "order_status")
+    with_items = w["stg_order_items"].select("order_id").distinct()
+    return w["stg_orders"].join(with_items, "order_id", "left_anti").select("order_id", "order_status")
 
 
 @register
 def jn3_tax_by_region(w: Warehouse) -> DataFrame:
-    located = w["fct_orders"].join(w["stg_customers"].select("customer_id", "region"), "customer_id")
+    located = join_hot(w["fct_orders"], w["stg_customers"].select("customer_id", "region"), "customer_id")
     return with_tax(located.select("order_id", "region", "order_amount"), "order_amount", w["tax_rates"])
 
 
@@ -278,7 +280,7 @@ def jn14_latest_month_rows(w: Warehouse) -> DataFrame:
 
 @register
 def sc16_months_since_signup(w: Warehouse) -> DataFrame:
-    orders = w["stg_orders"].join(w["stg_customers"].select("customer_id", "signup_date"), "customer_id")
+    orders = join_hot(w["stg_orders"], w["stg_customers"].select("customer_id", "signup_date"), "customer_id")
     return orders.select(
         "order_id", calendar_months_between("order_date", "signup_date").alias("months_since_signup")
     )
