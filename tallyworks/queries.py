@@ -106,25 +106,24 @@ MODEL_IDS = (
 
 
 # Models a query reads several times, in the order they build on each other.
-MRR = ("stg_billing__invoices", "int_subscription_mrr_by_chain_month")
-ADJUSTMENTS = ("fct_period_close_adjustments",)
-PERIOD_MARTS = (
-    "mart_revenue_reconciliation_by_period",
-    "mart_cash_movements_by_period",
-    "int_active_customers_by_period",
-)
+MONTHLY = "int_subscription_mrr_by_chain_month"
+ADJUSTMENTS = "fct_period_close_adjustments"
+CHECKED = ("stg_order_items", "stg_payments")
 SHARED_BY_QUERY: dict[str, tuple[str, ...]] = {
-    "md33_mart_retention_cohorts": MRR,
-    "md34_mart_customer_lifetime_value": (*MRR, "int_subscription_mrr_movements"),
-    "chk13_check_results": ("stg_orders", "stg_order_items", "stg_payments"),
-    "chk13_check_summary": ("stg_orders", "stg_order_items", "stg_payments"),
-    "chk16_check_grew": ADJUSTMENTS,
-    "sem12_several_models": PERIOD_MARTS,
-    "sem13_totals": MRR,
-    "sem17_reconciliation": (*PERIOD_MARTS, "mart_mrr_movements", "mart_funnel_conversion"),
-    "bi1_scorecard": (*MRR, "int_active_customers_by_period"),
-    "bi8_alert": ("stg_orders", "stg_order_items", "stg_payments"),
-    "bi9_health": ("stg_orders", "stg_order_items", "stg_payments", "stg_billing__invoices", *ADJUSTMENTS),
+    "md34_mart_customer_lifetime_value": (MONTHLY,),
+    "chk13_check_results": CHECKED,
+    "chk13_check_summary": CHECKED,
+    "chk16_check_grew": (ADJUSTMENTS,),
+    "sem17_reconciliation": (
+        "mart_revenue_reconciliation_by_period",
+        "mart_cash_movements_by_period",
+        "int_active_customers_by_period",
+        "mart_mrr_movements",
+        "mart_funnel_conversion",
+    ),
+    "bi1_scorecard": (MONTHLY, "int_active_customers_by_period"),
+    "bi8_alert": CHECKED,
+    "bi9_health": CHECKED,
 }
 
 
