@@ -51,3 +51,13 @@ def reconcile_all(pairs: Sequence[tuple[str, DataFrame, DataFrame, str, Sequence
             for name, a, b, key, cols in pairs
         ],
     )
+
+
+def reconcile_summary(pairs: Sequence[tuple[str, DataFrame, DataFrame, str, Sequence[str]]]) -> DataFrame:
+    """One row per comparison: keys of the second side, and cells that differ."""
+    rows = []
+    for name, a, b, key, cols in pairs:
+        differing = reconcile(a, b, key, cols).agg(F.count("*")).scalar()
+        compared = b.agg(F.count("*").alias("keys_compared"))
+        rows.append(compared.select(F.lit(name).alias("metric"), "keys_compared", differing.alias("mismatches")))
+    return reduce(DataFrame.unionByName, rows)

