@@ -31,10 +31,6 @@ def zero_money() -> Column:
     return F.lit(0).cast(MONEY)
 
 
-def money_or_zero(column: ColumnLike) -> Column:
-    return F.coalesce(money(column), zero_money())
-
-
 def sum_money(column: ColumnLike) -> Column:
     """Decimal sums widen by ten digits; bring them back so later divisions keep their scale."""
     return F.sum(_col(column)).cast(MONEY)

@@ -97,6 +97,7 @@ def overlap_period(
         & (F.col("_to") >= F.col("_p_start"))
         & (F.col("_month") == F.greatest(month_of("_from"), month_of("_p_start")))
     )
+    # The calendar again, as (period, month) pairs: bounded like ``period_days``, and far smaller.
     joined = left.join(F.broadcast(right), meets, "inner")
     return joined.drop("_from", "_to", "_month", "_p_start", "_p_end", "_p_month")
 

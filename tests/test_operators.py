@@ -18,7 +18,7 @@ from tallyworks.operators.contracts import (
 )
 from tallyworks.operators.history import scd2_apply, start_history
 from tallyworks.operators.periods import assign_period, make_accounting_periods, overlap_period
-from tallyworks.operators.reconcile import reconcile
+from tallyworks.operators.reconcile import reconcile, reconcile_all, reconcile_summary
 from tallyworks.operators.spine import date_range, zero_fill
 from tallyworks.operators.volume import flag_anomalies, trailing_change
 from tallyworks.operators.windows import lead_date
@@ -172,6 +172,10 @@ def test_reconcile(spark):
         (3, dec("5.00"), dec("6.00")),
         (5, dec("0.00"), dec("7.00")),
     ]
+    keyed = [df.withColumn("k", F.date_add(F.lit("2025-01-01").cast("date"), F.col("k"))) for df in (a, b)]
+    pairs = [("v", *keyed, "k", ["v"])]
+    assert rows(reconcile_all(pairs), "metric", "key_date") == [("v", d("2025-01-04")), ("v", d("2025-01-06"))]
+    assert rows(reconcile_summary(pairs)) == [("v", 4, 2)]
 
 
 def test_contract(spark):
