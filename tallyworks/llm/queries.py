@@ -26,6 +26,16 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyworks.llm.shared import scratch_folder
+    from tallyworks.llm.token_grammar import read_tokens, token_folder, write_tokens
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = token_folder(scratch_folder(spark))
+    write_tokens(docs, path, _tokenizer())
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyworks.llm.substring_dedup import dedup_substrings
 
@@ -36,6 +46,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_token_grammar": op3_token_grammar,
     "op8_substring_dedup": op8_substring_dedup,
 }
 
