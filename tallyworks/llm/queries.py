@@ -26,6 +26,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyworks.llm.near_dedup import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op3_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyworks.llm.shared import scratch_folder
     from tallyworks.llm.token_grammar import read_tokens, token_folder, write_tokens
@@ -46,12 +52,25 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_token_grammar": op3_token_grammar,
     "op8_substring_dedup": op8_substring_dedup,
 }
 
 #: DuckDB SQL with the same rows, for the queries that SQL can express on whole tables.
 SQL: dict[str, str] = {
+    "op2_minhash_near_dedup": r"""
+with recursive w as (select doc_id, list_filter(regexp_split_to_array(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+', ' ', 'g'), ' '), lambda x: x <> '') as w from documents),
+s as (select doc_id, list_distinct(case when len(w) = 0 then []::varchar[] when len(w) < 3 then [array_to_string(w, ' ')]
+  else list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' ')) end) as s from w),
+x as (select doc_id, len(s) as n, unnest(s) as g from s),
+p as (select a.doc_id as a, b.doc_id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as k from x a join x b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+e as (select a, b from p where 100 * k >= 85 * (na + nb - k)),
+both_ways as (select a, b from e union all select b, a from e),
+reach(a, c) as (select doc_id, doc_id from documents union select r.a, e.b from reach r join both_ways e on r.c = e.a),
+c as (select a, min(c) as c from reach group by a)
+select s.doc_id, len(s.s) as n_shingles, c.c as component_id, s.doc_id = c.c as kept from s join c on s.doc_id = c.a
+""",
     "op8_substring_dedup": r"""
 with d as (select doc_id, coalesce(list_filter(regexp_split_to_array(text, '[ \t-\r]+'), lambda x: x <> ''), []::varchar[]) as w from documents),
 p as (select doc_id, w, i, array_to_string(w[i:i+12], ' ') as s from d, unnest(range(1, len(w) - 11)) as t(i)),
