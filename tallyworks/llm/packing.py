@@ -26,7 +26,7 @@ from tallyworks.llm.shared import pieces_for, running_total, scratch, ship
 from tallyworks.llm.token_ids import binary_column, encoded
 
 LIMIT = 2048
-RANK_ROWS = 20_000
+RANK_ROWS = 2_000
 
 
 @dataclass

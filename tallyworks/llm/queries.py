@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -42,6 +42,30 @@ def op3_token_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyworks.llm.learning import held_out
+    from tallyworks.llm.toxicity import fit_toxicity, score_toxicity
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labels = _table(spark, sf_dir, "labels").filter(~held_out("doc_id", 4, 2))
+    scored = score_toxicity(docs, fit_toxicity(docs, labels))
+    return _scored(scored, held_out("doc_id", 4, 2), "toxicity")
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyworks.llm.learning import held_out
+    from tallyworks.llm.quality import fit_quality, score_quality
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").filter(~held_out("doc_id", 5, 0))
+    scored = score_quality(docs, fit_quality(docs, labels))
+    return _scored(scored, held_out("doc_id", 5, 0), "quality_score")
+
+
+def _scored(scored: DataFrame, held: Column, score: str) -> DataFrame:
+    return scored.select("doc_id", held.alias("held_out"), F.col(score).alias("score"), (F.col(score) >= 0.3).cast("int").alias("predicted"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyworks.llm.substring_dedup import dedup_substrings
 
@@ -54,7 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_token_grammar": op3_token_grammar,
+    "op4_toxicity": op4_toxicity,
     "op8_substring_dedup": op8_substring_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 #: DuckDB SQL with the same rows, for the queries that SQL can express on whole tables.
