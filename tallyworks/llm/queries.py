@@ -66,6 +66,12 @@ def _scored(scored: DataFrame, held: Column, score: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), F.col(score).alias("score"), (F.col(score) >= 0.3).cast("int").alias("predicted"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyworks.llm.fingerprints import compare_with_edits
+
+    return compare_with_edits(_table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyworks.llm.substring_dedup import dedup_substrings
 
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_token_grammar": op3_token_grammar,
     "op4_toxicity": op4_toxicity,
+    "op6_simhash": op6_simhash,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
