@@ -72,6 +72,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edits(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyworks.llm.quality_rules import quality_rules
+
+    judged = quality_rules(_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyworks.llm.substring_dedup import dedup_substrings
 
@@ -86,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_grammar": op3_token_grammar,
     "op4_toxicity": op4_toxicity,
     "op6_simhash": op6_simhash,
+    "op7_quality_rules": op7_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
