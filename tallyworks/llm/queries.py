@@ -66,6 +66,22 @@ def _scored(scored: DataFrame, held: Column, score: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), F.col(score).alias("score"), (F.col(score) >= 0.3).cast("int").alias("predicted"))
 
 
+#: The rules that op5 applies.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyworks.llm.url_filters import filter_urls
+
+    return filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyworks.llm.fingerprints import compare_with_edits
 
@@ -92,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_token_grammar": op3_token_grammar,
     "op4_toxicity": op4_toxicity,
+    "op5_url_filters": op5_url_filters,
     "op6_simhash": op6_simhash,
     "op7_quality_rules": op7_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
@@ -111,6 +128,28 @@ both_ways as (select a, b from e union all select b, a from e),
 reach(a, c) as (select doc_id, doc_id from documents union select r.a, e.b from reach r join both_ways e on r.c = e.a),
 c as (select a, min(c) as c from reach group by a)
 select s.doc_id, len(s.s) as n_shingles, c.c as component_id, s.doc_id = c.c as kept from s join c on s.doc_id = c.a
+""",
+    "op5_url_filters": r"""
+with recursive p as (select page_id, html,
+  translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+  coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path from pages),
+rules as (select * from (values ('allow', 'org', '/', 'org/'), ('block', 'example.org', '/es/', 'example.org/es/'),
+  ('block', 'example.org', '/en/1', 'example.org/en/1'), ('allow', 'com', '/fr/', 'com/fr/'), ('block', 'com', '/de/', 'com/de/')) as t(v, h, s, rule)),
+hits as (select page_id, arg_max(rule, length(rule)) as rule, arg_max(v, length(rule)) as v from p join rules
+  on (host = h or ends_with(host, '.' || h)) and starts_with(path, s) group by page_id),
+j as (select p.*, rule, v from p left join hits using (page_id)),
+raw as (select host as src, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']?([^"''\s>]+)', 1)) as t from p where contains(html, '//')),
+links as (select src, translate(coalesce(regexp_extract(case when starts_with(t, '//') then 'http:' || t else t end, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as dst from raw),
+e as (select src, dst, count(*) as n from links where src <> '' and dst <> '' and src <> dst group by all),
+f as (select 'allow' as v, src, dst, 0.85 * n / sum(n) over (partition by src) as w from e
+  union all select 'block', dst, src, 0.85 * n / sum(n) over (partition by dst) from e),
+s as (select v, host, 0.15 * count(*)::double as m from j where v is not null and host <> '' group by all),
+r as (select 0 as k, v, host, m from s
+  union all select any_value(x.k), x.v, x.host, sum(x.m) from (
+    select k + 1 as k, r.v, f.dst as host, r.m * f.w as m from r join f on f.v = r.v and f.src = r.host where k < 24
+    union all select q.k, s.v, s.host, s.m from s, (select distinct k + 1 as k from r where k < 24) q) x group by x.v, x.host),
+d as (select host, sum(case when v = 'block' then m else 0 end) / sum(m) as share from r where k = 24 group by host)
+select page_id, j.host, path, rule, coalesce(v, case when round(share, 9) > 0.5 then 'block' else 'allow' end) as verdict from j left join d on j.host = d.host
 """,
     "op8_substring_dedup": r"""
 with d as (select doc_id, coalesce(list_filter(regexp_split_to_array(text, '[ \t-\r]+'), lambda x: x <> ''), []::varchar[]) as w from documents),
