@@ -52,6 +52,17 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(scored, held_out("doc_id", 4, 2), "toxicity")
 
 
+def op9_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids with seeded dropout, and the digest of what they decode to."""
+    import public_tokenizers
+
+    from tallyworks.llm.merge_dropout import encode_and_decode
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = encode_and_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), seed=1)
+    return done.select("doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyworks.llm.learning import held_out
     from tallyworks.llm.quality import fit_quality, score_quality
@@ -112,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_quality_rules": op7_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_merge_dropout": op9_merge_dropout,
     "op10_quality_classifier": op10_quality_classifier,
 }
 

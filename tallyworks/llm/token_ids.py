@@ -16,13 +16,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tallyworks.llm.words import chunks, mix, text_bytes, words_of
+from tallyworks.llm.words import Words, chunks, mix, text_bytes, words_of
 
 TABLE_BITS = 22
 _SPACED = np.uint64(0xA24BAED4963EE407)
 _RUN = 0x9FB21C651E98DF25
 _JOINED = 1000
-_encoders: dict[tuple, TokenEncoder] = {}
+_encoders: dict[str, TokenEncoder] = {}
 
 
 def encoder(path: str) -> TokenEncoder:
@@ -125,7 +125,11 @@ class TokenEncoder:
         self.ids.extend(flat)
         self.table.add(keys, number)
 
-    def _learn_words(self, keys: np.ndarray, words: list[bytes], spaced: bool) -> None:
+    def _keys(self, words: Words, spaced: np.ndarray, salts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray | None]:
+        """The table key of each word, and its variant where a word has several."""
+        return mix(words.hash + np.where(spaced, _SPACED, np.uint64(0))), None
+
+    def _learn_words(self, keys: np.ndarray, words: list[bytes], hashes: np.ndarray, spaced: bool, variants: np.ndarray | None) -> None:
         """Many words in one call: a line break between them is a pre-token of its own."""
         gap = "\n " if spaced else "\n"
         for at in range(0, len(words), _JOINED):
@@ -141,16 +145,20 @@ class TokenEncoder:
         digest = hashlib.blake2b(run, digest_size=8, key=bytes([spaced, tail])).digest()
         key = np.array([int.from_bytes(digest, "little") ^ _RUN], dtype=np.uint64)
         if self.table.find(key)[0] < 0:
-            if tail or spaced:
-                parts = [run]
-            else:
-                parts = [run[:-1], run[-1:]]
-            ids = [np.array(self._plain(p.decode()), dtype=np.uint32) for p in parts if p]
-            self._learn(key, ids, np.array([sum(map(len, ids))], dtype=np.int32))
+            ids = self._run_ids(run, spaced, tail)
+            self._learn(key, ids, np.array([len(ids)], dtype=np.int32))
         return int(key[0])
 
-    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, and where each text begins and the last ends. Null counts as empty."""
+    def _run_ids(self, run: bytes, spaced: bool, tail: bool) -> np.ndarray:
+        """Ids of a white-space run: one pre-token at the end or before a space, else its last character is one more."""
+        parts = [run] if tail or spaced else [run[:-1], run[-1:]]
+        return np.array([i for p in parts if p for i in self._plain(p.decode())], dtype=np.uint32)
+
+    def encode(self, texts: list[bytes | None], salts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and where each text begins and the last ends. Null counts as empty.
+
+        ``salts`` vary the variants of words between texts, for encoders that have any.
+        """
         if self.table.used > (1 << self.bits) * 0.6:
             self._clear()
         texts = [t or b"" for t in texts]
@@ -164,7 +172,7 @@ class TokenEncoder:
         before[heads] = begins[words.owner[heads]]
         gap = words.start - before
         spaced = (gap > 0) & (data[np.maximum(words.start - 1, 0)] == 32) if n else np.zeros(0, dtype=bool)
-        keys = mix(words.hash + np.where(spaced, _SPACED, np.uint64(0)))
+        keys, variants = self._keys(words, spaced, salts)
         found = self.table.find(keys)
         if (found < 0).any():
             unseen, where = np.unique(keys[found < 0], return_index=True)
@@ -173,7 +181,8 @@ class TokenEncoder:
                 chosen = spaced[place] == flag
                 raw = data.tobytes() if chosen.any() else b""
                 listed = [raw[s:e] for s, e in zip(words.start[place[chosen]], words.end[place[chosen]], strict=True)]
-                self._learn_words(unseen[chosen], listed, flag)
+                own = place[chosen]
+                self._learn_words(unseen[chosen], listed, words.hash[own], flag, None if variants is None else variants[own])
             found = self.table.find(keys)
         extra = np.flatnonzero(gap - spaced > 0)
         runs = np.array(
@@ -196,8 +205,21 @@ class TokenEncoder:
         ids = gather(self.ids.data, self.offset.data[items], lengths)
         upto = np.concatenate([[0], np.cumsum(lengths)])
         offsets = upto[np.concatenate([[0], np.cumsum(per_text)])]
-        odd = _other_space(data, begins, sizes)
-        return self._replace(texts, ids, offsets, odd) if len(odd) else (ids, offsets)
+        odd = self._odd(texts, data, begins, sizes)
+        if not len(odd):
+            return ids, offsets
+        parts = [ids[offsets[i] : offsets[i + 1]] for i in range(len(texts))]
+        for i, one in zip(odd, self._whole([texts[i] for i in odd], None if salts is None else salts[odd]), strict=True):
+            parts[i] = np.array(one, dtype=np.uint32)
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+    def _odd(self, texts: list[bytes], data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Texts that go the slow way."""
+        return _other_space(data, begins, sizes)
+
+    def _whole(self, texts: list[bytes], salts: np.ndarray | None) -> list[list[int]]:
+        found = self.tokenizer.encode_batch([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+        return [one.ids for one in found]
 
     def _run_keys(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, spaced: np.ndarray) -> np.ndarray:
         """As ``_run_key`` for many runs, most of which are one byte."""
@@ -210,13 +232,6 @@ class TokenEncoder:
             out[i] = self._run_key(data[start[i] : end[i]].tobytes(), bool(spaced[i]), False)
         return out
 
-    def _replace(self, texts: list[bytes], ids: np.ndarray, offsets: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        parts = [ids[offsets[i] : offsets[i + 1]] for i in range(len(texts))]
-        whole = self.tokenizer.encode_batch([texts[i].decode("utf-8", "replace") for i in odd], add_special_tokens=False)
-        for i, one in zip(odd, whole, strict=True):
-            parts[i] = np.array(one.ids, dtype=np.uint32)
-        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-
 
 def _other_space(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Texts with a white-space character that UTF-8 writes in several bytes."""
