@@ -25,7 +25,8 @@ def labelled_sample(labels: DataFrame, label: str, rows: int, doc_id: str = "doc
 def sample_features(docs: DataFrame, sample: DataFrame, feature: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], text: str, doc_id: str, lang: str | None) -> list[tuple]:
     """``(id, label, language, feature bytes)`` of the sampled documents in id order; the sample bounds the join and the result."""
     language = F.col(lang).cast("string") if lang else F.lit(None).cast("string")
-    rows = docs.join(F.broadcast(sample), docs[doc_id] == sample["sample_id"]).select("sample_id", "label", language.alias("lang"), F.col(text).alias("text"))
+    known = docs.select(F.col(doc_id).alias("sample_id"), language.alias("lang"), F.col(text).alias("text"))
+    rows = known.join(F.broadcast(sample), "sample_id").select("sample_id", "label", "lang", "text")
     made = rows.mapInArrow(feature, "sample_id long, label int, lang string, feature binary")
     return sorted(((r[0], r[1], r[2], bytes(r[3])) for r in made.collect()), key=lambda r: (r[0], r[3]))
 

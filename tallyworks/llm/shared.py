@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -77,15 +78,16 @@ def running_total(df: DataFrame, group: list[str], order: str, value: str, out:
     Two levels: windows over ``fan`` consecutive numbers each, and one over the totals of those, so
     that no task sorts more than the square root of a long series. ``order`` is unique in its group.
     """
-    parts = df.withColumn("_part", F.floor(F.col(order) / fan))
-    inner = Window.partitionBy(*group, "_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    outer = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    heads = parts.groupBy(*group, "_part").agg(F.sum(value).alias("_sum"))
-    heads = heads.select(*group, "_part", F.coalesce(F.sum("_sum").over(outer), F.lit(0)).alias("_before"))
-    within = parts.withColumn("_within", F.coalesce(F.sum(value).over(inner), F.lit(0)))
-    keys = [within[k].eqNullSafe(heads[k]) for k in (*group, "_part")]
-    joined = within.join(heads, keys)
-    return joined.select(*[within[c] for c in df.columns], (F.col("_within") + F.col("_before")).cast("long").alias(out))
+    parts = df.withColumn("_total_part", F.floor(F.col(order) / fan))
+    inner = Window.partitionBy(*group, "_total_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.partitionBy(*group).orderBy("_total_part").rowsBetween(Window.unboundedPreceding, -1)
+    heads = parts.groupBy(*group, "_total_part").agg(F.sum(value).alias("_total_sum"))
+    heads = heads.select(*group, "_total_part", F.coalesce(F.sum("_total_sum").over(outer), F.lit(0)).alias("_total_before"))
+    heads = heads.toDF(*[f"_of_{c}" for c in (*group, "_total_part")], "_total_before")
+    within = parts.withColumn("_total_within", F.coalesce(F.sum(value).over(inner), F.lit(0)))
+    met = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in (*group, "_total_part")]
+    joined = within.join(heads, reduce(lambda x, y: x & y, met))
+    return joined.select(*df.columns, (F.col("_total_within") + F.col("_total_before")).cast("long").alias(out))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
