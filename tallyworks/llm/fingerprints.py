@@ -32,7 +32,7 @@ def _votes(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     rest = F.when(F.size("_w") > 1, F.slice("_w", 2, F.greatest(F.size("_w") - 1, F.lit(1)))).otherwise(F.array().cast("array<string>"))
     terms = words.select(*keys, F.inline_outer(F.arrays_zip(F.col("_w").alias("a"), rest.alias("b"))).alias("a", "b"))
     weight = F.least(F.octet_length("a") + F.coalesce(F.octet_length("b"), F.lit(0)), F.lit(32)).cast("long")
-    hashed = terms.select(*keys, F.xxhash64("a", "b").alias("_h"), F.coalesce(weight, F.lit(0).cast("long")).alias("_k"))
+    hashed = terms.select(*keys, F.xxhash64("a", "b").alias("_h"), F.when(F.col("a").isNull(), F.lit(0).cast("long")).otherwise(weight).alias("_k"))
     sums = [F.sum(F.shiftrightunsigned("_h", i).bitwiseAND(F.lit(_PAIR)) * F.col("_k")).alias(f"_s{i}") for i in range(32)]
     return hashed.groupBy(*keys).agg(F.sum("_k").alias("_all"), *sums)
 

@@ -215,12 +215,19 @@ def write_tokens(
             )
 
         for part, ids, offsets in encoded(batches, tokenizer, text, end_id):
-            if held_ids and sum(map(len, held_ids)) + len(ids) > shard_ids:
-                yield flush()
-                held_ids, held_sizes, held_docs, number = [], [], [], number + 1
-            held_ids.append(ids)
-            held_sizes.append(np.diff(offsets))
-            held_docs.append(filled_ids(part.column(doc_id), LAST_ID))
+            names, at = filled_ids(part.column(doc_id), LAST_ID), 0
+            while at < len(names):
+                room = shard_ids - sum(map(len, held_ids))
+                stop = int(np.searchsorted(offsets, offsets[at] + room, side="right")) - 1
+                if stop <= at and held_ids:
+                    yield flush()
+                    held_ids, held_sizes, held_docs, number = [], [], [], number + 1
+                    continue
+                stop = max(stop, at + 1)
+                held_ids.append(ids[offsets[at] : offsets[stop]])
+                held_sizes.append(np.diff(offsets[at : stop + 1]))
+                held_docs.append(names[at:stop])
+                at = stop
         if held_ids:
             yield flush()
 

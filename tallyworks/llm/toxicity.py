@@ -32,6 +32,7 @@ SAMPLE_ROWS = 12_000
 LONGEST_SAMPLE = 50_000
 THRESHOLD = 0.5
 LEAK = 0.1
+LEAST_STEPS = 300
 _NEVER = np.float32(-1e9)
 
 _PLAIN = bytearray(range(256))
@@ -164,7 +165,10 @@ def _batch_gradient(weights: dict[str, np.ndarray], docs: list[np.ndarray], labe
 
 
 def train(docs: list[np.ndarray], labels: np.ndarray, languages: list[str | None], epochs: int = 4, seed: int = 5, batch: int = 32) -> ToxicityModel:
-    """Fit, calibrate and set thresholds. Every fifth document is kept for the last two."""
+    """Fit, calibrate and set thresholds. Every fifth document is kept for the last two.
+
+    Small samples are gone through until 300 steps are made.
+    """
     labels = labels.astype(np.int64)
     held = np.arange(len(docs)) % 5 == 4
     rng = np.random.default_rng(seed)
@@ -174,6 +178,7 @@ def train(docs: list[np.ndarray], labels: np.ndarray, languages: list[str | None
     rows_of = {int(i): row_of[docs[i]] for i in fit}
     dense = {k: v for k, v in weights.items() if k != "e"}
     adam, squares = Adam(dense, 0.003), np.full(len(starts), 1e-8, np.float32)
+    epochs = max(epochs, -(-LEAST_STEPS * batch // max(1, len(fit)))) if len(fit) else 0
     for _ in range(epochs):
         order = rng.permutation(fit)
         for at in range(0, len(order), batch):
