@@ -137,7 +137,6 @@ def stg_billing__refunds(refunds: DataFrame) -> DataFrame:
 
 
 def stg_events__events(events: DataFrame) -> DataFrame:
-    # nullable integer keys arrive as doubles
     return events.select(
         "event_id",
         "anonymous_id",

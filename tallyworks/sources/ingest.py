@@ -25,21 +25,24 @@ class Rule:
 
     shape: str
     convert: Callable[[Column], Column]
-    #: Type used instead when some values are missing (whole numbers become doubles).
-    with_nulls: str | None = None
 
 
-# Fixed formats: a timestamp is tried before a date, so a time of day is never lost.
+# Fixed formats: a timestamp is tried before a date, so a time of day is never lost. The casts read
+# the text as it stands, whatever the session's time zone.
 TEMPORAL = (
-    Rule(
-        r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
-        lambda c: F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"),
-    ),
-    Rule(r"^\d{4}-\d{2}-\d{2}$", lambda c: F.to_date(F.try_to_timestamp(c, F.lit("yyyy-MM-dd")))),
+    Rule(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$", lambda c: c.try_cast("timestamp_ntz")),
+    Rule(r"^\d{4}-\d{2}-\d{2}$", lambda c: c.try_cast("date")),
 )
+# Nothing is lost on the way: whole numbers stay whole, with or without gaps, and codes with leading
+# zeros stay text. A double takes 15 significant digits; longer fractions stay text unless declared.
+_WHOLE = r"^[+-]?(0|[1-9]\d*)$"
 NUMERIC = (
-    Rule(r"^[+-]?\d{1,18}$", lambda c: c.try_cast("bigint"), with_nulls="double"),
-    Rule(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$", lambda c: c.try_cast("double")),
+    Rule(_WHOLE, lambda c: c.try_cast("bigint")),
+    Rule(_WHOLE, lambda c: c.try_cast("decimal(38,0)")),
+    Rule(
+        r"^[+-]?(?=([^0-9eE]*\d){1,15}([^0-9]*|[eE].*)$)((0|[1-9]\d*)\.\d*|\.\d+|(0|[1-9]\d*))([eE][+-]?\d+)?$",
+        lambda c: c.try_cast("double"),
+    ),
     Rule(r"^(?i)(true|false)$", lambda c: c.try_cast("boolean")),
 )
 
@@ -50,17 +53,42 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header; a declared schema spares the pass that finds the types.
+def load_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, line_breaks: bool = True
+) -> DataFrame:
+    """CSV with a header, to the types its values have or to a declared schema.
 
-    Either way text columns end up as timestamps or dates where all their values are.
+    A declared schema names the columns in any order; the result has its order. A column that only one
+    of file and schema has, or a value that does not convert, is an error. Either way text columns end
+    up as timestamps or dates where all their values are. Quotes inside quoted text are doubled.
+    ``line_breaks`` tells whether quoted text may hold line breaks; without them a large file is read
+    by many tasks.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no extract at {path}")
-    reader = spark.read.option("header", True)
-    if schema is not None:
-        return coerce_temporal(reader.schema(schema).csv(path))
-    return _coerce(reader.csv(path), NUMERIC + TEMPORAL)
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
+    text = reader.option("multiLine", line_breaks).option("enforceSchema", False).csv(path)
+    if schema is None:
+        return _coerce(text, NUMERIC + TEMPORAL)
+    return coerce_temporal(_as_declared(text, schema, path))
+
+
+def _as_declared(text: DataFrame, schema: T.StructType | str, path: str) -> DataFrame:
+    """Select by header name and cast; raises for names that differ and for values that do not convert."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    lacking = sorted(set(schema.fieldNames()) - set(text.columns))
+    unknown = sorted(set(text.columns) - set(schema.fieldNames()))
+    if lacking or unknown:
+        raise ValueError(f"{path}: columns missing: {lacking}, not declared: {unknown}")
+    cast = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields}
+    typed = [f for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    if typed:
+        bad = [F.count_if(F.col(f"`{f.name}`").isNotNull() & cast[f.name].isNull()).alias(f.name) for f in typed]
+        counts = {k: v for k, v in text.agg(*bad).first().asDict().items() if v}
+        if counts:
+            raise ValueError(f"{path}: values that do not convert: {counts}")
+    return text.select(*[c.alias(n) for n, c in cast.items()])
 
 
 def coerce_temporal(df: DataFrame) -> DataFrame:
@@ -77,7 +105,7 @@ def _coerce(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not texts:
         return df
-    tests = [F.count("*").alias("rows")]
+    tests = []
     for i, name in enumerate(texts):
         value = F.col(f"`{name}`")
         tests.append(F.count(value).alias(f"n{i}"))
@@ -92,9 +120,7 @@ def _coerce(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             i = texts.index(name)
             for j, rule in enumerate(rules):
                 if counts[f"n{i}_{j}"] == counts[f"n{i}"]:
-                    complete = counts[f"n{i}"] == counts["rows"]
-                    converted = rule.convert(value)
-                    value = converted if complete or not rule.with_nulls else converted.cast(rule.with_nulls)
+                    value = rule.convert(value)
                     break
         return value.alias(name)
 

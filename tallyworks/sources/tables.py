@@ -24,24 +24,36 @@ def _filesystem(spark: SparkSession, path: str):
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
 
 
-def _read_pointer(spark: SparkSession, path: str) -> str | None:
+def _read_pointers(spark: SparkSession, path: str) -> list[str]:
+    """The published version and the one before it, as far as there are any."""
     fs, pointer = _filesystem(spark, f"{path}/{POINTER}")
     if not fs.exists(pointer):
-        return None
+        return []
     stream = fs.open(pointer)
     try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split()
     finally:
         stream.close()
 
 
-def _write_pointer(spark: SparkSession, path: str, version: str) -> None:
-    fs, pointer = _filesystem(spark, f"{path}/{POINTER}")
-    stream = fs.create(pointer, True)
+def _read_pointer(spark: SparkSession, path: str) -> str | None:
+    return next(iter(_read_pointers(spark, path)), None)
+
+
+def _write_pointer(spark: SparkSession, path: str, versions: list[str]) -> None:
+    """Write a new pointer beside the old one and rename it over: a reader sees the old or the new."""
+    fs, new = _filesystem(spark, f"{path}/{POINTER}.{uuid4().hex}")
+    stream = fs.create(new, True)
     try:
-        stream.write(bytearray(version, "utf-8"))
+        stream.write(bytearray("\n".join(versions), "utf-8"))
     finally:
         stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    rename = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(new.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(new, hadoop.Path(f"{path}/{POINTER}"), options)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -74,7 +86,8 @@ def replace_table(df: DataFrame, path: str, contract: Contract | None = None, ke
     The contract's schema is checked before anything is written and its rows on the written
     files, so the plan runs once and nothing that fails is ever published. Running the same
     load again gives the same rows. The version published before stays on disk for readers that
-    are still on it; older ones are removed.
+    are still on it; the one before that is removed. Versions that were never published are left
+    alone, as another writer may be at work on them; of two writers the one that ends last is read.
     """
     spark = df.sparkSession
     before = _read_pointer(spark, path)
@@ -89,19 +102,14 @@ def replace_table(df: DataFrame, path: str, contract: Contract | None = None, ke
     written = spark.read.parquet(f"{path}/{version}")
     if contract is not None:
         assert_contract(written, contract)
-    _write_pointer(spark, path, version)
-    _drop_versions(spark, path, keep={version, before})
+    published = _read_pointers(spark, path)
+    _write_pointer(spark, path, [version, *published[:1]])
+    for old in published[1:]:
+        fs, folder = _filesystem(spark, f"{path}/{old}")
+        fs.delete(folder, True)
     return written
 
 
-def _drop_versions(spark: SparkSession, path: str, keep: set[str | None]) -> None:
-    fs, root = _filesystem(spark, path)
-    for entry in fs.listStatus(root):
-        name = entry.getPath().getName()
-        if name.startswith("v_") and name not in keep:
-            fs.delete(entry.getPath(), True)
-
-
 def write_scratch(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` to the session's shared checkpoint folder and read it back.
 

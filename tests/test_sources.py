@@ -41,7 +41,7 @@ def test_load_csv_finds_types(spark, tmp_path):
     df = load_csv(spark, str(path))
     assert [f.dataType.simpleString() for f in df.schema.fields] == [
         "bigint",
-        "double",  # whole numbers with gaps arrive as doubles and are cast at staging
+        "bigint",  # whole numbers with gaps stay whole
         "double",
         "boolean",
         "timestamp_ntz",
@@ -54,6 +54,40 @@ def test_load_csv_finds_types(spark, tmp_path):
     assert [f.dataType.simpleString() for f in declared.schema.fields][4:] == ["timestamp_ntz", "date", "string"]
 
 
+def test_load_csv_loses_nothing(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text(
+        "id,gap,code,huge,mixed,long_fraction,note\n"
+        '9000000000000000001,9007199254740993,007,99999999999999999999,1,0.12345678901234567,"say ""hi"", now"\n'
+        '9000000000000000002,,008,1,2.5,1,"two\nlines"\n'
+    )
+    df = load_csv(spark, str(path))
+    assert [f.dataType.simpleString() for f in df.schema.fields] == [
+        "bigint",
+        "bigint",
+        "string",
+        "decimal(38,0)",
+        "double",
+        "string",
+        "string",
+    ]
+    got = df.orderBy("id").collect()
+    assert [r.id for r in got] == [9000000000000000001, 9000000000000000002]
+    assert (got[0].gap, got[0].code, got[0].huge) == (9007199254740993, "007", 99999999999999999999)
+    assert [r.note for r in got] == ['say "hi", now', "two\nlines"]
+
+
+def test_declared_columns_go_by_name_and_refuse_what_does_not_fit(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("id,price,qty\n1,2.50,30\n")
+    assert load_csv(spark, str(path), "id long, qty int, price double").collect() == [(1, 30, 2.5)]
+    with pytest.raises(ValueError, match="missing: \\['cost'\\], not declared: \\['price'\\]"):
+        load_csv(spark, str(path), "id long, qty int, cost double")
+    path.write_text("id,price,qty\n1,x,30\n2,,\n")
+    with pytest.raises(ValueError, match="'price': 1"):
+        load_csv(spark, str(path), "id long, qty int, price double")
+
+
 def test_load_tables_stamps_and_refuses_missing_files(spark, tmp_path):
     assert [len(tables) for tables in SOURCES.values()] == [5, 6, 1]
     (tmp_path / "events.csv").write_text("event_id\n1\n2\n")
@@ -81,6 +115,18 @@ def test_replace_table_is_repeatable_and_keeps_readers(spark, tmp_path):
         replace_table(newer.withColumn("extra", F.lit(1)), path, keep_columns=True)
 
 
+def test_versions_of_other_writers_stay(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(1), path)
+    (tmp_path / "t" / "v_other").mkdir()
+    for n in (2, 3, 4):
+        replace_table(spark.range(n), path)
+        assert read_table(spark, path).count() == n
+    assert (tmp_path / "t" / "v_other").exists()
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("v_")]) == 3
+    assert [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("_current")] == ["_current"]
+
+
 def test_broken_contract_publishes_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     contract = Contract({"id": "bigint"}, ("id",))
