@@ -98,11 +98,15 @@ def bridge(moves: DataFrame, month: str = "activity_month") -> DataFrame:
 
 
 def recurring_revenue(monthly: DataFrame, month: str = "activity_month") -> DataFrame:
-    paying = F.col("mrr_amount") > 0
-    return monthly.groupBy(month).agg(
-        sum_money("mrr_amount").alias("total_mrr"),
-        F.countDistinct(F.when(paying, F.col("subscription_chain_id"))).alias("paying_subscription_count"),
-        F.countDistinct(F.when(paying, F.col("customer_id"))).alias("paying_customer_count"),
+    """Totals by month. ``monthly`` has one row per chain and month, so paying chains are counted, not told apart."""
+    by_customer = monthly.groupBy(month, "customer_id").agg(
+        sum_money("mrr_amount").alias("_mrr"), F.count_if(F.col("mrr_amount") > 0).alias("_paying")
+    )
+    known = F.col("customer_id").isNotNull()
+    return by_customer.groupBy(month).agg(
+        sum_money("_mrr").alias("total_mrr"),
+        F.sum("_paying").alias("paying_subscription_count"),
+        F.count_if(known & (F.col("_paying") > 0)).alias("paying_customer_count"),
     )
 
 
@@ -112,7 +116,10 @@ def cohorts(
     chain: str = "subscription_chain_id",
     first_types: Sequence[str] = ("trial", "new"),
 ) -> DataFrame:
-    """Chains by start month, followed month by month; months with nobody paying stay as 0."""
+    """Chains by start month, followed month by month; months with nobody paying stay as 0.
+
+    ``monthly`` has one row per chain and month, so counting rows counts chains.
+    """
     start = (
         phases.filter(F.col("phase_type").isin(*first_types))
         .groupBy(chain)
@@ -124,7 +131,7 @@ def cohorts(
         F.col("activity_month") >= F.col("cohort_month")
     )
     active = followed.groupBy("cohort_month", age.alias("months_since_cohort_start")).agg(
-        F.countDistinct(F.when(F.col("mrr_amount") > 0, F.col(chain))).alias("active_chain_count")
+        F.count_if(F.col("mrr_amount") > 0).alias("active_chain_count")
     )
     return active.join(sizes, "cohort_month").select(
         "cohort_month",
@@ -135,12 +142,10 @@ def cohorts(
     )
 
 
-def lifetime_value(
-    moves: DataFrame, monthly: DataFrame, chain: str = "subscription_chain_id", month: str = "activity_month"
-) -> DataFrame:
+def lifetime_value(moves: DataFrame, monthly: DataFrame, month: str = "activity_month") -> DataFrame:
     """One row: average MRR of paying chains in the latest month over the mean monthly churn rate."""
-    churned = F.countDistinct(F.when(F.col("churned_mrr") > 0, F.col(chain)))
-    opening = F.countDistinct(F.when(F.col("prev_mrr_amount") > 0, F.col(chain)))
+    churned = F.count_if(F.col("churned_mrr") > 0)  # one row per chain and month
+    opening = F.count_if(F.col("prev_mrr_amount") > 0)
     by_month = moves.groupBy(month).agg(churned.alias("_churned"), opening.alias("_opening"))
     exact = F.col("_churned").cast("decimal(18,0)") / F.col("_opening").cast("decimal(18,0)")
     churn = by_month.agg(F.avg(F.when(F.col("_opening") > 0, exact.cast("decimal(24,12)"))).alias("_churn"))

@@ -45,8 +45,8 @@ VIEWS: dict[str, str] = {
         FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""",
     "raw_products": """
         SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
-               CAST(round(CAST(p_retailprice AS DECIMAL(18,2)) * 0.6, 2) AS DECIMAL(18,2)) AS unit_cost,
-               CAST(p_retailprice AS DECIMAL(18,2)) AS unit_price, p_size <= 47 AS is_active
+               CAST(round(CAST(p_retailprice AS DECIMAL(18,2)) * 0.61234, 4) AS DECIMAL(18,4)) AS unit_cost,
+               CAST(CAST(p_retailprice AS DECIMAL(18,2)) + 0.0045 AS DECIMAL(18,4)) AS unit_price, p_size <= 47 AS is_active
         FROM part""",
     "raw_orders": """
         SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
@@ -56,14 +56,13 @@ VIEWS: dict[str, str] = {
     "raw_lines": """
         SELECT l_orderkey * 100 + l_linenumber AS order_item_id, l_orderkey AS order_id, l_linenumber AS n,
                min(l_partkey) AS product_id, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity,
-               CAST(CAST((2 * CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) * 100 AS HUGEINT)
+               CAST(CAST((2 * CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) * 10000 AS HUGEINT)
                           + sum(CAST(l_quantity AS BIGINT))) // (2 * sum(CAST(l_quantity AS BIGINT)))
-                    AS DECIMAL(28,0)) * 0.01 AS DECIMAL(18,2)) AS unit_price,
-               max(l_discount) AS discount, min(l_returnflag) AS flag, min(l_linestatus) AS method
+                    AS DECIMAL(28,0)) * 0.0001 AS DECIMAL(18,4)) AS unit_price,
+               CAST(CAST(max(l_discount) AS DECIMAL(4,2)) * 0.33333 AS DECIMAL(9,8)) AS discount, min(l_returnflag) AS flag, min(l_linestatus) AS method
         FROM lineitem GROUP BY l_orderkey, l_linenumber""",
     "lines_priced": """
-        SELECT *, CAST(round(CAST(quantity AS DECIMAL(6,0)) * unit_price
-                             * (1 - CAST(discount AS DECIMAL(6,4))), 2) AS DECIMAL(18,2)) AS line_amount
+        SELECT *, CAST(round(CAST(quantity AS DECIMAL(6,0)) * unit_price * (1 - discount), 2) AS DECIMAL(18,2)) AS line_amount
         FROM raw_lines""",
     "raw_phases": """
         SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS s, min(o_orderkey) AS id,
@@ -88,13 +87,15 @@ VIEWS: dict[str, str] = {
                     WHEN next_plan >= plan THEN 'upgraded' ELSE 'downgraded' END AS ended_reason
         FROM raw_timeline""",
     "raw_price_list": """
-        SELECT * FROM (VALUES (1, 'Basic Monthly', 'monthly', 'USD', 9.99), (2, 'Basic Annual', 'annual', 'USD', 99.00),
-                              (3, 'Pro Monthly', 'monthly', 'USD', 19.99), (4, 'Pro Annual', 'annual', 'USD', 199.00))
-            AS p(plan_id, plan_name, billing_interval, currency, price)""",
+        SELECT p_size % 6 + 1 AS plan_id, 'Plan ' || (p_size % 6 + 1) AS plan_name,
+               CASE WHEN p_size % 2 = 0 THEN 'monthly' ELSE 'annual' END AS billing_interval, 'USD' AS currency,
+               CAST(round(min(CAST(p_retailprice AS DECIMAL(18,2))) * CASE WHEN p_size % 2 = 0 THEN 0.01 ELSE 0.10 END, 2)
+                    AS DECIMAL(18,2)) AS price
+        FROM part GROUP BY p_size % 6, p_size % 2""",
     "stg_billing__plans": """
         SELECT CAST(plan_id AS BIGINT) AS plan_id, plan_name, billing_interval, currency,
                CAST(price AS DECIMAL(18,2)) AS price
-        FROM raw_price_list WHERE plan_id IN (SELECT plan FROM raw_phases)""",
+        FROM raw_price_list""",
     "raw_billed": """
         WITH stop AS (SELECT last_day(max(o_orderdate)) AS d FROM orders),
         paid AS (SELECT sub.*, coalesce(phase_end_date, d) AS until, CASE WHEN plan_id IN (1, 3) THEN 1 ELSE 12 END AS step
@@ -158,11 +159,13 @@ VIEWS: dict[str, str] = {
         SELECT customer_id, first_name, last_name, signup_date, region, country, lower(email) AS email,
                first_name || ' ' || last_name AS customer_name FROM raw_customers""",
     "stg_products": """
-        SELECT *, CAST(unit_price - unit_cost AS DECIMAL(18,2)) AS unit_margin FROM raw_products""",
+        SELECT product_id, product_name, category, CAST(unit_cost AS DECIMAL(18,2)) AS unit_cost,
+               CAST(unit_price AS DECIMAL(18,2)) AS unit_price, is_active,
+               CAST(round(unit_price - unit_cost, 2) AS DECIMAL(18,2)) AS unit_margin FROM raw_products""",
     "stg_orders": """
         SELECT order_id, customer_id, order_date, status AS order_status, channel AS order_channel FROM raw_orders""",
     "stg_order_items": """
-        SELECT order_item_id, order_id, product_id, quantity, unit_price,
+        SELECT order_item_id, order_id, product_id, quantity, CAST(unit_price AS DECIMAL(18,2)) AS unit_price,
                CAST(discount AS DECIMAL(6,4)) AS discount, line_amount FROM lines_priced""",
     "stg_payments": """
         SELECT order_item_id AS payment_id, l.order_id, order_date + 10 * n AS payment_date, method AS payment_method,

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from tallyworks.functions.columns import MONEY, TAX_RATE, money
 
+# Inputs of a product or a difference keep their places until its one rounding. These widths make
+# quantity * price * (1 - discount) fit 38 digits exactly.
+WIDE_PRICE, WIDE_DISCOUNT, COUNT = "decimal(16,6)", "decimal(9,8)", "decimal(10,0)"
+
 
 def stg_customers(customers: DataFrame) -> DataFrame:
     return customers.select(
@@ -23,15 +27,15 @@ def stg_customers(customers: DataFrame) -> DataFrame:
 
 
 def stg_products(products: DataFrame) -> DataFrame:
-    cost, price = money("unit_cost"), money("unit_price")
+    cost, price = F.col("unit_cost").cast(WIDE_PRICE), F.col("unit_price").cast(WIDE_PRICE)
     return products.select(
         "product_id",
         "product_name",
         "category",
-        cost.alias("unit_cost"),
-        price.alias("unit_price"),
+        money(cost).alias("unit_cost"),
+        money(price).alias("unit_price"),
         "is_active",
-        money(F.round(price - cost, 2)).alias("unit_margin"),
+        F.round(price - cost, 2).cast(MONEY).alias("unit_margin"),
     )
 
 
@@ -47,16 +51,16 @@ def stg_orders(orders: DataFrame) -> DataFrame:
 
 
 def stg_order_items(items: DataFrame) -> DataFrame:
-    price = money("unit_price")
-    discount = F.coalesce(F.col("discount").cast(TAX_RATE), F.lit(0).cast(TAX_RATE))
-    full = F.col("quantity").cast("decimal(18,0)") * price
+    price = F.col("unit_price").cast(WIDE_PRICE)
+    discount = F.coalesce(F.col("discount").cast(WIDE_DISCOUNT), F.lit(0).cast(WIDE_DISCOUNT))
+    full = F.col("quantity").cast(COUNT) * price
     return items.select(
         "order_item_id",
         "order_id",
         "product_id",
         "quantity",
-        price.alias("unit_price"),
-        discount.alias("discount"),
+        money(price).alias("unit_price"),
+        discount.cast(TAX_RATE).alias("discount"),
         F.round(full * (1 - discount), 2).cast(MONEY).alias("line_amount"),
     )
 

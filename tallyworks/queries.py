@@ -137,15 +137,6 @@ def _model(name: str, query: str) -> Query:
     return lambda spark, directory: warehouse(spark, directory, query)[name]
 
 
-def _plans_in_use(name: str) -> Query:
-    def query(spark: SparkSession, directory: str) -> DataFrame:
-        w = warehouse(spark, directory)
-        w.use("raw_billing.plans", TestTables(spark, directory).plans())
-        return w[name]
-
-    return query
-
-
 def _named_check(name: str) -> Query:
     return lambda spark, directory: NAMED_CHECKS[name](warehouse(spark, directory))
 
@@ -153,7 +144,7 @@ def _named_check(name: str) -> Query:
 for _prefix, _names in (("stg", STAGING_IDS), ("md", MODEL_IDS)):
     for _i, _name in enumerate(_names, 1):
         _query = f"{_prefix}{_i:02d}_{_name}"
-        QUERIES[_query] = _plans_in_use(_name) if "plans" in _name else _model(_name, _query)
+        QUERIES[_query] = _model(_name, _query)
 for _i, _name in enumerate(NAMED_CHECKS, 1):
     QUERIES[f"sgl{_i:02d}_{_name}"] = _named_check(_name)
 assert set(STAGING_IDS) | set(MODEL_IDS) == set(MODELS)

@@ -14,16 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyworks.functions.columns import money
+from tallyworks.operators.joins import join_hot
 from tallyworks.operators.periods import make_accounting_periods
 
-# The price list (plan_id, plan_name, billing_interval, price, currency).
-PLANS = (
-    (1, "Basic Monthly", "monthly", 9.99, "USD"),
-    (2, "Basic Annual", "annual", 99.00, "USD"),
-    (3, "Pro Monthly", "monthly", 19.99, "USD"),
-    (4, "Pro Annual", "annual", 199.00, "USD"),
-)
-
 # The columns of the test tables; a declared schema spares a job per file to infer it.
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -134,8 +127,8 @@ class TestTables:
             F.col("p_partkey").alias("product_id"),
             F.col("p_name").alias("product_name"),
             F.col("p_type").alias("category"),
-            F.round(price * F.lit("0.6").cast("decimal(2,1)"), 2).cast("double").alias("unit_cost"),
-            F.col("p_retailprice").alias("unit_price"),
+            F.round(price * F.lit("0.61234").cast("decimal(6,5)"), 4).cast("double").alias("unit_cost"),
+            (price + F.lit("0.0045").cast("decimal(4,4)")).cast("double").alias("unit_price"),
             (F.col("p_size") <= 47).alias("is_active"),
         )
 
@@ -174,10 +167,13 @@ class TestTables:
                 "l_linenumber",
                 "product_id",
                 "quantity",
-                F.round(F.col("_extended") / F.col("quantity").cast("decimal(10,0)"), 2)
-                .cast("decimal(18,2)")
+                # prices under a cent and discounts past four places, as raw extracts may have them
+                F.round(F.col("_extended") / F.col("quantity").cast("decimal(10,0)"), 4)
+                .cast("decimal(18,4)")
                 .alias("unit_price"),
-                "discount",
+                (F.col("discount").cast("decimal(4,2)") * F.lit("0.33333").cast("decimal(6,5)"))
+                .cast("decimal(9,8)")
+                .alias("discount"),
                 "_flag",
                 "_method",
             )
@@ -192,8 +188,8 @@ class TestTables:
     @_once
     def payments(self) -> DataFrame:
         """One payment per order item, ten days apart by line number."""
-        discount = F.col("discount").cast("decimal(6,4)")
-        amount = F.round(F.col("quantity").cast("decimal(18,0)") * F.col("unit_price") * (1 - discount), 2)
+        price = F.col("unit_price").cast("decimal(16,4)")
+        amount = F.round(F.col("quantity").cast("decimal(10,0)") * price * (1 - F.col("discount")), 2)
         lines = self._lines().select(
             "order_item_id", "order_id", "l_linenumber", money(amount).alias("amount"), "_flag", "_method"
         )
@@ -213,15 +209,17 @@ class TestTables:
 
     @_once
     def plans(self) -> DataFrame:
-        """The price list, restricted to plans that subscriptions use."""
-        used = self._phases().select("plan_id").distinct()
-        return used.join(self._price_list(), "plan_id")
-
-    @_once
-    def _price_list(self) -> DataFrame:
-        rows = ", ".join(f"(CAST({i} AS BIGINT), '{n}', '{b}', CAST({p} AS DOUBLE), '{c}')" for i, n, b, p, c in PLANS)
-        return self.spark.sql(
-            f"SELECT * FROM VALUES {rows} AS t(plan_id, plan_name, billing_interval, price, currency)"
+        """Six plans, one per class of part sizes, at a share of the class's lowest price; two of them nobody buys."""
+        number = (F.col("p_size") % 6 + 1).cast("long")
+        lowest = self.read("part").groupBy(number.alias("plan_id")).agg(F.min(money("p_retailprice")).alias("_lowest"))
+        monthly = F.col("plan_id") % 2 == 1
+        share = F.when(monthly, F.lit("0.01").cast("decimal(3,2)")).otherwise(F.lit("0.1").cast("decimal(3,2)"))
+        return lowest.select(
+            "plan_id",
+            F.concat(F.lit("Plan "), F.col("plan_id").cast("string")).alias("plan_name"),
+            F.when(monthly, "monthly").otherwise("annual").alias("billing_interval"),
+            F.round(F.col("_lowest") * share, 2).cast("double").alias("price"),
+            F.lit("USD").alias("currency"),
         )
 
     @_once
@@ -297,9 +295,10 @@ class TestTables:
         numbered = paid.select("*", F.explode(runs).alias("i"))
         end = F.date_sub(F.add_months("phase_start_date", ((F.col("i") + 1) * F.col("_step")).cast("int")), 1)
         sid, i = F.col("subscription_id"), F.col("i")
-        price = F.element_at(F.create_map(*[F.lit(x) for p in PLANS for x in (p[0], str(p[3]))]), F.col("plan_id").cast("int"))
+        price = self.plans().select("plan_id", money("price").alias("_price"))
         return (
-            numbered.select("*", end.alias("period_end"))
+            join_hot(numbered, price, "plan_id")
+            .select("*", end.alias("period_end"))
             .filter(F.col("period_end") <= F.col("_until"))
             .select(
                 (sid * 1000 + i).alias("invoice_id"),
@@ -307,7 +306,7 @@ class TestTables:
                 "customer_id",
                 F.add_months("phase_start_date", (i * F.col("_step")).cast("int")).alias("period_start"),
                 "period_end",
-                price.cast("decimal(18,2)").alias("_price"),
+                "_price",
                 (sid + 7 * i).alias("_mix"),
             )
         )
@@ -418,7 +417,7 @@ class TestTables:
             "raw.orders": self.orders,
             "raw.order_items": self.order_items,
             "raw.payments": self.payments,
-            "raw_billing.plans": self._price_list,
+            "raw_billing.plans": self.plans,
             "raw_billing.subscriptions": self.subscriptions,
             "raw_billing.invoices": self.invoices,
             "raw_billing.invoice_lines": self.invoice_lines,

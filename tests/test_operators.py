@@ -230,12 +230,12 @@ def test_staging_rules(spark):
         (2, "Ann Lee", "a@b.c"),
     ]
     items = spark.createDataFrame(
-        [(1, 1, 1, 3, 19.99, None), (2, 1, 1, 3, 19.99, 0.15)],
+        [(1, 1, 1, 3, 19.99, None), (2, 1, 1, 3, 19.99, 0.15), (3, 1, 1, 1000, 0.125, 0.33333)],
         "order_item_id long, order_id long, product_id long, quantity long, unit_price double, discount double",
     )
-    assert rows(stg_order_items(items), "order_item_id", "line_amount") == [(1, dec("59.97")), (2, dec("50.97"))]
+    assert rows(stg_order_items(items), "order_item_id", "line_amount") == [(1, dec("59.97")), (2, dec("50.97")), (3, dec("83.33"))]
     products = spark.createDataFrame(
-        [(1, "p", "c", 19.99, 9.99, True)],
+        [(1, "p", "c", 19.99, 9.99, True), (2, "p", "c", 0.004, 0.013, True)],
         "product_id long, product_name string, category string, unit_cost double, unit_price double, is_active boolean",
     )
-    assert rows(stg_products(products), "unit_margin") == [(dec("-10.00"),)]
+    assert rows(stg_products(products), "unit_margin") == [(dec("-10.00"),), (dec("0.01"),)]
