@@ -47,6 +47,22 @@ def data_violations(df: DataFrame, contract: Contract) -> list[str]:
     return found
 
 
+def contract_status(df: DataFrame, contract: Contract, name: str) -> DataFrame:
+    """One row, ``table_name, status``: whether the table keeps its contract now (``enforced``) or not (``violated``).
+
+    The rows are judged by one aggregation: a key that repeats or a required value that is missing.
+    """
+    if schema_violations(df.schema, contract):
+        return df.agg(F.count("*")).select(F.lit(name).alias("table_name"), F.lit("violated").alias("status"))
+    required = tuple(dict.fromkeys(contract.primary_key + contract.not_null))
+    missing = F.count_if(F.greatest(*[F.col(c).isNull().cast("int") for c in required], F.lit(0)) > 0)
+    keys = df.groupBy(*contract.primary_key).agg(F.count("*").alias("_rows"), missing.alias("_missing"))
+    broken = F.count_if((F.col("_rows") > 1) | (F.col("_missing") > 0)) > 0
+    return keys.agg(broken.alias("_broken")).select(
+        F.lit(name).alias("table_name"), F.when(F.col("_broken"), "violated").otherwise("enforced").alias("status")
+    )
+
+
 def assert_contract(df: DataFrame, contract: Contract, data: bool = True) -> DataFrame:
     """Return ``df`` in contract column order or raise ``ContractViolation``.
 

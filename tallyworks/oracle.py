@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from tallyworks.operators.checks import RowCheck, Unique
 from tallyworks.oracle_views import exact_ratio, with_views
-from tallyworks.queries import MODEL_IDS, STAGING_IDS, retail_checks
+from tallyworks.plans.checkbook import generic_checks
+from tallyworks.plans.warehouse import CONTRACTS
+from tallyworks.queries import MODEL_IDS, STAGING_IDS
+from tallyworks.sources.ingest import SOURCES
 
 MONTH_OF = "CAST(date_trunc('month', {0}) AS DATE)"
 
@@ -39,8 +42,12 @@ def _check_count(check) -> str:
 def _check_results() -> str:
     rows = [
         f"SELECT '{c.name}' AS \"check\", '{c.table}' AS \"table\", ({_check_count(c)}) AS failing_rows"
-        for c in retail_checks()
+        for c in generic_checks()
     ]
+    for name, sql in SQL.items():
+        if name.startswith("sgl") and "_fault_" not in name:
+            check = name.split("_", 1)[1]
+            rows.append(f"SELECT '{check}', '{check}', (SELECT count(*) FROM ({sql}) AS found)")
     return (
         'SELECT "check", "table", CASE WHEN failing_rows = 0 THEN \'pass\' ELSE \'fail\' END AS status, '
         f"failing_rows FROM ({' UNION ALL '.join(rows)}) AS counted"
@@ -50,14 +57,13 @@ def _check_results() -> str:
 _LATE = """SELECT refund_id, original_period_id, adjustment_period_id, days_after_close
            FROM fct_period_close_adjustments WHERE is_late_adjustment"""
 _CLOSED = "FROM mart_revenue_reconciliation_by_period WHERE is_closed"
-_FRESHNESS = """
-    WITH f AS (SELECT 'stg_orders' AS source_name, CAST(max(order_date) AS TIMESTAMP) AS max_loaded_at FROM stg_orders
-               UNION ALL SELECT 'stg_payments', max(payment_date) FROM stg_payments
-               UNION ALL SELECT 'stg_billing__refunds', max(refund_date) FROM stg_billing__refunds
-               UNION ALL SELECT 'stg_events__events', max(event_timestamp) FROM stg_events__events),
-    a AS (SELECT f.*, CAST((SELECT max(order_date) FROM stg_orders) + 2 AS TIMESTAMP) - max_loaded_at AS age FROM f)
-    SELECT source_name, max_loaded_at, CASE WHEN age > INTERVAL 3 DAY THEN 'error' WHEN age > INTERVAL 1 DAY THEN 'warn'
-                                            ELSE 'pass' END AS status FROM a"""
+_LOADS = ", ".join(
+    f"('{name}', {9 * i})" for i, name in enumerate(f"{s}.{t}" for s, tables in SOURCES.items() for t in tables)
+)
+_FRESHNESS = f"""
+    SELECT source_name, CAST((SELECT max(order_date) FROM stg_orders) + 2 AS TIMESTAMP) - h * INTERVAL 1 HOUR AS max_loaded_at,
+           CASE WHEN h > 72 THEN 'error' WHEN h > 24 THEN 'warn' ELSE 'pass' END AS status
+    FROM (VALUES {_LOADS}) AS loads(source_name, h)"""
 _KEPT = "opening_mrr - contraction_mrr - churned_mrr"
 
 
@@ -151,8 +157,6 @@ SQL: dict[str, str] = {
     "chk9_contract": "SELECT * FROM mart_cash_movements_by_period",
     "chk10_freshness": _FRESHNESS,
     "chk12_volume_anomaly": "SELECT * FROM mart_volume_anomalies WHERE is_anomaly",
-    "chk13_check_results": _check_results(),
-    "chk13_check_summary": f"SELECT status, count(*) AS checks FROM ({_check_results()}) AS r GROUP BY 1",
     "chk14_reconcile": """
         SELECT period_id, 'amount' AS column_name, CAST(total_collected_against_bookings AS DECIMAL(28,2)) AS left_value,
                CAST(total_cash_in AS DECIMAL(28,2)) AS right_value
@@ -259,21 +263,6 @@ SQL: dict[str, str] = {
         WITH g AS (SELECT months_since_cohort_start AS n, CAST(sum(active_chain_count) AS BIGINT) AS a,
                           CAST(sum(cohort_size) AS BIGINT) AS s FROM mart_retention_cohorts GROUP BY 1)
         SELECT n AS retention_cohort__months_since_cohort_start, {_count_ratio("a", "s")} AS retention_rate FROM g""",
-    "bi8_alert": f"""
-        SELECT 'failing check' AS section, "check" AS item, status, CAST(failing_rows AS DECIMAL(18,1)) AS value
-        FROM ({_check_results()}) AS r WHERE status = 'fail'
-        UNION ALL
-        SELECT 'late adjustment', CAST(refund_id AS VARCHAR), 'informational', days_after_close FROM ({_LATE}) AS l""",
-    "bi9_health": f"""
-        SELECT 'checks' AS section, status AS item, status, CAST(count(*) AS DECIMAL(18,1)) AS value
-        FROM ({_check_results()}) AS r GROUP BY status
-        UNION ALL SELECT 'source freshness', source_name, status, NULL FROM ({_FRESHNESS}) AS f WHERE status <> 'pass'
-        UNION ALL SELECT 'contract', unnest(['fct_orders', 'fct_invoices', 'mart_cash_movements_by_period',
-                                             'mart_revenue_reconciliation_by_period']), 'enforced', NULL
-        UNION ALL SELECT 'volume anomaly', source_name || '/' || period_id, 'anomaly', pct_change_vs_trailing_avg
-                  FROM mart_volume_anomalies WHERE is_anomaly
-        UNION ALL SELECT 'late adjustment', CAST(refund_id AS VARCHAR), 'informational', days_after_close
-                  FROM ({_LATE}) AS l""",
     # -- hand-written checks: the offending rows, looked for another way ----------------------
     "sgl01_assert_accounting_periods_no_gaps_or_overlaps": """
         SELECT a.period_id, a.period_end_date, b.period_start_date AS next_period_start_date
@@ -311,10 +300,11 @@ SQL: dict[str, str] = {
         SELECT count(*) AS late_adjustment_count FROM fct_period_close_adjustments
         WHERE is_late_adjustment HAVING count(*) = 0""",
     "sgl09_assert_late_refund_lands_in_its_own_cash_period": """
-        SELECT e.refund_id, adjustment_period_id, refund_amount, billing_cash_out
-        FROM (SELECT CAST(1 AS BIGINT) AS refund_id) e LEFT JOIN fct_period_close_adjustments r ON r.refund_id = e.refund_id
-        LEFT JOIN mart_cash_movements_by_period c ON c.period_id = adjustment_period_id
-        WHERE NOT coalesce(billing_cash_out >= refund_amount, false)""",
+        WITH late AS (SELECT adjustment_period_id AS period_id, CAST(sum(refund_amount) AS DECIMAL(18,2)) AS late_refund_amount
+                      FROM fct_period_close_adjustments WHERE is_late_adjustment GROUP BY 1)
+        SELECT period_id, late_refund_amount, billing_cash_out
+        FROM late LEFT JOIN mart_cash_movements_by_period USING (period_id)
+        WHERE period_id IS NULL OR coalesce(billing_cash_out, 0) < late_refund_amount""",
     "sgl10_assert_mrr_bridge_reconciles": "SELECT * FROM mart_mrr_movements WHERE closing_mrr <> computed_closing_mrr",
     "sgl11_assert_no_duplicate_events_remain": """
         SELECT anonymous_id, event_type, event_timestamp, coalesce(product_id, -1) AS product_id_key, count(*) AS row_count
@@ -350,6 +340,26 @@ SQL: dict[str, str] = {
                                   AS next_phase_start_date FROM fct_subscriptions) AS o
         WHERE phase_end_date > next_phase_start_date""",
 }
+SQL |= {f"chk9_contract_{name}": f"SELECT * FROM {name}" for name in CONTRACTS}
+SQL |= {
+    "chk13_check_results": _check_results(),
+    "chk13_check_summary": f"SELECT status, count(*) AS checks FROM ({_check_results()}) AS r GROUP BY 1",
+    "bi8_alert": f"""
+        SELECT 'failing check' AS section, "check" AS item, status, CAST(failing_rows AS DECIMAL(18,1)) AS value
+        FROM ({_check_results()}) AS r WHERE status = 'fail'
+        UNION ALL
+        SELECT 'late adjustment', CAST(refund_id AS VARCHAR), 'informational', days_after_close FROM ({_LATE}) AS l""",
+    "bi9_health": f"""
+        SELECT 'checks' AS section, status AS item, status, CAST(count(*) AS DECIMAL(18,1)) AS value
+        FROM ({_check_results()}) AS r GROUP BY status
+        UNION ALL SELECT 'source freshness', source_name, status, NULL FROM ({_FRESHNESS}) AS f WHERE status <> 'pass'
+        UNION ALL SELECT 'contract', unnest(['fct_orders', 'fct_invoices', 'mart_cash_movements_by_period',
+                                             'mart_revenue_reconciliation_by_period']), 'enforced', NULL
+        UNION ALL SELECT 'volume anomaly', source_name || '/' || period_id, 'anomaly', pct_change_vs_trailing_avg
+                  FROM mart_volume_anomalies WHERE is_anomaly
+        UNION ALL SELECT 'late adjustment', CAST(refund_id AS VARCHAR), 'informational', days_after_close
+                  FROM ({_LATE}) AS l""",
+}
 SQL.update({f"stg{i:02d}_{name}": f"SELECT * FROM {name}" for i, name in enumerate(STAGING_IDS, 1)})
 SQL.update({f"md{i:02d}_{name}": f"SELECT * FROM {name}" for i, name in enumerate(MODEL_IDS, 1)})
 

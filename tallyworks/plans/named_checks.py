@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.functions.columns import money, sum_money, zero_money
 from tallyworks.operators.checks import Unique
+from tallyworks.operators.joins import join_hot
 from tallyworks.operators.periods import assign_period
 from tallyworks.operators.subscriptions import monthly_price
 from tallyworks.operators.windows import lead_date
@@ -127,22 +128,20 @@ def late_adjustment_scenario_exists(t: Tables) -> DataFrame:
     return late.agg(F.count("*").alias("late_adjustment_count")).filter(F.col("late_adjustment_count") == 0)
 
 
-def late_refund_lands_in_its_own_cash_period(t: Tables, refund_id: int = 1) -> DataFrame:
-    """Anchored on the refund expected to exist, so a missing refund fails instead of passing unseen."""
-    spark = SparkSession.active()
-    expected = spark.range(1).select(F.lit(refund_id).cast("long").alias("refund_id"))
-    refund = (
-        t["fct_period_close_adjustments"]
-        .filter(F.col("refund_id") == refund_id)
-        .select("refund_id", "adjustment_period_id", "refund_amount")
-    )
-    cash = t["mart_cash_movements_by_period"].select(
-        F.col("period_id").alias("adjustment_period_id"), "billing_cash_out"
-    )
-    checked = expected.join(refund, "refund_id", "left").join(cash, "adjustment_period_id", "left")
-    out = F.col("billing_cash_out")
-    return checked.select("refund_id", "adjustment_period_id", "refund_amount", "billing_cash_out").filter(
-        F.col("adjustment_period_id").isNull() | out.isNull() | (out < F.col("refund_amount"))
+def late_refund_lands_in_its_own_cash_period(t: Tables) -> DataFrame:
+    """Periods whose cash out, as reported, does not hold the late refunds paid in them."""
+    refunds = t["stg_billing__refunds"].select("refund_id", "refund_date")
+    late = t["fct_period_close_adjustments"].filter("is_late_adjustment").select("refund_id", "refund_amount")
+    paid = join_hot(late, refunds, "refund_id").groupBy("refund_date").agg(sum_money("refund_amount").alias("_amount"))
+    cash = t["mart_cash_movements_by_period"].select("period_id", "billing_cash_out")
+    bounds = t["accounting_periods"].select("period_id", "period_start_date", "period_end_date").join(cash, "period_id", "left")
+    placed = assign_period(paid, "refund_date", t["accounting_periods"]).groupBy("period_id").agg(
+        sum_money("_amount").alias("late_refund_amount")
+    )
+    out = F.coalesce("billing_cash_out", zero_money())
+    checked = placed.join(bounds, "period_id", "left")
+    return checked.filter(F.col("period_id").isNull() | (out < F.col("late_refund_amount"))).select(
+        "period_id", "late_refund_amount", "billing_cash_out"
     )
 
 

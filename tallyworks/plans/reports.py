@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyworks.functions.columns import RATIO
 from tallyworks.operators.checks import summarize
+from tallyworks.operators.contracts import Contract, contract_status
 from tallyworks.operators.metrics import Registry, metric_query
 
 Tables = Mapping[str, DataFrame]
@@ -124,13 +126,15 @@ def alert(results: DataFrame, t: Tables) -> DataFrame:
     )
 
 
-def health(results: DataFrame, sources: DataFrame, contracts: Sequence[str], t: Tables) -> DataFrame:
-    """Check counts by status, stale sources, contracted tables, anomalies and late adjustments."""
+def health(results: DataFrame, sources: DataFrame, contracts: Mapping[str, Contract], t: Tables) -> DataFrame:
+    """Check counts by status, stale sources, contracts as they are kept, anomalies and late adjustments."""
     counts = _section(summarize(results), "checks", F.col("status"), F.col("status"), F.col("checks"))
     stale = sources.filter(F.col("status") != "pass")
     stale = _section(stale, "source freshness", F.col("source_name"), F.col("status"), F.lit(None))
-    names = t["dim_accounting_periods"].limit(1).select(F.explode(F.array(*map(F.lit, sorted(contracts)))).alias("n"))
-    contracted = _section(names, "contract", F.col("n"), F.lit("enforced"), F.lit(None))
+    kept = [contract_status(t[name], contract, name) for name, contract in sorted(contracts.items())]
+    contracted = _section(
+        reduce(DataFrame.unionByName, kept), "contract", F.col("table_name"), F.col("status"), F.lit(None)
+    )
     odd = _section(
         volume_anomalies(t),
         "volume anomaly",

@@ -199,3 +199,15 @@ def test_late_refund_is_informational(sources):
 )
 def test_named_checks_fail_when_they_should(sources, check, source, change):
     assert NAMED_CHECKS[check](corrupted(sources, source, change)).count() > 0
+
+
+def test_all_checks_are_run():
+    """The names are written down here, apart from the code that declares the checks."""
+    from pathlib import Path
+
+    from tallyworks.plans.checkbook import generic_checks
+    from tallyworks.plans.named_checks import NAMED_CHECKS
+
+    expected = Path(__file__).with_name("check_names.txt").read_text().split()
+    assert len(expected) == 199
+    assert sorted([c.name for c in generic_checks()] + list(NAMED_CHECKS)) == expected
