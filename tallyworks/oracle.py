@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from tallyworks.operators.checks import RowCheck, Unique
-from tallyworks.oracle_views import exact_ratio, with_views
+from tallyworks.oracle_views import VIEWS, exact_ratio, with_views
 from tallyworks.plans.checkbook import generic_checks
+from tallyworks.plans.faults import FAULTS, NEGATIVE_PAYMENTS, Fault
 from tallyworks.plans.warehouse import CONTRACTS
 from tallyworks.queries import MODEL_IDS, STAGING_IDS
 from tallyworks.sources.ingest import SOURCES
@@ -269,7 +272,8 @@ SQL: dict[str, str] = {
         FROM accounting_periods a JOIN accounting_periods b ON b.period_id = a.period_id + 1
         WHERE b.period_start_date <> a.period_end_date + 1""",
     "sgl02_assert_activation_purchase_not_before_signup": """
-        SELECT customer_id, first_signup_at, first_purchase_at FROM mart_activation WHERE days_to_first_purchase < 0""",
+        SELECT customer_id, first_signup_at, first_purchase_at FROM mart_activation
+        WHERE first_purchase_at < first_signup_at""",
     "sgl03_assert_annual_plans_normalize_to_monthly_mrr": """
         SELECT subscription_id, mrr_amount, monthly_equivalent_price AS expected_mrr_amount
         FROM fct_subscriptions JOIN dim_plans USING (plan_id)
@@ -287,11 +291,14 @@ SQL: dict[str, str] = {
                          CAST(sum(o) AS DECIMAL(18,2)) AS recomputed_total_cash_out
                   FROM moved JOIN accounting_periods ON d BETWEEN period_start_date AND period_end_date GROUP BY 1)
         SELECT period_id, total_cash_in, recomputed_total_cash_in, total_cash_out, recomputed_total_cash_out
-        FROM mart_cash_movements_by_period JOIN again USING (period_id)
+        FROM (SELECT p.period_id, total_cash_in, total_cash_out,
+                     CAST(coalesce(recomputed_total_cash_in, 0) AS DECIMAL(18,2)) AS recomputed_total_cash_in,
+                     CAST(coalesce(recomputed_total_cash_out, 0) AS DECIMAL(18,2)) AS recomputed_total_cash_out
+              FROM mart_cash_movements_by_period p LEFT JOIN again USING (period_id)) AS every_period
         WHERE total_cash_in <> recomputed_total_cash_in OR total_cash_out <> recomputed_total_cash_out""",
     "sgl06_assert_days_after_close_consistent_with_late_flag": """
         SELECT refund_id, is_late_adjustment, days_after_close FROM fct_period_close_adjustments
-        WHERE is_late_adjustment <> coalesce(days_after_close > 0, false)""",
+        WHERE CASE WHEN is_late_adjustment THEN coalesce(days_after_close <= 0, true) ELSE days_after_close IS NOT NULL END""",
     "sgl07_assert_invoice_lines_reconcile_to_invoice_amount": """
         SELECT invoice_id, invoice_amount, CAST(sum(line_amount) AS DECIMAL(18,2)) AS line_total
         FROM stg_billing__invoices JOIN stg_billing__invoice_lines USING (invoice_id)
@@ -321,7 +328,10 @@ SQL: dict[str, str] = {
         again AS (SELECT period_id, CAST(sum(a) AS DECIMAL(18,2)) AS recomputed_total_net_booked_revenue
                   FROM booked JOIN accounting_periods ON d BETWEEN period_start_date AND period_end_date GROUP BY 1)
         SELECT period_id, total_net_booked_revenue, recomputed_total_net_booked_revenue
-        FROM mart_revenue_reconciliation_by_period JOIN again USING (period_id)
+        FROM (SELECT p.period_id, total_net_booked_revenue,
+                     CAST(coalesce(recomputed_total_net_booked_revenue, 0) AS DECIMAL(18,2))
+                         AS recomputed_total_net_booked_revenue
+              FROM mart_revenue_reconciliation_by_period p LEFT JOIN again USING (period_id)) AS every_period
         WHERE total_net_booked_revenue <> recomputed_total_net_booked_revenue""",
     "sgl15_assert_refunded_retail_payments_net_to_zero": """
         WITH r AS (SELECT period_id, CAST(sum(amount) AS DECIMAL(18,2)) AS refunded_amount FROM stg_payments
@@ -340,6 +350,20 @@ SQL: dict[str, str] = {
                                   AS next_phase_start_date FROM fct_subscriptions) AS o
         WHERE phase_end_date > next_phase_start_date""",
 }
+
+
+def _with_fault(query: str, fault: Fault) -> str:
+    """The query over its table with the fault in it."""
+    faulty = f"faulty_{query.split('_')[0]}"
+    VIEWS[faulty] = fault.view()
+    return re.sub(rf"\b{fault.table}\b", faulty, SQL[query])
+
+
+for _query in [q for q in SQL if q.startswith("sgl")]:
+    _number, _check = _query.split("_", 1)
+    if _check in FAULTS:
+        SQL[f"{_number}_fault_{_check}"] = _with_fault(_query, FAULTS[_check])
+SQL["chk6_fault_not_negative"] = _with_fault("chk6_not_negative", NEGATIVE_PAYMENTS)
 SQL |= {f"chk9_contract_{name}": f"SELECT * FROM {name}" for name in CONTRACTS}
 SQL |= {
     "chk13_check_results": _check_results(),

@@ -33,6 +33,7 @@ from tallyworks.operators.spine import zero_fill
 from tallyworks.operators.subscriptions import authoritative
 from tallyworks.operators.windows import lead_date
 from tallyworks.plans import checkbook, events, reports
+from tallyworks.plans.faults import FAULTS, NEGATIVE_PAYMENTS, Fault
 from tallyworks.plans.governed import registry
 from tallyworks.plans.named_checks import NAMED_CHECKS
 from tallyworks.plans.warehouse import CONTRACTS, MODELS, Warehouse
@@ -140,8 +141,12 @@ def _model(name: str, query: str) -> Query:
     return lambda spark, directory: warehouse(spark, directory, query)[name]
 
 
-def _named_check(name: str) -> Query:
-    return lambda spark, directory: NAMED_CHECKS[name](warehouse(spark, directory))
+def _named_check(name: str, fault: Fault | None = None) -> Query:
+    def query(spark: SparkSession, directory: str) -> DataFrame:
+        w = warehouse(spark, directory)
+        return NAMED_CHECKS[name](fault.plant(w) if fault else w)
+
+    return query
 
 
 for _prefix, _names in (("stg", STAGING_IDS), ("md", MODEL_IDS)):
@@ -150,6 +155,8 @@ for _prefix, _names in (("stg", STAGING_IDS), ("md", MODEL_IDS)):
         QUERIES[_query] = _model(_name, _query)
 for _i, _name in enumerate(NAMED_CHECKS, 1):
     QUERIES[f"sgl{_i:02d}_{_name}"] = _named_check(_name)
+    if _name in FAULTS:
+        QUERIES[f"sgl{_i:02d}_fault_{_name}"] = _named_check(_name, FAULTS[_name])
 assert set(STAGING_IDS) | set(MODEL_IDS) == set(MODELS)
 
 
@@ -359,9 +366,18 @@ def chk5_accepted_range(w: Warehouse) -> DataFrame:
     return check.failures(w).select("cohort_month", "months_since_cohort_start", "retention_rate")
 
 
+def chk6_rows(w: Warehouse) -> DataFrame:
+    return NotNegative("fct_payments", "net_collected_amount").failures(w).select("payment_id", "net_collected_amount")
+
+
 @register
 def chk6_not_negative(w: Warehouse) -> DataFrame:
-    return NotNegative("fct_payments", "net_collected_amount").failures(w).select("payment_id", "net_collected_amount")
+    return chk6_rows(w)
+
+
+@register
+def chk6_fault_not_negative(w: Warehouse) -> DataFrame:
+    return chk6_rows(NEGATIVE_PAYMENTS.plant(w))
 
 
 @register

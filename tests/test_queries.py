@@ -39,6 +39,7 @@ def test_query_equals_sql(spark, duck, name):
     columns = [c[0] for c in cursor.description]
     assert sorted(columns) == sorted(df.columns)
     assert got == _bag(columns, cursor.fetchall())
+    assert got or "_fault_" not in name, "a planted fault was not found"
 
 
 def test_entry(spark):
