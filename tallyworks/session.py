@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
+_own_folders: dict[str, str] = {}
+
 #: Runtime settings. Every one is a stock Spark option; a cluster's own defaults win for
 #: anything not listed here (memory, cores, shuffle service, checkpoint folder).
 SETTINGS = {
@@ -29,6 +33,20 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
+def scratch_root(spark: SparkSession) -> str | None:
+    """The shared folder for scratch tables; on a single machine, where none is set, one of our own.
+
+    On a cluster without the setting there is none: a folder on one machine would be missing on others.
+    """
+    folder = checkpoint_dir(spark)
+    if folder or not spark.sparkContext.master.split("[")[0] == "local":
+        return folder
+    app = spark.sparkContext.applicationId
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="tallyworks-")
+    return _own_folders[app]
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in SETTINGS.items():

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.operators.contracts import Contract, ContractViolation, assert_contract, schema_violations
-from tallyworks.session import checkpoint_dir
+from tallyworks.session import scratch_root
 from tallyworks.sources.ingest import LOADED_AT
 
 POINTER = "_current"
@@ -114,9 +114,9 @@ def write_scratch(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` to the session's shared checkpoint folder and read it back.
 
     Unlike an RDD checkpoint this runs the plan once and keeps column pruning. The folder is the
-    cluster's to clean, like any checkpoint. Without one, ``df`` is returned as it is.
+    cluster's to clean, like any checkpoint. On a cluster without one, ``df`` is returned as it is.
     """
-    folder = checkpoint_dir(df.sparkSession)
+    folder = scratch_root(df.sparkSession)
     if not folder:
         return df
     path = f"{folder}/tallyworks/{uuid4().hex}"
