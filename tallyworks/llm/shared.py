@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyworks.operators.joins import join_hot
-from tallyworks.session import checkpoint_dir
+from tallyworks.session import scratch_root
 
 #: Stands for a missing doc_id: such a row counts as the last document.
 LAST_ID = (1 << 63) - 1
-_own_folders: dict[str, str] = {}
 _shipped: set[str] = set()
 
 
@@ -39,14 +38,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one of our own only where the session names none."""
-    folder = checkpoint_dir(spark)
-    if folder:
-        return folder
-    app = spark.sparkContext.applicationId
-    if app not in _own_folders:
-        _own_folders[app] = tempfile.mkdtemp(prefix="corpus-")
-    return _own_folders[app]
+    """The folder of ``spark.checkpoint.dir``; on a single machine without it, one of our own."""
+    folder = scratch_root(spark)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return folder
 
 
 def scratch(df: DataFrame) -> DataFrame:
