@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,9 @@ from tallyworks.operators.subscriptions import bridge, cohorts, lifetime_value,
 from tallyworks.plans import billing, events, finance, reliability, retail, staging
 from tallyworks.sources.tables import read_table, replace_table, write_scratch
 
+#: Models that are written at the same time.
+AT_ONCE = 4
+
 # Each model names what it reads; a source is written "source.table".
 _Model = tuple[Callable[..., DataFrame], tuple[str, ...]]
 
@@ -268,10 +272,25 @@ class Warehouse(Mapping[str, DataFrame]):
         consumers nor a lost executor recompute the chain behind them, and each consumer reads
         only its own columns. Without such a folder they stay lazy.
         """
-        for name in names:
-            self._frames[name] = write_scratch(self[name])
+        self.compute(names, lambda name: write_scratch(self[name]))
         return self
 
+    def compute(self, names: Iterable[str], write: Callable[[str], DataFrame]) -> None:
+        """Write models and read what is written from then on; those that do not hang on each other go together."""
+        left = list(names)
+        with ThreadPoolExecutor(AT_ONCE) as pool:
+            while left:
+                ready = [n for n in left if not _behind(n) & set(left)]
+                for name, df in zip(ready, pool.map(write, ready), strict=True):
+                    self._frames[name] = df
+                left = [n for n in left if n not in ready]
+
+
+def _behind(name: str) -> set[str]:
+    """All models that a model is made from."""
+    reads = MODELS[name][1] if name in MODELS else ()
+    return {r for r in reads if r in MODELS}.union(*map(_behind, reads))
+
 
 def build(warehouse: Warehouse, root: str) -> Warehouse:
     """Write the shared intermediates and all marts under ``root``; returns a warehouse over them.
@@ -281,10 +300,12 @@ def build(warehouse: Warehouse, root: str) -> Warehouse:
     build before that table is published.
     """
     built = Warehouse(warehouse._sources)
-    order = [n for n in INTERMEDIATE if n in SHARED]
-    for name in [*order, *MARTS]:
+
+    def publish(name: str) -> DataFrame:
         layer = "intermediate" if name in SHARED else "marts"
-        built.use(name, replace_table(built[name], f"{root}/{layer}/{name}", CONTRACTS.get(name)))
+        return replace_table(built[name], f"{root}/{layer}/{name}", CONTRACTS.get(name))
+
+    built.compute([*[n for n in INTERMEDIATE if n in SHARED], *MARTS], publish)
     return built
 
 
