@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 from tallyworks.llm.words import Words, chunks, mix, text_bytes, words_of
 
-TABLE_BITS = 22
+TABLE_BITS = 21
 _SPACED = np.uint64(0xA24BAED4963EE407)
 _RUN = 0x9FB21C651E98DF25
 _JOINED = 1000
