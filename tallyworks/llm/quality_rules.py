@@ -26,13 +26,14 @@ SYMBOLS = r"[#*$%&|<>]"
 REPEAT_WINDOW = 8
 SHARE = 0.75
 STEPS = 5
-CERTAINTY = 0.9999
+CERTAINTY = 0.999
 LEAST_GROUP = 100
 UNIT = 1024
 BINS_PER_E = 16
-#: Spread that each statistic has at least: log of words, bytes a word, and logs of symbols, repeated
-#: lines and repeated words for every thousand.
-FLOORS = (1.5, 0.75, 0.75, 1.5, 1.5)
+#: Spread of each statistic that says nothing about a text: log of words, characters a word, and logs of
+#: symbols, repeated lines and repeated words for every thousand. Sized by the measurement: what one symbol,
+#: line or passage does to a text of ordinary length. Each statistic alone can reach the limit.
+FLOORS = (0.6, 0.4, 0.5, 0.6, 1.0)
 DIMENSIONS = len(FLOORS)
 
 

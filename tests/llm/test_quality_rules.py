@@ -86,3 +86,29 @@ def test_small_groups_and_edges(spark):
     assert quality_rules(empty(spark)).count() == 0
     pooled = quality_rules(messy(spark), least_group=20).filter("not base_failed")
     assert pooled.filter(F.col("distance").isNull()).count() == 0
+
+
+def ordinary(rng, n):
+    return [f"word{rng.integers(0, 1000):03d}" for _ in range(n)]
+
+
+def single_outliers(rng):
+    """A text for each statistic that is far out in it and ordinary in the others."""
+    passage = ordinary(rng, 25)
+    return {
+        "words": " ".join(ordinary(rng, 9000)),
+        "characters a word": " ".join(w + "letters" for w in ordinary(rng, 200)),
+        "symbols": " ".join("$#" + w[2:] for w in ordinary(rng, 200)),
+        "repeated lines": "\n".join(f"word{rng.integers(0, 30):03d}" for _ in range(200)),
+        "repeated words": " ".join(ordinary(rng, 75) + passage + ordinary(rng, 75) + passage),
+    }
+
+
+def test_an_outlier_in_any_single_statistic_is_rejected(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(ordinary(rng, int(rng.lognormal(5.3, 0.5)) + 20)), "en", "s") for i in range(400)]
+    names = {1000 + i: (name, text) for i, (name, text) in enumerate(single_outliers(rng).items())}
+    rows += [(i, text, "en", "s") for i, (_, text) in names.items()]
+    out = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert {name: (out[i].base_failed, out[i].kept) for i, (name, _) in names.items()} == {name: (False, False) for name, _ in names.values()}
+    assert sum(out[i].kept for i in range(400)) >= 396
