@@ -2,13 +2,18 @@
 
 Base rules look at each text alone. On top, each language and source has a robust picture of its
 documents: the minimum covariance determinant estimate over transformed statistics, found by
-concentration steps. A step measures every document's Mahalanobis distance under the current mean and
-covariance, keeps the share with the smallest distances, and takes mean and covariance of those. A
-document whose distance under the final estimate is beyond a chi-square quantile is rejected.
-
-A step is one pass: distances are put into narrow logarithmic bins, moments are summed by group and
-bin before the shuffle, and the bins that make up the share are added up. Sums are of whole numbers,
-so the outcome does not depend on their order. Whatever a source's size, a task sees its bins only.
+concentration steps from several starts. A step measures every document's Mahalanobis distance under
+the current mean and covariance, keeps the half with the smallest distances, and takes mean and
+covariance of those. Of all starts the one whose covariance has the smallest determinant is chosen, and
+estimated once more from all documents near it. A document whose distance under that is beyond a
+chi-square quantile is rejected.
+
+A step is one pass for all starts: distances are put into narrow logarithmic bins, moments are summed
+by group, start and bin before the shuffle, and the bins that make up the half are added up, the last
+one by the part of it that is still missing. Sums are of whole numbers, so the outcome does not depend
+on their order. Whatever a source's size, a task sees its bins only. Documents with equal statistics
+are one row of the estimate: copies say nothing new about a source, and a third of a core that has no
+spread would make everything else look far away.
 """
 
 from __future__ import annotations
@@ -25,7 +30,12 @@ from tallyworks.operators.joins import join_hot
 SYMBOLS = r"[#*$%&|<>]"
 REPEAT_WINDOW = 8
 SHARE = 0.75
+CORE = 0.5
 STEPS = 5
+#: Starts of the concentration besides the plain and the median one: rows of each group, by hash.
+ROW_STARTS = 3
+#: Rows up to this chi-square quantile from the chosen core make the final estimate.
+NEAR = 0.975
 CERTAINTY = 0.999
 LEAST_GROUP = 100
 UNIT = 1024
@@ -119,19 +129,23 @@ def consistency(share: float, k: int) -> float:
     return share / chi_square_cdf(chi_square_quantile(share, k), k + 2)
 
 
+_NAMES = [*[f"m{i}" for i in range(DIMENSIONS)], *[f"m{i}_{j}" for i in range(DIMENSIONS) for j in range(i + 1)]]
+_PARTS = [*[f"u{i}" for i in range(DIMENSIONS)], *[f"l{i}_{j}" for i in range(DIMENSIONS) for j in range(i + 1)]]
+
+
 def _moments() -> list[Column]:
     sums = [F.sum(f"x{i}").alias(f"m{i}") for i in range(DIMENSIONS)]
     return sums + [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"m{i}_{j}") for i in range(DIMENSIONS) for j in range(i + 1)]
 
 
-def _estimate(moments: DataFrame, key: str, factor: float) -> DataFrame:
-    """Mean ``u`` and the lower triangle ``l`` whose square is the covariance, by ``key``, from summed moments.
+def _estimate(moments: DataFrame, keys: list[str], factor: float, added: bool = False) -> DataFrame:
+    """Mean ``u`` and the lower triangle ``l`` whose square is the covariance, by ``keys``, from summed moments.
 
-    The covariance gets the square of each statistic's floor added, so it never is singular.
+    A variance is at least the square of the statistic's floor, or has that ``added``, so the covariance never is singular.
     """
     n = F.col("n").cast("double")
     frame = moments.select(
-        key,
+        *keys,
         *[(F.col(f"m{i}") / n / UNIT).alias(f"u{i}") for i in range(DIMENSIONS)],
         *[(F.col(f"m{i}_{j}") / n / UNIT**2).alias(f"c{i}_{j}") for i in range(DIMENSIONS) for j in range(i + 1)],
     )
@@ -139,12 +153,12 @@ def _estimate(moments: DataFrame, key: str, factor: float) -> DataFrame:
         for j in range(i + 1):
             covariance = (F.col(f"c{i}_{j}") - F.col(f"u{i}") * F.col(f"u{j}")) * factor
             if i == j:
-                covariance = F.greatest(covariance, F.lit(0.0)) + FLOORS[i] ** 2
+                covariance = F.greatest(covariance, F.lit(0.0)) + FLOORS[i] ** 2 if added else F.greatest(covariance, F.lit(FLOORS[i] ** 2))
             for k in range(j):
                 covariance = covariance - F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}")
             entry = F.sqrt(F.greatest(covariance, F.lit(1e-6))) if i == j else covariance / F.col(f"l{j}_{j}")
             frame = frame.withColumn(f"l{i}_{j}", entry)
-    return frame.select(key, *[f"u{i}" for i in range(DIMENSIONS)], *[f"l{i}_{j}" for i in range(DIMENSIONS) for j in range(i + 1)])
+    return frame.select(*keys, *_PARTS)
 
 
 def _distance(rows: DataFrame) -> DataFrame:
@@ -168,19 +182,80 @@ def _concentrate(vectors: DataFrame, estimate: DataFrame, share: float) -> DataF
     whole = Window.partitionBy("_group")
     placed = binned.withColumn("_before", F.coalesce(F.sum("n").over(upto), F.lit(0))).withColumn("_total", F.sum("n").over(whole))
     chosen = placed.filter(F.col("_before") < F.ceil(F.col("_total") * share))
-    names = ["n", *[f"m{i}" for i in range(DIMENSIONS)], *[f"m{i}_{j}" for i in range(DIMENSIONS) for j in range(i + 1)]]
-    return chosen.groupBy("_group").agg(*[F.sum(c).alias(c) for c in names])
+    return chosen.groupBy("_group").agg(*[F.sum(c).alias(c) for c in ("n", *_NAMES)])
 
 
 def robust_estimates(vectors: DataFrame, share: float = SHARE, steps: int = STEPS) -> DataFrame:
-    """Minimum covariance determinant estimate of each ``_group`` of ``vectors`` (``x0`` and on, in units of 1/1024)."""
+    """Concentration steps from one start, the plain mean and covariance, for each ``_group`` of ``vectors``.
+
+    ``vectors`` have ``x0`` and on, in units of 1/1024. Good against few outliers; see ``minimum_determinant``.
+    """
     first = vectors.groupBy("_group").agg(F.count("*").alias("n"), *_moments())
-    estimate = scratch(_estimate(first, "_group", 1.0))
+    estimate = scratch(_estimate(first, ["_group"], 1.0, added=True))
     for _ in range(steps):
-        estimate = scratch(_estimate(_concentrate(vectors, estimate, share), "_group", consistency(share, DIMENSIONS)))
+        estimate = scratch(_estimate(_concentrate(vectors, estimate, share), ["_group"], consistency(share, DIMENSIONS), added=True))
     return estimate
 
 
+def _starts(vectors: DataFrame) -> DataFrame:
+    """Where the concentration of each group starts: ``_group, _start`` and an estimate.
+
+    The plain mean and covariance; the medians; and some of its rows. All but the first have the shorter
+    of the two middle quarters of each statistic as its spread.
+    """
+    quarters = [F.percentile(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}") for i in range(DIMENSIONS)]
+    vector = F.struct(*[f"x{i}" for i in range(DIMENSIONS)])
+    drawn = [F.min_by(vector, F.struct(F.xxhash64(F.lit(k), vector), vector)).alias(f"r{k}") for k in range(ROW_STARTS)]
+    made = scratch(vectors.groupBy("_group").agg(F.count("*").alias("n"), *_moments(), *quarters, *drawn))
+    spreads = []
+    for i in range(DIMENSIONS):
+        q = F.col(f"q{i}")
+        spreads.append(F.greatest(F.least(q[2] - q[1], q[1] - q[0]) / UNIT / 0.6745, F.lit(FLOORS[i])))
+    triangle = [(spreads[i] if i == j else F.lit(0.0)).alias(f"l{i}_{j}") for i in range(DIMENSIONS) for j in range(i + 1)]
+    out = _estimate(made, ["_group"], 1.0, added=True).withColumn("_start", F.lit(0))
+    middles = [[F.col(f"q{i}")[1] for i in range(DIMENSIONS)], *[[F.col(f"r{k}")[f"x{i}"] for i in range(DIMENSIONS)] for k in range(ROW_STARTS)]]
+    for start, middle in enumerate(middles, 1):
+        means = [(m / UNIT).cast("double").alias(f"u{i}") for i, m in enumerate(middle)]
+        out = out.unionByName(made.select("_group", *means, *triangle, F.lit(start).alias("_start")))
+    return out
+
+
+def _core(vectors: DataFrame, estimates: DataFrame, share: float) -> DataFrame:
+    """Moments of the share of each group's rows with the smallest distances, by start; the last bin counts by the part that is missing."""
+    near = _distance(join_hot(vectors, estimates, "_group")).withColumn("_bin", F.floor(F.log(F.col("d2") + 1e-3) * BINS_PER_E))
+    binned = near.groupBy("_group", "_start", "_bin").agg(F.count("*").alias("n"), *_moments())
+    upto = Window.partitionBy("_group", "_start").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_group", "_start")
+    placed = binned.withColumn("_before", F.coalesce(F.sum("n").over(upto), F.lit(0))).withColumn("_size", F.ceil(F.sum("n").over(whole) * share))
+    chosen = placed.filter(F.col("_before") < F.col("_size")).withColumn("_rest", F.col("_size") - F.col("_before"))
+    inside = F.col("n") <= F.col("_rest")
+
+    def total(name: str) -> Column:
+        part = F.sum(F.when(~inside, F.col(name) * (F.col("_rest") / F.col("n"))))
+        return (F.coalesce(F.sum(F.when(inside, F.col(name))), F.lit(0)) + F.coalesce(part, F.lit(0.0))).alias(name)
+
+    return chosen.groupBy("_group", "_start").agg(*[total(c) for c in ("n", *_NAMES)])
+
+
+def minimum_determinant(vectors: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFrame:
+    """Minimum covariance determinant estimate of each ``_group`` of ``vectors`` (``x0`` and on, in units of 1/1024).
+
+    Equal vectors of a group count once. Cores have the floors added, which bounds their spread in every
+    direction: a tight group far away does not win by its small spread across the way to it. The best
+    core's estimate is renewed from all rows near it, with the floors as the least spread.
+    """
+    distinct = scratch(vectors.select("_group", *[f"x{i}" for i in range(DIMENSIONS)]).distinct())
+    estimates = scratch(_starts(distinct))
+    for _ in range(steps):
+        estimates = scratch(_estimate(_core(distinct, estimates, core), ["_group", "_start"], consistency(core, DIMENSIONS), added=True))
+    determinant = F.lit(1.0)
+    for i in range(DIMENSIONS):
+        determinant = determinant * F.col(f"l{i}_{i}") * F.col(f"l{i}_{i}")
+    best = estimates.groupBy("_group").agg(F.min_by(F.struct(*_PARTS), F.struct(determinant, "_start")).alias("e")).select("_group", "e.*")
+    near = _distance(join_hot(distinct, best, "_group")).filter(F.col("d2") <= chi_square_quantile(NEAR, DIMENSIONS))
+    return scratch(_estimate(near.groupBy("_group").agg(F.count("*").alias("n"), *_moments()), ["_group"], consistency(NEAR, DIMENSIONS)))
+
+
 def _grouped(rows: DataFrame, lang: str, source: str, least: int) -> DataFrame:
     """``rows`` with ``_group``: language and source if they have enough rows, else the language, else all of those."""
 
@@ -208,7 +283,7 @@ def quality_rules(
     text: str = "text",
     lang: str = "lang",
     source: str = "source",
-    share: float = SHARE,
+    share: float = CORE,
     steps: int = STEPS,
     certainty: float = CERTAINTY,
     least_group: int = LEAST_GROUP,
@@ -219,14 +294,14 @@ def quality_rules(
     ``least_group`` are put together by language, and those by themselves where still too few; if even
     these are fewer, nothing is rejected on their account. ``distance`` is the squared Mahalanobis
     distance, null for documents that fail the base rules or have no estimate. Null texts have no words
-    and fail; a missing language or source is a group of its own. Repeated rows count as often as they
-    occur. An empty table gives an empty table; other columns are left out.
+    and fail; a missing language or source is a group of its own. Documents with equal statistics count
+    once in the estimates, and each is judged. An empty table gives an empty table; other columns are left out.
     """
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
     figures = text_statistics(own, "text").drop("text").withColumn("base_failed", base_failed())
     figures = scratch(figures.select("*", *[v.alias(f"x{i}") for i, v in enumerate(statistic_vector())]))
     passed = scratch(_grouped(figures.filter(~F.col("base_failed")), "lang", "source", least_group))
-    estimates = robust_estimates(passed, share, steps)
+    estimates = minimum_determinant(passed, share, steps)
     enough = passed.groupBy("_group").agg((F.count("*") >= least_group).alias("_enough"))
     judged = _distance(join_hot(passed, estimates.join(enough, "_group"), "_group"))
     beyond = chi_square_quantile(certainty, DIMENSIONS)

@@ -6,7 +6,18 @@ import pytest
 from messy import empty, messy, messy_rows, words
 from pyspark.sql import functions as F
 
-from tallyworks.llm.quality_rules import FLOORS, chi_square_cdf, chi_square_quantile, consistency, quality_rules, robust_estimates, text_statistics
+from tallyworks.llm.quality_rules import (
+    FLOORS,
+    _core,
+    _starts,
+    chi_square_cdf,
+    chi_square_quantile,
+    consistency,
+    minimum_determinant,
+    quality_rules,
+    robust_estimates,
+    text_statistics,
+)
 
 
 def brute(text):
@@ -112,3 +123,35 @@ def test_an_outlier_in_any_single_statistic_is_rejected(spark):
     out = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert {name: (out[i].base_failed, out[i].kept) for i, (name, _) in names.items()} == {name: (False, False) for name, _ in names.values()}
     assert sum(out[i].kept for i in range(400)) >= 396
+
+
+def test_copies_of_an_outlier_are_rejected_at_a_third_of_the_rows(spark):
+    """Exact copies, near copies, and other outliers of the same source; and copies of an ordinary text cost no other text."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(ordinary(rng, int(rng.lognormal(5.3, 0.5)) + 20)), s) for s in "abc" for i in range(400)]
+    others = [(1000 + i, text) for i, text in enumerate(single_outliers(rng).values())]
+    rows += [(i, text, s) for s in "abc" for i, text in others]
+    junk = ["$#" + w[2:] for w in ordinary(rng, 200)]
+    rows += [(2000 + i, " ".join(junk), "a") for i in range(200)]
+    rows += [(2000 + i, " ".join(junk[: 190 + i % 10] + ordinary(rng, 1)), "b") for i in range(200)]
+    rows += [(2000 + i, rows[0][1], "c") for i in range(200)]
+    docs = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, source string, lang string")
+    out = [r for s in "abc" for r in quality_rules(docs.filter(F.col("source") == s)).withColumn("s", F.lit(s)).collect()]
+    kept = {s: {r.doc_id for r in out if r.s == s and r.kept} for s in "abc"}
+    assert not any(1000 <= i < 2000 for s in "abc" for i in kept[s])
+    assert not any(i >= 2000 for s in "ab" for i in kept[s]) and sum(i >= 2000 for i in kept["c"]) == 200
+    assert all(sum(i < 1000 for i in kept[s]) >= 392 for s in "abc")
+
+
+def test_the_core_keeps_its_size_and_the_smallest_determinant_wins(spark):
+    """A third of the rows lies apart, in a group of its own that steps from the plain mean and covariance keep."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 0.8, (1000, 5))
+    x[:340] = 6 + rng.normal(0, 0.2, (340, 5))
+    rows = [("g", *map(int, r)) for r in np.round(x * 1024).astype(int)] + [("h", *map(int, r)) for r in np.round(x[[0] * 90 + [400] * 91] * 1024).astype(int)]
+    df = spark.createDataFrame(rows, "_group string, " + ", ".join(f"x{i} long" for i in range(5))).repartition(4)
+    got = {r["_group"]: r for r in minimum_determinant(df).collect()}
+    assert abs(robust_estimates(df.filter("_group = 'g'")).first().u0) > 0.5
+    assert all(abs(got["g"][f"u{i}"]) < 0.3 and 0.6 < got["g"][f"l{i}_{i}"] < 1.2 for i in range(5))
+    cores = _core(df, _starts(df), 0.5).collect()
+    assert {(r["_group"], r["_start"]): r["n"] for r in cores} == {(g, s): n for g, n in (("g", 500), ("h", 91)) for s in range(5)}
