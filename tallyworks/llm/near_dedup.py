@@ -1,6 +1,6 @@
 """Near-duplicate documents by MinHash signatures joined through an inverted index of coordinates.
 
-Equal shingle sets are one class from the start. Each class posts its signature as 64 tokens, a
+Equal shingle sets are one class from the start, named by a hash of the set; ids are no part of the search. Each class posts its signature as 64 tokens, a
 coordinate and its value. Two signatures with at least ``t`` equal coordinates share one of the
 ``m - t + 1`` rarest of either's tokens, so only that prefix is posted; the frequent tokens behind it
 are skipped in the index and counted straight from the signatures. Lists give clusters of classes
@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyworks.llm.shared import LAST_ID, components, scratch, ship
+from tallyworks.llm.shared import LAST_ID, components, scratch, ship, with_fields
 from tallyworks.llm.token_ids import filled_ids
 from tallyworks.llm.words import chunks, constants, mix, text_bytes, words_of
 from tallyworks.operators.joins import join_hot
@@ -77,6 +78,33 @@ def signatures(values: np.ndarray, sizes: np.ndarray, coordinates: int) -> np.nd
     return out
 
 
+def set_keys(values: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
+    """A 128-bit key of each set, null for empty ones."""
+    some = np.flatnonzero(sizes)
+    keys: list[bytes | None] = [None] * len(sizes)
+    if len(some):
+        starts = np.cumsum(sizes[some]) - sizes[some]
+        one = np.add.reduceat(mix(values), starts)
+        two = np.add.reduceat(mix(values ^ np.uint64(0x5851F42D4C957F2D)), starts)
+        for i, at in enumerate(some):
+            keys[at] = int(one[i]).to_bytes(8, "little") + int(two[i]).to_bytes(8, "little")
+    return keys
+
+
+def keyed(docs: DataFrame, shingle: int, text: str = "text") -> DataFrame:
+    """``docs`` with ``_set_key``, the key that ``sign`` gives to each text."""
+    ship(docs.sparkSession)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, text):
+                keys = set_keys(*shingle_sets(text_bytes(part.column(text)), shingle))
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(keys, pa.binary())], names=[*names, "_set_key"])
+
+    return docs.mapInArrow(run, with_fields(docs.schema, T.StructField("_set_key", T.BinaryType())))
+
+
 def sign(docs: DataFrame, shingle: int, coordinates: int = COORDINATES, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``doc_id, n_shingles, set_key, signature``; key and signature are null for texts without words."""
     ship(docs.sparkSession)
@@ -87,15 +115,10 @@ def sign(docs: DataFrame, shingle: int, coordinates: int = COORDINATES, text: st
                 values, sizes = shingle_sets(text_bytes(part.column(text)), shingle)
                 some = np.flatnonzero(sizes)
                 rows = signatures(values, sizes, coordinates)
-                keys: list[bytes | None] = [None] * len(sizes)
+                keys = set_keys(values, sizes)
                 signed: list[bytes | None] = [None] * len(sizes)
-                if len(some):
-                    starts = np.cumsum(sizes[some]) - sizes[some]
-                    one = np.add.reduceat(mix(values), starts)
-                    two = np.add.reduceat(mix(values ^ np.uint64(0x5851F42D4C957F2D)), starts)
-                    for i, at in enumerate(some):
-                        keys[at] = int(one[i]).to_bytes(8, "little") + int(two[i]).to_bytes(8, "little")
-                        signed[at] = rows[i].tobytes()
+                for i, at in enumerate(some):
+                    signed[at] = rows[i].tobytes()
                 ids = pa.array(filled_ids(part.column(doc_id), LAST_ID))
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signed, pa.binary())],
@@ -208,11 +231,15 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int, t: i
     leads = posted.groupBy("token").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).filter("n > 1")
     near = components(join_hot(posted, leads, "token").select(F.col("rep").alias("a"), F.col("lead").alias("b")))
     scores = posted.groupBy("rep").agg(F.max("score").alias("score"))
-    members = near.select(F.col("node").alias("rep"), "component").join(classes.select("rep", "n", "signature"), "rep").join(scores, "rep", "left")
+    members = near.select(F.col("node").alias("rep"), "component").join(classes.select("rep", "least", "n", "signature"), "rep").join(scores, "rep", "left")
     sizes = members.groupBy("component").agg(F.sum("n").alias("total"), F.max(F.struct("score", "rep")).alias("lead"))
     placed = join_hot(members, sizes, "component").withColumn("blocks", F.ceil(F.col("total") / block_shingles))
-    full = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("rep"), "text")
-    held = scratch(full.join(placed.select("rep", "component", "blocks", "signature", F.col("lead.rep").alias("lead")), "rep"))
+    placed = scratch(placed.select("rep", "least", "component", "blocks", "signature", F.col("lead.rep").alias("lead")))
+    of_id = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("least"), "text")
+    texts = keyed(join_hot(of_id, placed.select("least").distinct(), "least", "left_semi"), shingle).withColumn("rep", F.xxhash64("_set_key"))
+    one_each = Window.partitionBy("rep").orderBy(F.octet_length("text"))
+    texts = texts.filter("_set_key is not null").withColumn("_turn", F.row_number().over(one_each)).filter("_turn = 1").select("rep", "text")
+    held = scratch(texts.join(placed.drop("least"), "rep"))
 
     small, large = held.filter("blocks = 1"), held.filter("blocks > 1")
     bins = small.groupBy().agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"] // (6 * block_shingles) + 1
@@ -259,34 +286,72 @@ def near_duplicates(
     reachable over links and ``kept`` marks that document. Every link is confirmed on full sets; a link
     at the threshold is missed with chance 1e-6.
 
-    Null texts and texts without words have empty sets and are linked with nothing. Repeated rows with
-    one ``doc_id`` are one document in the links, and each row is returned. A null ``doc_id`` counts as
-    the largest, and comes back null. An empty table gives an empty table; other columns are left out.
+    Null texts and texts without words have empty sets and are linked with nothing. Rows are linked by
+    their texts, whatever their ids: rows with one ``doc_id``, or none, and different texts may belong to
+    different components, and of those that share a component and its smallest id the rows of one text
+    are kept. Each row is returned. A null ``doc_id`` counts as the largest, and comes back null. An
+    empty table gives an empty table; other columns are left out.
     """
     if not 0 < percent <= 100:
         raise ValueError("percent lies above 0 and up to 100")
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    t = match_threshold(coordinates, percent / 100)
-    signed = scratch(sign(docs, shingle, coordinates))
-    classes = scratch(
-        signed.filter("n_shingles > 0")
-        .groupBy("set_key")
-        .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.max("signature").alias("signature"))
-    )
-    links = _links(docs, classes, shingle, percent, t, block_shingles)
-    found = components(links).select(F.col("node").alias("rep"), "component")
-    of_class = classes.select("set_key", "rep").join(found, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
+    signed, of_class = _placed(docs, shingle, percent, coordinates, block_shingles)
     out = join_hot(signed.select("doc_id", "n_shingles", "set_key"), of_class, "set_key", "left")
     component = F.coalesce("component", "doc_id")
     return out.select(
         F.nullif("doc_id", F.lit(LAST_ID)).alias("doc_id"),
         "n_shingles",
         F.nullif(component, F.lit(LAST_ID)).alias("component_id"),
-        (F.col("doc_id") == component).alias("kept"),
+        ((F.col("doc_id") == component) & F.coalesce("chosen", F.lit(True))).alias("kept"),
+    )
+
+
+def _placed(docs: DataFrame, shingle: int, percent: int, coordinates: int, block_shingles: int) -> tuple[DataFrame, DataFrame]:
+    """The signed rows, and of each set its component's smallest id and whether the set is the one ``chosen`` from it."""
+    t = match_threshold(coordinates, percent / 100)
+    signed = scratch(sign(docs, shingle, coordinates))
+    classes = scratch(
+        signed.filter("n_shingles > 0")
+        .groupBy("set_key")
+        .agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"), F.max("signature").alias("signature"))
+        .withColumn("rep", F.xxhash64("set_key"))
     )
+    found = components(_links(docs, classes, shingle, percent, t, block_shingles)).select(F.col("node").alias("rep"), F.col("component").alias("group"))
+    grouped = classes.select("set_key", "rep", "least").join(found, "rep", "left").withColumn("group", F.coalesce("group", "rep"))
+    tops = grouped.groupBy("group").agg(F.min(F.struct("least", "rep")).alias("top"))
+    of_class = join_hot(grouped, tops, "group")
+    return signed, scratch(of_class.select("set_key", F.col("top.least").alias("component"), (F.col("rep") == F.col("top.rep")).alias("chosen")))
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates, the one with the smallest ``doc_id``."""
-    kept = near_duplicates(docs, **options).filter("kept").select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("_kept_id")).distinct()
-    return docs.join(kept, F.coalesce(docs[options.get("doc_id", "doc_id")], F.lit(LAST_ID)) == kept["_kept_id"], "left_semi")
+def drop_near_duplicates(
+    docs: DataFrame,
+    shingle: int = 5,
+    percent: int = 80,
+    coordinates: int = COORDINATES,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    block_shingles: int = BLOCK_SHINGLES,
+) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates, of those with the smallest ``doc_id``; rows without words all stay."""
+    if not 0 < percent <= 100:
+        raise ValueError("percent lies above 0 and up to 100")
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    signed, of_class = _placed(own, shingle, percent, coordinates, block_shingles)
+    out = join_hot(signed.select("doc_id", "set_key"), of_class, "set_key", "left")
+    kept = out.filter(F.col("set_key").isNull() | F.col("chosen") & (F.col("doc_id") == F.col("component")))
+    counts = signed.groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count("*").alias("_n"))
+    several = scratch(counts.filter("_n > 1").select("_kept_id"))
+    named = docs.withColumn("_kept_id", F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)))
+    single = kept.select(F.col("doc_id").alias("_kept_id")).join(several, "_kept_id", "left_anti").distinct()
+    done = named.join(single, "_kept_id", "left_semi").select(*docs.columns)
+    if several.isEmpty():
+        return done
+
+    # An id of several rows does not tell which is meant: these rows are told apart by their texts.
+    rows = keyed(join_hot(named, several, "_kept_id", "left_semi"), shingle, text)
+    bare = rows.filter("_set_key is null").select(*docs.columns)
+    chosen = of_class.filter("chosen").select(F.col("set_key").alias("_set_key"), F.col("component").alias("_kept_id"))
+    met = join_hot(rows.filter("_set_key is not null"), chosen.withColumnRenamed("_kept_id", "_top_id"), "_set_key").filter("_kept_id = _top_id")
+    turn = F.row_number().over(Window.partitionBy("_set_key").orderBy("_kept_id"))
+    one_each = met.withColumn("_turn", turn).filter("_turn = 1").select(*docs.columns)
+    return done.unionByName(bare).unionByName(one_each)

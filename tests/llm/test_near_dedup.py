@@ -92,3 +92,16 @@ def test_components(spark):
         parent[y] = x
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: root(x) for x in parent if sum(root(y) == root(x) for y in parent) > 1}
+
+
+def test_rows_without_an_id_or_with_one_id_are_told_apart_by_their_texts(spark):
+    rng = random.Random(9)
+    a, b, c, d, e = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(80)) for x in "abcde")
+    rows = [(1, a), (None, a + " tail"), (None, b), (None, c), (None, c + " tail"), (None, c), (7, d), (7, e), (8, e + " tail"), (5, d + " tail"), (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = sorted((r.doc_id or 99, r.n_shingles, r.component_id or 99, r.kept) for r in near_duplicates(docs).collect() if r.n_shingles)
+    kept_c = [x[3] for x in out if x[0] == 99 and x[2] == 99]
+    assert [x for x in out if x[0] != 99] == [(1, 76, 1, True), (5, 77, 5, True), (7, 76, 5, False), (7, 76, 7, True), (8, 77, 7, False)]
+    assert [x for x in out if x[0] == 99 and x[2] != 99] == [(99, 77, 1, False)] and len(kept_c) == 4 and sum(kept_c) in (2, 3)
+    left = sorted((r.doc_id or 99, (r.text or "").removesuffix(" tail")) for r in drop_near_duplicates(docs).collect())
+    assert left == sorted([(1, a), (5, d), (7, e), (99, b), (99, c), (99, ""), (99, "")])
