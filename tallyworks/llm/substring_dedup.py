@@ -83,7 +83,8 @@ class _Group:
             _, inside = self.words.windows(longer, longer)
             least = hashed.copy()
             for step in range(1, longer - length + 1):
-                np.minimum(least[: len(least) - step], hashed[step:], out=least[: len(least) - step])
+                most = max(0, len(least) - step)
+                np.minimum(least[:most], hashed[step:], out=least[:most])
             places = np.flatnonzero(inside)
             return places, least[places]
         hashed, inside = self.words.windows(length, length)
@@ -93,9 +94,9 @@ class _Group:
             places = np.flatnonzero(self.alive)
         else:
             step = length - self.lengths[level - 1]
-            both = self.alive.copy()
-            both[: len(both) - step] &= self.alive[step:]
-            both[len(both) - step :] = False
+            most = max(0, len(self.alive) - step)
+            both = np.zeros(len(self.alive), dtype=bool)
+            both[:most] = self.alive[:most] & self.alive[step:]
             places = np.flatnonzero(both & inside)
         return places, hashed[places]
 

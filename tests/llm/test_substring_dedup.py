@@ -1,10 +1,11 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from messy import empty, messy, messy_rows, words
 
-from tallyworks.llm.substring_dedup import dedup_substrings, level_lengths
+from tallyworks.llm.substring_dedup import _Group, dedup_substrings, level_lengths
 
 
 def brute(rows, window):
@@ -57,5 +58,23 @@ def test_shared_passage_keeps_only_its_first_copy(spark):
     assert hashlib.sha256(out[1].text.encode()).hexdigest()
 
 
+@pytest.mark.parametrize("window", [13, 50])
+def test_groups_of_any_number_of_words(window):
+    for n in range(2 * window + 1):
+        text = " ".join(f"w{i % 3}" for i in range(n)).encode()
+        for texts in ([text], [text, text], [None, text, b"one"]):
+            group = _Group(np.arange(len(texts)), texts, level_lengths(window))
+            for level in range(len(group.lengths)):
+                distinct, _ = group.keys(level)
+                group.settle(np.zeros(len(distinct), dtype=bool), level == len(group.lengths) - 1)
+            repeats = int(group.alive.sum())
+            assert repeats == (max(0, n - window + 1) if texts == [text, text] else 0)
+
+
+def test_a_table_of_few_words(spark):
+    docs = spark.createDataFrame([(1, "just three words"), (2, None)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in dedup_substrings(docs).collect()) == [(1, 3, 0), (2, 0, 0)]
+
+
 def test_empty_table(spark):
     assert dedup_substrings(empty(spark)).count() == 0
