@@ -114,6 +114,27 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyworks.llm.mixing import mix_sources
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix_sources(docs, spans=False).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyworks.llm.conversation_trie import rebuilt_trie
+
+    return rebuilt_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyworks.llm.importance import resample
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resample(docs, _table(spark, sf_dir, "benchmark"), seed="7", percent=25)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -125,6 +146,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_merge_dropout": op9_merge_dropout,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_source_mixing": op11_source_mixing,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 #: DuckDB SQL with the same rows, for the queries that SQL can express on whole tables.

@@ -116,3 +116,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 def rule_column(condition: Column) -> Column:
     """A condition whose unknown outcome counts as false."""
     return F.coalesce(condition, F.lit(False))
+
+
+def numbered(df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """``df`` with each row's number, from 0, in the order of ``order``; no task holds more than its range of rows.
+
+    Rows are range-partitioned and sorted, so a hot value is cut as long as later columns of ``order``
+    tell its rows apart. What is broadcast is one row a partition.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    marked = scratch(ranged.withColumn("_mark", F.monotonically_increasing_id()))
+    part, place = F.shiftright("_mark", 33), F.col("_mark").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = marked.groupBy(part.alias("_of_part")).agg((F.max(place) + 1).alias("_rows"))
+    earlier = Window.orderBy("_of_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_of_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    placed = marked.join(F.broadcast(before), part == F.col("_of_part"))
+    return placed.select(*df.columns, (F.col("_before") + place).alias(out))
