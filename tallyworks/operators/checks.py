@@ -1,7 +1,9 @@
 """Data-quality checks. Each one yields its failing rows as a DataFrame; empty means pass.
 
-``run_checks`` counts failures for many checks at once: all row-level checks of a table share a
-single scan, and key checks aggregate before they shuffle.
+``run_checks`` counts failures for many checks at once. All row-level checks of a table share a single
+scan, or none at all where they were counted while the table was written (``row_counts``). All key
+checks around one key, the uniqueness of a parent's key and every child that refers to it, share one
+aggregation: the columns are stacked with a tag each and grouped once by the key.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Tables = Mapping[str, DataFrame]
@@ -113,9 +115,6 @@ class Unique:
         counts = df.groupBy(*self.columns).agg(F.count("*").alias("n_records"))
         return counts.filter(F.col("n_records") > 1)
 
-    def count(self, tables: Tables) -> DataFrame:
-        return self.failures(tables).agg(F.count("*").alias("failing_rows"))
-
 
 @dataclass(frozen=True)
 class Relationships:
@@ -137,10 +136,6 @@ class Relationships:
         parents = tables[self.parent].select(F.col(self.parent_column).alias("_key")).distinct()
         return keys.join(parents, F.col("orphan_key") == F.col("_key"), "left_anti")
 
-    def count(self, tables: Tables) -> DataFrame:
-        failing = F.coalesce(F.sum("n_records"), F.lit(0))
-        return self.failures(tables).agg(failing.cast("long").alias("failing_rows"))
-
 
 @dataclass(frozen=True)
 class RowsExpectedEmpty:
@@ -159,28 +154,93 @@ class RowsExpectedEmpty:
 Check = RowCheck | Unique | Relationships | RowsExpectedEmpty
 
 
-def _row_check_counts(tables: Tables, table: str, checks: Sequence[RowCheck]) -> DataFrame:
+def row_counts(checks: Iterable[Check]) -> dict[str, dict[str, Column]]:
+    """For each table, ``{check: number of failing rows}`` as aggregates, to be observed by the write of the table."""
+    by_table: dict[str, dict[str, Column]] = {}
+    for check in checks:
+        if isinstance(check, RowCheck):
+            by_table.setdefault(check.table, {})[check.name] = F.count_if(check.failing())
+    return by_table
+
+
+def _as_rows(counts: DataFrame, found: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """One row of counts as rows ``check, table, failing_rows``; ``found`` tells check, table and column."""
+    pairs = [F.struct(F.lit(c).alias("check"), F.lit(t).alias("table"), F.col(column).alias("failing_rows")) for c, t, column in found]
+    return counts.select(F.explode(F.array(*pairs)).alias("r")).select("r.*")
+
+
+def _row_check_counts(tables: Tables, table: str, checks: Mapping[str, Column]) -> DataFrame:
     """Failure counts of all row-level checks of one table, from one pass over it."""
-    counts = tables[table].agg(*[F.count_if(c.failing()).alias(f"c{i}") for i, c in enumerate(checks)])
-    pairs = [
-        F.struct(F.lit(c.name).alias("check"), F.col(f"c{i}").alias("failing_rows"))
-        for i, c in enumerate(checks)
-    ]
-    rows = counts.select(F.explode(F.array(*pairs)).alias("r"))
-    return rows.select(F.col("r.check"), F.lit(table).alias("table"), F.col("r.failing_rows"))
+    counts = tables[table].agg(*[count.alias(f"c{i}") for i, count in enumerate(checks.values())])
+    return _as_rows(counts, [(name, table, f"c{i}") for i, name in enumerate(checks)])
 
 
-def run_checks(tables: Tables, checks: Iterable[Check]) -> DataFrame:
-    """``(check, table, status, failing_rows)`` for every check."""
-    by_table: dict[str, list[RowCheck]] = {}
-    parts = []
+def key_domains(checks: Iterable[Check]) -> list[list[Unique | Relationships]]:
+    """Key checks that meet in a table's key, directly or by way of others, as one group each."""
+    groups: list[tuple[set, list]] = []
     for check in checks:
-        if isinstance(check, RowCheck):
-            by_table.setdefault(check.table, []).append(check)
+        if isinstance(check, Unique):
+            roles = {(check.table, check.columns)}
+        elif isinstance(check, Relationships):
+            roles = {(check.table, (check.column,)), (check.parent, (check.parent_column,))}
         else:
-            label = F.lit(check.name).alias("check")
-            parts.append(check.count(tables).select(label, F.lit(check.table).alias("table"), "failing_rows"))
-    parts += [_row_check_counts(tables, table, group) for table, group in by_table.items()]
+            continue
+        touching = [g for g in groups if g[0] & roles]
+        groups = [g for g in groups if not g[0] & roles]
+        groups.append((roles.union(*[g[0] for g in touching]), [c for g in touching for c in g[1]] + [check]))
+    return [members for _, members in groups]
+
+
+def _domain_counts(tables: Tables, checks: Sequence[Unique | Relationships]) -> DataFrame:
+    """Failure counts of all checks around one key, from one aggregation by the key.
+
+    Every column in its role (a unique key, a parent's key, a child's reference) is stacked with a tag
+    and counted by key and role. Counting starts on the map side, so a key with very many rows is one row
+    a task; a child's key is an orphan where the parent's count is zero.
+    """
+    roles: dict[tuple[str, tuple[str, ...]], int] = {}
+    for check in checks:
+        own = check.columns if isinstance(check, Unique) else (check.column,)
+        roles.setdefault((check.table, own), len(roles))
+        if isinstance(check, Relationships):
+            roles.setdefault((check.parent, (check.parent_column,)), len(roles))
+    keys = [f"_k{i}" for i in range(len(next(iter(roles))[1]))]
+    stacked = []
+    for (table, columns), tag in roles.items():
+        part = tables[table].select(*[F.col(c).alias(k) for c, k in zip(columns, keys, strict=True)], F.lit(tag).alias("_role"))
+        stacked.append(part.filter(F.col(keys[0]).isNotNull()) if len(columns) == 1 else part)
+    counted = reduce(DataFrame.unionByName, stacked).groupBy(*keys)
+    by_key = counted.agg(*[F.count_if(F.col("_role") == tag).alias(f"_n{tag}") for tag in roles.values()])
+    totals, found = [], []
+    for i, check in enumerate(checks):
+        if isinstance(check, Unique):
+            failing = F.count_if(F.col(f"_n{roles[check.table, check.columns]}") > 1)
+        else:
+            child, parent = (f"_n{roles[t, (c,)]}" for t, c in ((check.table, check.column), (check.parent, check.parent_column)))
+            failing = F.coalesce(F.sum(F.when(F.col(parent) == 0, F.col(child))), F.lit(0)).cast("long")
+        totals.append(failing.alias(f"c{i}"))
+        found.append((check.name, check.table, f"c{i}"))
+    return _as_rows(by_key.agg(*totals), found)
+
+
+def run_checks(tables: Tables, checks: Iterable[Check], counted: Mapping[str, int] | None = None) -> DataFrame:
+    """``(check, table, status, failing_rows)`` for every check.
+
+    ``counted`` holds the failing rows of row-level checks that were counted while their tables were written.
+    """
+    checks, counted = list(checks), counted or {}
+    known = [(c.name, c.table, counted[c.name]) for c in checks if c.name in counted]
+    open_checks = [c for c in checks if c.name not in counted]
+    parts = [_row_check_counts(tables, table, group) for table, group in row_counts(open_checks).items()]
+    parts += [_domain_counts(tables, group) for group in key_domains(open_checks)]
+    parts += [
+        c.count(tables).select(F.lit(c.name).alias("check"), F.lit(c.table).alias("table"), "failing_rows")
+        for c in open_checks
+        if isinstance(c, RowsExpectedEmpty)
+    ]
+    if known:
+        spark = SparkSession.active() if not parts else parts[0].sparkSession
+        parts.append(spark.createDataFrame(known, "check string, `table` string, failing_rows long"))
     results = reduce(DataFrame.unionByName, parts)
     status = F.when(F.col("failing_rows") == 0, "pass").otherwise("fail")
     return results.select("check", "table", status.alias("status"), "failing_rows")

@@ -138,14 +138,18 @@ def freshness(
     df: DataFrame, name: str, as_of: Column, warn_days: int = 1, error_days: int = 3, loaded_at: str = "_loaded_at"
 ) -> DataFrame:
     """One row: newest load time of a source and whether its age passes, warns or errs."""
+    newest = df.agg(F.max(loaded_at).alias("max_loaded_at"))
+    return newest.select(F.lit(name).alias("source_name"), "max_loaded_at", age_status(as_of, warn_days, error_days))
+
+
+def age_status(as_of: Column, warn_days: int = 1, error_days: int = 3) -> Column:
+    """``status`` of a source by the age of its ``max_loaded_at``."""
     newest = F.col("max_loaded_at")
     age = F.unix_micros(as_of) - F.unix_micros(newest)
     day = 86_400_000_000
-    status = (
+    return (
         F.when(newest.isNull() | (age > error_days * day), "error")
         .when(age > warn_days * day, "warn")
         .otherwise("pass")
-    )
-    return df.agg(F.max(loaded_at).alias("max_loaded_at")).select(
-        F.lit(name).alias("source_name"), "max_loaded_at", status.alias("status")
+        .alias("status")
     )

@@ -297,8 +297,8 @@ def metric_query(
     """One row per group with the requested metrics; one total row without ``group_by``.
 
     Every name is resolved before any plan is built, so a combination that shares no grain is
-    rejected, never guessed. Each model is aggregated once, the small results are aligned on
-    the group keys, and derived metrics are formulas over those aggregates (a ratio of sums,
+    rejected, never guessed. Each model is aggregated once, the small results are stacked and
+    grouped by the keys, and derived metrics are formulas over those aggregates (a ratio of sums,
     not a mean of ratios).
     """
     where = dict(where or {})
@@ -314,7 +314,7 @@ def metric_query(
         _aggregate(registry, registry.models[model_name], tables, wanted, list(group_by), where)
         for model_name, wanted in by_model.items()
     ]
-    aligned = reduce(lambda a, b: _align(a, b, group_by), parts)
+    aligned = _align(parts, group_by)
 
     def value(name: str) -> Column:
         metric = registry.metric(name)
@@ -325,14 +325,14 @@ def metric_query(
     return aligned.select(*group_by, *[value(name).alias(name) for name in metrics])
 
 
-def _align(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join of two aggregates on NULL-safe group keys (two total rows: side by side)."""
-    if not keys:
-        return a.join(b, F.lit(True), "full")
-    left, right = a.alias("a"), b.alias("b")
-    same = reduce(lambda x, y: x & y, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
-    merged = [F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in keys]
-    rest = [F.col(f"a.{c}") for c in a.columns if c not in keys] + [
-        F.col(f"b.{c}") for c in b.columns if c not in keys
-    ]
-    return left.join(right, same, "full").select(*merged, *rest)
+def _align(parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Aggregates of several models side by side: stacked, and grouped once by the keys.
+
+    Each part has one row a group at most, so the only value of a metric in a group is its largest. A NULL
+    key is a group like any other; without keys all rows make one. One exchange, however many models.
+    """
+    if len(parts) == 1:
+        return parts[0]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    values = [c for c in stacked.columns if c not in keys]
+    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])

@@ -7,7 +7,7 @@ import re
 from tallyworks.operators.checks import RowCheck, Unique
 from tallyworks.oracle_views import VIEWS, exact_ratio, with_views
 from tallyworks.plans.checkbook import generic_checks
-from tallyworks.plans.faults import FAULTS, NEGATIVE_PAYMENTS, Fault
+from tallyworks.plans.faults import FAULTS, LOST, NEGATIVE_PAYMENTS, Fault, Lost
 from tallyworks.plans.warehouse import CONTRACTS
 from tallyworks.queries import MODEL_IDS, STAGING_IDS
 from tallyworks.sources.ingest import SOURCES
@@ -32,7 +32,9 @@ def _check_count(check) -> str:
             "not_null": lambda: f"{c} IS NULL",
             "not_negative": lambda: f"{c} < 0",
             "not_implausibly_large": lambda: f"{c} > {check.max_value}",
-            "accepted_range": lambda: f"{c} < {check.min_value}",
+            "accepted_range": lambda: " OR ".join(
+                [f"{c} < {check.min_value}"] * (check.min_value is not None) + [f"{c} > {check.max_value}"] * (check.max_value is not None)
+            ),
             "accepted_values": lambda: f"{c} NOT IN {check.values}",
         }[check.kind]()
         return f"SELECT count(*) FROM {t} WHERE {condition}"
@@ -307,11 +309,15 @@ SQL: dict[str, str] = {
         SELECT count(*) AS late_adjustment_count FROM fct_period_close_adjustments
         WHERE is_late_adjustment HAVING count(*) = 0""",
     "sgl09_assert_late_refund_lands_in_its_own_cash_period": """
-        WITH late AS (SELECT adjustment_period_id AS period_id, CAST(sum(refund_amount) AS DECIMAL(18,2)) AS late_refund_amount
-                      FROM fct_period_close_adjustments WHERE is_late_adjustment GROUP BY 1)
-        SELECT period_id, late_refund_amount, billing_cash_out
-        FROM late LEFT JOIN mart_cash_movements_by_period USING (period_id)
-        WHERE period_id IS NULL OR coalesce(billing_cash_out, 0) < late_refund_amount""",
+        WITH late AS (SELECT refund_id, adjustment_period_id, refund_amount FROM fct_period_close_adjustments
+                      WHERE is_late_adjustment),
+        expected AS (SELECT * FROM late UNION ALL SELECT NULL, NULL, NULL WHERE (SELECT count(*) FROM late) = 0),
+        paid AS (SELECT refund_id, period_id AS paid_in FROM stg_billing__refunds
+                 JOIN accounting_periods ON refund_date BETWEEN period_start_date AND period_end_date)
+        SELECT refund_id, adjustment_period_id, refund_amount, billing_cash_out
+        FROM expected LEFT JOIN paid USING (refund_id)
+        LEFT JOIN mart_cash_movements_by_period ON period_id = adjustment_period_id
+        WHERE paid_in IS NULL OR paid_in <> adjustment_period_id OR billing_cash_out IS NULL OR billing_cash_out < refund_amount""",
     "sgl10_assert_mrr_bridge_reconciles": "SELECT * FROM mart_mrr_movements WHERE closing_mrr <> computed_closing_mrr",
     "sgl11_assert_no_duplicate_events_remain": """
         SELECT anonymous_id, event_type, event_timestamp, coalesce(product_id, -1) AS product_id_key, count(*) AS row_count
@@ -352,9 +358,9 @@ SQL: dict[str, str] = {
 }
 
 
-def _with_fault(query: str, fault: Fault) -> str:
+def _with_fault(query: str, fault: Fault | Lost, name: str = "faulty") -> str:
     """The query over its table with the fault in it."""
-    faulty = f"faulty_{query.split('_')[0]}"
+    faulty = f"{name}_{query.split('_')[0]}"
     VIEWS[faulty] = fault.view()
     return re.sub(rf"\b{fault.table}\b", faulty, SQL[query])
 
@@ -363,9 +369,16 @@ for _query in [q for q in SQL if q.startswith("sgl")]:
     _number, _check = _query.split("_", 1)
     if _check in FAULTS:
         SQL[f"{_number}_fault_{_check}"] = _with_fault(_query, FAULTS[_check])
+    if _check in LOST:
+        SQL[f"{_number}_fault_lost_{_check}"] = _with_fault(_query, LOST[_check], "lost")
 SQL["chk6_fault_not_negative"] = _with_fault("chk6_not_negative", NEGATIVE_PAYMENTS)
 SQL |= {f"chk9_contract_{name}": f"SELECT * FROM {name}" for name in CONTRACTS}
 SQL |= {
+    "str1_events_deduplicated": """
+        SELECT DISTINCT anonymous_id, event_type, event_timestamp, product_id FROM stg_events__events""",
+    "str2_closed_sessions": """
+        SELECT anonymous_id, session_start, session_end, event_count, converted FROM fct_sessions
+        WHERE session_end + INTERVAL 30 MINUTE <= (SELECT max(event_timestamp) FROM stg_events__events) - INTERVAL 1 HOUR""",
     "chk13_check_results": _check_results(),
     "chk13_check_summary": f"SELECT status, count(*) AS checks FROM ({_check_results()}) AS r GROUP BY 1",
     "bi8_alert": f"""

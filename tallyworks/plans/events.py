@@ -18,6 +18,7 @@ from tallyworks.operators.events import (
 )
 from tallyworks.operators.joins import join_hot
 
+# Columns of the event models, funnel steps and rates.
 EVENT_COLUMNS = [
     "event_id",
     "anonymous_id",

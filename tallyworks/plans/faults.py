@@ -29,6 +29,21 @@ class Fault:
         return f"SELECT * REPLACE ({self.oracle_value or self.value} AS {self.column}) FROM {self.table}"
 
 
+@dataclass(frozen=True)
+class Lost:
+    """All rows of a table that meet a condition are missing."""
+
+    table: str
+    condition: str
+
+    def plant(self, w: Warehouse) -> Warehouse:
+        w.use(self.table, w[self.table].filter(~F.coalesce(F.expr(self.condition), F.lit(False))))
+        return w
+
+    def view(self) -> str:
+        return f"SELECT * FROM {self.table} WHERE NOT coalesce({self.condition}, false)"
+
+
 def _more(column: str) -> str:
     """Money that is off by one in every second period."""
     return f"CAST({column} + period_id % 2 AS DECIMAL(18,2))"
@@ -66,6 +81,12 @@ FAULTS: dict[str, Fault] = {
     "assert_refunded_retail_payments_net_to_zero": Fault(CASH, "retail_cash_out", _more("retail_cash_out")),
 }
 
+#: A second fault of a check: what it looks for is not there at all.
+LOST: dict[str, Lost] = {
+    "assert_late_refund_lands_in_its_own_cash_period": Lost("fct_period_close_adjustments", "is_late_adjustment"),
+    "assert_late_adjustment_scenario_exists": Lost("fct_period_close_adjustments", "is_late_adjustment"),
+}
+
 NEGATIVE_PAYMENTS = Fault(
     "fct_payments",
     "net_collected_amount",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -128,21 +128,26 @@ def late_adjustment_scenario_exists(t: Tables) -> DataFrame:
     return late.agg(F.count("*").alias("late_adjustment_count")).filter(F.col("late_adjustment_count") == 0)
 
 
-def late_refund_lands_in_its_own_cash_period(t: Tables) -> DataFrame:
-    """Periods whose cash out, as reported, does not hold the late refunds paid in them."""
-    refunds = t["stg_billing__refunds"].select("refund_id", "refund_date")
-    late = t["fct_period_close_adjustments"].filter("is_late_adjustment").select("refund_id", "refund_amount")
-    paid = join_hot(late, refunds, "refund_id").groupBy("refund_date").agg(sum_money("refund_amount").alias("_amount"))
-    cash = t["mart_cash_movements_by_period"].select("period_id", "billing_cash_out")
-    bounds = t["accounting_periods"].select("period_id", "period_start_date", "period_end_date").join(cash, "period_id", "left")
-    placed = assign_period(paid, "refund_date", t["accounting_periods"]).groupBy("period_id").agg(
-        sum_money("_amount").alias("late_refund_amount")
-    )
-    out = F.coalesce("billing_cash_out", zero_money())
-    checked = placed.join(bounds, "period_id", "left")
-    return checked.filter(F.col("period_id").isNull() | (out < F.col("late_refund_amount"))).select(
-        "period_id", "late_refund_amount", "billing_cash_out"
-    )
+def late_refund_lands_in_its_own_cash_period(t: Tables, refund_ids: Sequence[int] | None = None) -> DataFrame:
+    """Late refunds that the period they were paid in does not show as cash out.
+
+    Anchored on what is expected: the given refunds, or at least one late refund. What is missing is a
+    failing row, so tables without refunds do not pass.
+    """
+    found = t["fct_period_close_adjustments"].select("refund_id", "adjustment_period_id", "refund_amount", "is_late_adjustment")
+    if refund_ids is None:
+        late = found.filter("is_late_adjustment").drop("is_late_adjustment")
+        none = late.agg(F.count("*").alias("_n")).filter(F.col("_n") == 0)
+        expected = late.unionByName(none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in late.schema.fields]))
+    else:
+        named = found.sparkSession.createDataFrame([(i,) for i in refund_ids], "refund_id long")
+        expected = named.join(found.drop("is_late_adjustment"), "refund_id", "left")
+    paid = assign_period(t["stg_billing__refunds"].select("refund_id", "refund_date"), "refund_date", t["accounting_periods"])
+    paid = paid.select("refund_id", F.col("period_id").alias("_paid_in"))
+    cash = t["mart_cash_movements_by_period"].select(F.col("period_id").alias("adjustment_period_id"), "billing_cash_out")
+    checked = expected.join(paid, "refund_id", "left").join(cash, "adjustment_period_id", "left")
+    lands = (F.col("_paid_in") == F.col("adjustment_period_id")) & (F.col("billing_cash_out") >= F.col("refund_amount"))
+    return checked.filter(~F.coalesce(lands, F.lit(False))).select("refund_id", "adjustment_period_id", "refund_amount", "billing_cash_out")
 
 
 def mrr_bridge_reconciles(t: Tables) -> DataFrame:

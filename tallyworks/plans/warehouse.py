@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Collection, Iterable, Iterator, Mapping
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tallyworks.operators.contracts import Contract
 from tallyworks.operators.spine import date_spine
 from tallyworks.operators.subscriptions import bridge, cohorts, lifetime_value, movements, recurring_revenue
 from tallyworks.plans import billing, events, finance, reliability, retail, staging
-from tallyworks.sources.tables import read_table, replace_table, write_scratch
+from tallyworks.sources.tables import Layout, Staged, publish_table, read_table, stage_table, write_scratch_counted
 
 #: Models that are written at the same time.
 AT_ONCE = 4
@@ -146,16 +146,33 @@ MODELS: dict[str, _Model] = {**STAGING, **INTERMEDIATE, **MARTS}
 
 #: Intermediates read by several marts: written once in a full build, instead of recomputed.
 SHARED = (
-    "int_invoice_payment_status",
-    "int_payment_refund_netting",
-    "int_subscription_periods",
     "int_subscription_mrr_by_chain_month",
     "int_subscription_mrr_movements",
     "int_events_resolved",
-    "int_sessions",
     "int_active_customers_by_period",
 )
 
+#: Intermediates whose rows a mart holds as they are: read from there, with the columns that are named otherwise.
+SAME_ROWS: dict[str, tuple[str, dict[str, str]]] = {
+    "int_order_items_enriched": ("fct_order_items", {}),
+    "int_payment_refund_netting": ("fct_payments", {}),
+    "int_invoice_payment_status": ("fct_invoices", {}),
+    "int_subscription_periods": ("fct_subscriptions", {}),
+    "int_sessions": ("fct_events", {"customer_id": "resolved_customer_id"}),
+    "int_period_close_adjustments": ("fct_period_close_adjustments", {}),
+}
+
+#: Tables that grow with the business lie by month, sorted by what they are looked up by.
+LAYOUTS: dict[str, Layout] = {
+    "fct_orders": Layout("order_date", ("customer_id", "order_id")),
+    "fct_order_items": Layout("order_date", ("order_id",)),
+    "fct_invoices": Layout("invoice_date", ("customer_id", "invoice_id")),
+    "fct_payments": Layout("payment_date", ("invoice_id",)),
+    "fct_events": Layout("event_timestamp", ("anonymous_id", "event_timestamp")),
+    "fct_sessions": Layout("session_start", ("anonymous_id", "session_start")),
+    "int_events_resolved": Layout("event_timestamp", ("anonymous_id", "event_timestamp")),
+}
+
 _MONEY = "decimal(18,2)"
 
 CONTRACTS: dict[str, Contract] = {
@@ -265,53 +282,112 @@ class Warehouse(Mapping[str, DataFrame]):
     def use(self, name: str, df: DataFrame) -> None:
         self._frames[name] = df
 
-    def share(self, *names: str) -> Warehouse:
-        """Compute models once that the next query reads several times.
+    def share(self, *names: str, counting: Mapping[str, Mapping[str, Column]] | None = None) -> dict[str, int]:
+        """Compute models or sources once that the next query reads several times.
 
         They are written to the session's shared checkpoint folder and read back, so neither the
         consumers nor a lost executor recompute the chain behind them, and each consumer reads
-        only its own columns. Without such a folder they stay lazy.
+        only its own columns. Without such a folder they stay lazy. Returns the aggregates of ``counting``
+        (by table, then name), which the writes work out on the way.
         """
-        self.compute(names, lambda name: write_scratch(self[name]))
-        return self
+        counted: dict[str, int] = {}
+
+        def write(name: str) -> DataFrame:
+            written, counts = write_scratch_counted(self[name], (counting or {}).get(name))
+            counted.update(counts)
+            return written
+
+        self.compute(names, write)
+        return counted
 
     def compute(self, names: Iterable[str], write: Callable[[str], DataFrame]) -> None:
-        """Write models and read what is written from then on; those that do not hang on each other go together."""
+        """Write tables and read what is written from then on.
+
+        ``AT_ONCE`` tables are written at a time, each as soon as those it is made from are there. An intermediate
+        whose rows a mart holds is read from the mart once that is written. If one fails, those under way are
+        finished, no other is begun, and the error is raised.
+        """
         left = list(names)
+        behind = {n: _behind(n) & set(left) for n in left}
+        done: set[str] = set()
+        running: dict[Future, str] = {}
+        failed: list[Future] = []
         with ThreadPoolExecutor(AT_ONCE) as pool:
-            while left:
-                ready = [n for n in left if not _behind(n) & set(left)]
-                for name, df in zip(ready, pool.map(write, ready), strict=True):
-                    self._frames[name] = df
-                left = [n for n in left if n not in ready]
+            while running or (left and not failed):
+                for name in [n for n in left if behind[n] <= done and not failed]:
+                    left.remove(name)
+                    running[pool.submit(write, name)] = name
+                for future in wait(running, return_when=FIRST_COMPLETED).done:
+                    name = running.pop(future)
+                    if future.exception():
+                        failed.append(future)
+                        continue
+                    done.add(name)
+                    self.use(name, future.result())
+                    for same, (mart, _) in SAME_ROWS.items():
+                        if mart == name:
+                            self.use(same, as_intermediate(same, future.result()))
+        for future in failed:
+            future.result()
 
 
 def _behind(name: str) -> set[str]:
-    """All models that a model is made from."""
-    reads = MODELS[name][1] if name in MODELS else ()
-    return {r for r in reads if r in MODELS}.union(*map(_behind, reads))
+    """All models and sources that a model is made from."""
+    reads = set(MODELS[name][1]) if name in MODELS else set()
+    holders = {SAME_ROWS[r][0] for r in reads if r in SAME_ROWS} - {name}
+    return reads.union(holders, *map(_behind, reads))
 
 
-def build(warehouse: Warehouse, root: str) -> Warehouse:
-    """Write the shared intermediates and all marts under ``root``; returns a warehouse over them.
+def held_by(names: Collection[str], tables: Collection[str]) -> set[str]:
+    """Which of ``tables`` are made from any of ``names``."""
+    return {t for t in tables if _behind(t) & set(names)}
+
+
+def as_intermediate(name: str, mart: DataFrame) -> DataFrame:
+    """The rows of an intermediate out of the mart that holds them."""
+    return mart.withColumnsRenamed(SAME_ROWS[name][1])
+
+
+def _layer(name: str) -> str:
+    return "marts" if name in MARTS else "intermediate"
+
+
+WRITTEN = (*SHARED, *MARTS)
+
+
+def stage(warehouse: Warehouse, root: str, counting: Mapping[str, Mapping[str, Column]] | None = None) -> tuple[Warehouse, dict[str, Staged]]:
+    """Write the shared intermediates and all marts under ``root`` without publishing them.
 
     Every table is computed from tables already written, so lineage stays short and a lost
     executor costs the tasks of one model, not the whole chain. A broken contract stops the
-    build before that table is published.
+    build. Returns a warehouse over the new versions, and these.
     """
     built = Warehouse(warehouse._sources)
+    staged: dict[str, Staged] = {}
+
+    def write(name: str) -> DataFrame:
+        staged[name] = stage_table(
+            built[name], f"{root}/{_layer(name)}/{name}", CONTRACTS.get(name), layout=LAYOUTS.get(name), counting=(counting or {}).get(name)
+        )
+        return staged[name].written
 
-    def publish(name: str) -> DataFrame:
-        layer = "intermediate" if name in SHARED else "marts"
-        return replace_table(built[name], f"{root}/{layer}/{name}", CONTRACTS.get(name))
+    built.compute(WRITTEN, write)
+    return built, staged
 
-    built.compute([*[n for n in INTERMEDIATE if n in SHARED], *MARTS], publish)
+
+def build(warehouse: Warehouse, root: str) -> Warehouse:
+    """Write and publish the shared intermediates and all marts; returns a warehouse over them."""
+    built, staged = stage(warehouse, root)
+    for table in staged.values():
+        publish_table(table)
     return built
 
 
 def open_warehouse(spark: SparkSession, root: str, sources: Mapping[str, DataFrame]) -> Warehouse:
-    """A warehouse over what ``build`` wrote."""
+    """A warehouse over what is published under ``root``."""
     opened = Warehouse(sources)
-    for name in [*SHARED, *MARTS]:
-        opened.use(name, read_table(spark, f"{root}/{'intermediate' if name in SHARED else 'marts'}/{name}"))
+    for name in WRITTEN:
+        opened.use(name, read_table(spark, f"{root}/{_layer(name)}/{name}"))
+    for name, (mart, _) in SAME_ROWS.items():
+        opened.use(name, as_intermediate(name, opened[mart]))
     return opened

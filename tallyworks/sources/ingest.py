@@ -6,11 +6,12 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOADED_AT = "_loaded_at"
+LOADED_MICROS = "_loaded_micros"
 
 #: Tables of each source system. ``payments`` exists twice, with different grain.
 SOURCES: dict[str, tuple[str, ...]] = {
@@ -54,25 +55,84 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def load_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, line_breaks: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    line_breaks: bool | None = None,
+    landing: str | None = None,
 ) -> DataFrame:
     """CSV with a header, to the types its values have or to a declared schema.
 
     A declared schema names the columns in any order; the result has its order. A column that only one
     of file and schema has, or a value that does not convert, is an error. Either way text columns end
     up as timestamps or dates where all their values are. Quotes inside quoted text are doubled.
-    ``line_breaks`` tells whether quoted text may hold line breaks; without them a large file is read
-    by many tasks.
+
+    A file is read by many tasks unless its quoted text holds line breaks, which ``line_breaks`` tells or,
+    if it does not, the lines with an odd number of quotes. With a ``landing`` folder the text is parsed
+    once, into Parquet there, and types are found and cast from that; without one each pass parses it again.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no extract at {path}")
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')
-    text = reader.option("multiLine", line_breaks).option("enforceSchema", False).csv(path)
+    if landing is not None:
+        text = _land_text(spark, path, landing, line_breaks)
+    else:
+        if line_breaks is None:
+            line_breaks = bool(spark.read.text(path).filter(_open_quote()).head(1))
+        text = _parsed(spark, path, line_breaks)
     if schema is None:
         return _coerce(text, NUMERIC + TEMPORAL)
     return coerce_temporal(_as_declared(text, schema, path))
 
 
+_QUOTING = {"quote": '"', "escape": '"'}
+
+
+def _open_quote() -> Column:
+    """Whether a line of text begins or ends within quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return quotes % 2 == 1
+
+
+def _parsed(spark: SparkSession, path: str, line_breaks: bool) -> DataFrame:
+    """All columns as text, by Spark's own reader; with ``line_breaks`` a file is one task."""
+    reader = spark.read.options(header=True, enforceSchema=False, multiLine=line_breaks, **_QUOTING)
+    return reader.csv(path)
+
+
+def _land_text(spark: SparkSession, path: str, landing: str, line_breaks: bool | None) -> DataFrame:
+    """All columns as text, written to ``landing`` by one scan of the file.
+
+    Lines are split off and parsed by many tasks. The same pass counts lines with an odd number of quotes,
+    which only a line break within quotes makes: if there are any, the file is parsed again as a whole. It also
+    counts header lines, one a file, so that a folder of files with different headers is an error.
+    """
+    if not line_breaks:
+        lines = spark.read.text(path)
+        head = lines.first()
+        if head is None:
+            raise ValueError(f"{path}: no header")
+        names = _parsed(spark, path, False).columns
+        columns = ", ".join("`" + n.replace("`", "``") + "` string" for n in names)
+        seen = Observation()
+        counted = lines.observe(
+            seen, F.count_if(_open_quote()).alias("odd"), F.count_if(F.col("value") == head["value"]).alias("headers")
+        )
+        body = counted.filter((F.col("value") != head["value"]) & (F.trim("value") != ""))
+        rows = body.select(F.from_csv("value", columns, _QUOTING).alias("r")).select("r.*")
+        rows.write.mode("overwrite").parquet(landing)
+        found = seen.get
+        if not found["odd"]:
+            files = len(lines.inputFiles())
+            if found["headers"] < files:
+                raise ValueError(f"{path}: {files} files, but {found['headers']} with the header {head['value']}")
+            return spark.read.schema(rows.schema).parquet(landing)
+        if line_breaks is False:
+            raise ValueError(f"{path}: {found['odd']} lines with an open quote, though no line breaks are declared")
+    whole = _parsed(spark, path, True)
+    whole.write.mode("overwrite").parquet(landing)
+    return spark.read.schema(whole.schema).parquet(landing)
+
+
 def _as_declared(text: DataFrame, schema: T.StructType | str, path: str) -> DataFrame:
     """Select by header name and cast; raises for names that differ and for values that do not convert."""
     if isinstance(schema, str):
@@ -133,6 +193,11 @@ def stamp_loaded_at(df: DataFrame, loaded_at: Column | datetime) -> DataFrame:
     return df.withColumn(LOADED_AT, stamp.cast("timestamp"))
 
 
+def with_load_micros(df: DataFrame) -> DataFrame:
+    """The load time as a whole number of microseconds too: Parquet footers answer a maximum of those, not of timestamps."""
+    return df.withColumn(LOADED_MICROS, F.unix_micros(LOADED_AT))
+
+
 def load_tables(
     spark: SparkSession,
     source: str,
@@ -140,11 +205,18 @@ def load_tables(
     loaded_at: Column | datetime,
     tables: Sequence[str] | None = None,
     schemas: Mapping[str, T.StructType | str] | None = None,
+    landing: str | None = None,
+    line_breaks: Mapping[str, bool] | None = None,
 ) -> dict[str, DataFrame]:
-    """All tables of a source system, typed and stamped, as ``{table: DataFrame}``."""
+    """All tables of a source system, typed and stamped, as ``{table: DataFrame}``.
+
+    ``landing`` is a folder for the parsed text; ``line_breaks`` tells of tables whether quoted text holds any.
+    """
     schemas = schemas or {}
     loaded = {}
     for table in tables if tables is not None else SOURCES[source]:
         path = f"{data_dir.rstrip('/')}/{table}.csv"
-        loaded[table] = stamp_loaded_at(load_csv(spark, path, schemas.get(table)), loaded_at)
+        folder = f"{landing.rstrip('/')}/{table}" if landing else None
+        text = load_csv(spark, path, schemas.get(table), (line_breaks or {}).get(table), folder)
+        loaded[table] = stamp_loaded_at(text, loaded_at)
     return loaded

@@ -7,14 +7,18 @@ half-way leaves the published version untouched.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
+from datetime import date
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyworks.operators.contracts import Contract, ContractViolation, assert_contract, schema_violations
 from tallyworks.session import scratch_root
-from tallyworks.sources.ingest import LOADED_AT
+from tallyworks.sources.ingest import LOADED_AT, LOADED_MICROS
 
 POINTER = "_current"
 
@@ -60,11 +64,42 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return _read_pointer(spark, path) is not None
 
 
+def _read_version(spark: SparkSession, path: str, version: str) -> DataFrame:
+    df = spark.read.option("basePath", f"{path}/{version}").parquet(f"{path}/{version}")
+    return df.drop(MONTH)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     version = _read_pointer(spark, path)
     if version is None:
         raise FileNotFoundError(f"no table published at {path}")
-    return spark.read.parquet(f"{path}/{version}")
+    return _read_version(spark, path, version)
+
+
+def read_months(spark: SparkSession, path: str, layout: Layout, first: date, last: date) -> DataFrame:
+    """The rows of a table written in that layout whose date lies between two days; other months are not read."""
+    version = _read_pointer(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no table published at {path}")
+    df = spark.read.option("basePath", f"{path}/{version}").parquet(f"{path}/{version}")
+    day = F.col(layout.date).cast("date")
+    inside = F.col(MONTH).between(first.year * 100 + first.month, last.year * 100 + last.month) & day.between(F.lit(first), F.lit(last))
+    return df.filter(inside).drop(MONTH)
+
+
+def footer_maximum(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row, ``column``: its largest value in the published table, from the footers of the files alone.
+
+    For whole numbers and dates. The v2 reader answers the aggregate from the statistics of the row groups, so
+    no row is read, however large the table is. Its settings hold in a session of their own.
+    """
+    version = _read_pointer(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no table published at {path}")
+    footers = spark.newSession()
+    footers.conf.set("spark.sql.sources.useV1SourceList", "")
+    footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return footers.read.parquet(f"{path}/{version}").agg(F.max(column).alias(column))
 
 
 def _keep_columns(df: DataFrame, published: DataFrame) -> DataFrame:
@@ -72,7 +107,7 @@ def _keep_columns(df: DataFrame, published: DataFrame) -> DataFrame:
 
     Unknown columns are refused, except the load time, which older tables may not have had.
     """
-    known = set(published.columns) | {LOADED_AT}
+    known = set(published.columns) | {LOADED_AT, LOADED_MICROS}
     unknown = [c for c in df.columns if c not in known]
     if unknown:
         raise ContractViolation(f"columns not in the published table: {', '.join(unknown)}")
@@ -80,34 +115,139 @@ def _keep_columns(df: DataFrame, published: DataFrame) -> DataFrame:
     return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else df
 
 
-def replace_table(df: DataFrame, path: str, contract: Contract | None = None, keep_columns: bool = False) -> DataFrame:
-    """Write ``df`` as the table's new content and publish it; returns the published table.
+@dataclass(frozen=True)
+class Layout:
+    """How the files of a table lie: a folder for each month of ``date``, rows sorted by ``sort`` within them.
+
+    Readers of some months list only their folders; readers of some keys skip row groups by their least and
+    largest values. The month is derived and no column of the table.
+    """
+
+    date: str
+    sort: tuple[str, ...]
+
+
+MONTH = "_month"
+
+
+def _laid_out(df: DataFrame, layout: Layout) -> DataFrame:
+    """Rows of a month side by side and sorted. The rebalance shuffle cuts a month with very many rows in several
+    files and lets small months share a task, by what the shuffle has measured."""
+    month = (F.year(layout.date) * 100 + F.month(layout.date)).alias(MONTH)
+    return df.select("*", month).hint("rebalance", MONTH).sortWithinPartitions(MONTH, *layout.sort)
+
+
+@dataclass
+class Staged:
+    """A new version of a table that nobody reads yet."""
+
+    path: str
+    version: str
+    written: DataFrame
+    counts: dict[str, int]
+
 
-    The contract's schema is checked before anything is written and its rows on the written
-    files, so the plan runs once and nothing that fails is ever published. Running the same
-    load again gives the same rows. The version published before stays on disk for readers that
-    are still on it; the one before that is removed. Versions that were never published are left
-    alone, as another writer may be at work on them; of two writers the one that ends last is read.
+def stage_table(
+    df: DataFrame,
+    path: str,
+    contract: Contract | None = None,
+    keep_columns: bool = False,
+    layout: Layout | None = None,
+    counting: Mapping[str, Column] | None = None,
+) -> Staged:
+    """Write ``df`` as a new version of the table without publishing it.
+
+    The contract's schema is checked before anything is written and its rows on the written files, so the
+    plan runs once. ``counting`` are aggregates that the write itself works out, with no pass of their own.
     """
     spark = df.sparkSession
     before = _read_pointer(spark, path)
     if keep_columns and before is not None:
-        df = _keep_columns(df, spark.read.parquet(f"{path}/{before}"))
+        df = _keep_columns(df, _read_version(spark, path, before))
     if contract is not None:
         found = schema_violations(df.schema, contract)
         if found:
             raise ContractViolation("; ".join(found))
     version = f"v_{uuid4().hex}"
-    df.write.parquet(f"{path}/{version}")
-    written = spark.read.parquet(f"{path}/{version}")
+    written, counts = _write_counted(df, f"{path}/{version}", counting, layout)
     if contract is not None:
         assert_contract(written, contract)
-    published = _read_pointers(spark, path)
-    _write_pointer(spark, path, [version, *published[:1]])
+    return Staged(path, version, written, counts)
+
+
+def _write_counted(df: DataFrame, path: str, counting: Mapping[str, Column] | None, layout: Layout | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """Write and read back; the observation is taken of the very rows that are written."""
+    rows, seen = (_laid_out(df, layout) if layout else df), None
+    if counting:
+        seen = Observation()
+        rows = rows.observe(seen, *[count.alias(name) for name, count in counting.items()])
+    writer = rows.write.partitionBy(MONTH) if layout else rows.write
+    writer.parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    return written, dict(seen.get) if seen else {}
+
+
+def publish_table(staged: Staged) -> DataFrame:
+    """Move the pointer to the new version; returns the published table.
+
+    The version published before stays on disk for readers that are still on it; the one before that is
+    removed. Versions that were never published are left alone, as another writer may be at work on them;
+    of two writers the one that ends last is read.
+    """
+    spark, path = staged.written.sparkSession, staged.path
+    published = [v for v in _read_pointers(spark, path) if v != staged.version]
+    _write_pointer(spark, path, [staged.version, *published[:1]])
     for old in published[1:]:
         fs, folder = _filesystem(spark, f"{path}/{old}")
         fs.delete(folder, True)
-    return written
+    return staged.written
+
+
+def replace_table(
+    df: DataFrame, path: str, contract: Contract | None = None, keep_columns: bool = False, layout: Layout | None = None
+) -> DataFrame:
+    """Write ``df`` as the table's new content and publish it; nothing that fails its contract is ever published.
+
+    Running the same load again gives the same rows.
+    """
+    return publish_table(stage_table(df, path, contract, keep_columns, layout))
+
+
+def write_parts(df: DataFrame, path: str, part: str, schema: T.StructType, keep: Callable[[list[str]], list[str]]) -> None:
+    """Write the rows of each value of ``part`` as a partition of its own and publish a new list of partitions.
+
+    Only the partitions that ``df`` holds are written, by dynamic partition overwrite: a run that is
+    repeated replaces its own ones, no other file is touched. ``keep`` makes the published list from the
+    one before; readers see either list. A partition that got no rows is written empty, as the first one
+    of the list tells the columns (``schema``).
+    """
+    spark = df.sparkSession
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+    parts = keep(_read_pointers(spark, path))
+    fs, first = _filesystem(spark, f"{path}/{part}={parts[0]}")
+    if not fs.exists(first):
+        spark.createDataFrame([], schema).write.parquet(first.toString())
+    found = [p for p in parts if fs.exists(_filesystem(spark, f"{path}/{part}={p}")[1])]
+    _write_pointer(spark, path, found)
+
+
+def read_part_names(spark: SparkSession, path: str) -> list[str]:
+    """The partitions published at ``path``."""
+    return _read_pointers(spark, path)
+
+
+def read_part(spark: SparkSession, path: str, part: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/{part}={name}")
+
+
+def read_parts(spark: SparkSession, path: str, part: str, wanted: Callable[[str], bool] = lambda name: True) -> DataFrame:
+    """The published partitions that are wanted, with the columns of the first one; older ones may lack some."""
+    parts = _read_pointers(spark, path)
+    if not parts:
+        raise FileNotFoundError(f"no table published at {path}")
+    schema = spark.read.parquet(f"{path}/{part}={parts[0]}").schema
+    chosen = [f"{path}/{part}={p}" for p in parts if wanted(p)]
+    return spark.read.schema(schema).parquet(*chosen)
 
 
 def write_scratch(df: DataFrame) -> DataFrame:
@@ -116,12 +256,15 @@ def write_scratch(df: DataFrame) -> DataFrame:
     Unlike an RDD checkpoint this runs the plan once and keeps column pruning. The folder is the
     cluster's to clean, like any checkpoint. On a cluster without one, ``df`` is returned as it is.
     """
+    return write_scratch_counted(df)[0]
+
+
+def write_scratch_counted(df: DataFrame, counting: Mapping[str, Column] | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """``write_scratch`` with aggregates that the write works out on the way; none where nothing is written."""
     folder = scratch_root(df.sparkSession)
     if not folder:
-        return df
-    path = f"{folder}/tallyworks/{uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        return df, {}
+    return _write_counted(df, f"{folder}/tallyworks/{uuid4().hex}", counting)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

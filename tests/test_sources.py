@@ -2,7 +2,7 @@ from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
-from tests_helpers import d, rows, ts
+from tests_helpers import d, plan_text, rows, ts
 
 from tallyworks.operators.contracts import Contract, ContractViolation
 from tallyworks.sources.ingest import SOURCES, coerce_temporal, load_csv, load_tables
@@ -142,3 +142,47 @@ def test_write_csv_round_trip(spark, tmp_path):
     path = str(tmp_path / "metric")
     write_csv(spark.range(3), path)
     assert rows(load_csv(spark, path)) == [(0,), (1,), (2,)]
+
+
+def test_landing_parses_the_text_once_by_many_tasks(spark, tmp_path):
+    path = tmp_path / "events.csv"
+    path.write_text("event_id,code,note\n" + "".join(f'{i},00{i % 7},"a ""b"", {i}"\n' for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64KB")
+    try:
+        df = load_csv(spark, str(path), landing=str(tmp_path / "text"))
+        parts = [f for f in (tmp_path / "text").iterdir() if f.name.endswith(".parquet")]
+        plain = load_csv(spark, str(path))
+        assert plain.rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(parts) > 3
+    # what follows reads the landed rows, not the text
+    plan = plan_text(df)
+    assert "events.csv" not in plan and "Format: Parquet" in plan
+    assert rows(df.filter("event_id < 5")) == [(i, f"00{i % 7}", f'a "b", {i}') for i in range(5)]
+    assert rows(df) == rows(plain) and df.schema == plain.schema
+    path.unlink()
+    assert df.count() == 20_000
+
+
+@pytest.mark.parametrize("landed", [False, True])
+@pytest.mark.parametrize("declared", [None, True])
+def test_line_breaks_in_quotes_are_found(spark, tmp_path, landed, declared):
+    path = tmp_path / "t.csv"
+    path.write_text('id,note\n1,"two\nlines"\n2,one\n\n3,\n')
+    df = load_csv(spark, str(path), line_breaks=declared, landing=str(tmp_path / "text") if landed else None)
+    assert rows(df) == [(1, "two\nlines"), (2, "one"), (3, None)]
+
+
+def test_undeclared_line_breaks_and_other_headers_are_errors(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('id,note\n1,"two\nlines"\n')
+    with pytest.raises(ValueError, match="open quote"):
+        load_csv(spark, str(tmp_path / "t.csv"), line_breaks=False, landing=str(tmp_path / "text"))
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,note\n1,a\n")
+    (folder / "b.csv").write_text("id,note\n2,b\n")
+    assert rows(load_csv(spark, str(folder), landing=str(tmp_path / "text2"))) == [(1, "a"), (2, "b")]
+    (folder / "c.csv").write_text("note,id\nc,3\n")
+    with pytest.raises(ValueError, match="header"):
+        load_csv(spark, str(folder), landing=str(tmp_path / "text3"))
