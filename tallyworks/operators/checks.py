@@ -1,9 +1,9 @@
 """Data-quality checks. Each one yields its failing rows as a DataFrame; empty means pass.
 
 ``run_checks`` counts failures for many checks at once. All row-level checks of a table share a single
-scan, or none at all where they were counted while the table was written (``row_counts``). All key
-checks around one key, the uniqueness of a parent's key and every child that refers to it, share one
-aggregation: the columns are stacked with a tag each and grouped once by the key.
+scan, or none at all where they were counted while the table was written (``row_counts``). All checks of
+keys of one type, the uniqueness of keys and the children that refer to them, share one aggregation: the
+columns are stacked with a tag each and grouped once by tag and key.
 """
 
 from __future__ import annotations
@@ -175,52 +175,70 @@ def _row_check_counts(tables: Tables, table: str, checks: Mapping[str, Column])
     return _as_rows(counts, [(name, table, f"c{i}") for i, name in enumerate(checks)])
 
 
-def key_domains(checks: Iterable[Check]) -> list[list[Unique | Relationships]]:
-    """Key checks that meet in a table's key, directly or by way of others, as one group each."""
-    groups: list[tuple[set, list]] = []
+_Key = tuple[str, tuple[str, ...]]
+
+
+def key_domains(checks: Iterable[Check]) -> dict[_Key, list[Unique | Relationships]]:
+    """Key checks by the key they are about: its own uniqueness, and every child that refers to it."""
+    domains: dict[_Key, list[Unique | Relationships]] = {}
     for check in checks:
         if isinstance(check, Unique):
-            roles = {(check.table, check.columns)}
+            domains.setdefault((check.table, check.columns), []).append(check)
         elif isinstance(check, Relationships):
-            roles = {(check.table, (check.column,)), (check.parent, (check.parent_column,))}
-        else:
-            continue
-        touching = [g for g in groups if g[0] & roles]
-        groups = [g for g in groups if not g[0] & roles]
-        groups.append((roles.union(*[g[0] for g in touching]), [c for g in touching for c in g[1]] + [check]))
-    return [members for _, members in groups]
+            domains.setdefault((check.parent, (check.parent_column,)), []).append(check)
+    return domains
+
+
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    """All rows, as a balanced tree of unions: a chain of many is slow to analyse."""
+    if len(frames) == 1:
+        return frames[0]
+    half = len(frames) // 2
+    return _union(frames[:half]).unionByName(_union(frames[half:]))
 
 
-def _domain_counts(tables: Tables, checks: Sequence[Unique | Relationships]) -> DataFrame:
-    """Failure counts of all checks around one key, from one aggregation by the key.
+def _domain_counts(tables: Tables, domains: Mapping[_Key, Sequence[Unique | Relationships]], first: int) -> DataFrame:
+    """Failure counts of all checks about keys of one type, from one aggregation.
 
-    Every column in its role (a unique key, a parent's key, a child's reference) is stacked with a tag
-    and counted by key and role. Counting starts on the map side, so a key with very many rows is one row
-    a task; a child's key is an orphan where the parent's count is zero.
+    Every column in its role (0: the key itself; from 1 on: a child's reference) is stacked with the number of
+    its key and its role, and counted by key and role. Counting starts on the map side, so a key with very many
+    rows is one row a task; a child's key is an orphan where role 0 has no row.
     """
-    roles: dict[tuple[str, tuple[str, ...]], int] = {}
-    for check in checks:
-        own = check.columns if isinstance(check, Unique) else (check.column,)
-        roles.setdefault((check.table, own), len(roles))
-        if isinstance(check, Relationships):
-            roles.setdefault((check.parent, (check.parent_column,)), len(roles))
-    keys = [f"_k{i}" for i in range(len(next(iter(roles))[1]))]
-    stacked = []
-    for (table, columns), tag in roles.items():
-        part = tables[table].select(*[F.col(c).alias(k) for c, k in zip(columns, keys, strict=True)], F.lit(tag).alias("_role"))
+    keys = [f"_k{i}" for i in range(len(next(iter(domains))[1]))]
+    stacked, listed = [], []
+
+    def stack(table: str, columns: Sequence[str], domain: int, role: int) -> None:
+        picked = [F.col(c).alias(k) for c, k in zip(columns, keys, strict=True)]
+        part = tables[table].select(F.lit(domain).alias("_domain"), F.lit(role).alias("_role"), *picked)
         stacked.append(part.filter(F.col(keys[0]).isNotNull()) if len(columns) == 1 else part)
-    counted = reduce(DataFrame.unionByName, stacked).groupBy(*keys)
-    by_key = counted.agg(*[F.count_if(F.col("_role") == tag).alias(f"_n{tag}") for tag in roles.values()])
-    totals, found = [], []
-    for i, check in enumerate(checks):
-        if isinstance(check, Unique):
-            failing = F.count_if(F.col(f"_n{roles[check.table, check.columns]}") > 1)
-        else:
-            child, parent = (f"_n{roles[t, (c,)]}" for t, c in ((check.table, check.column), (check.parent, check.parent_column)))
-            failing = F.coalesce(F.sum(F.when(F.col(parent) == 0, F.col(child))), F.lit(0)).cast("long")
-        totals.append(failing.alias(f"c{i}"))
-        found.append((check.name, check.table, f"c{i}"))
-    return _as_rows(by_key.agg(*totals), found)
+
+    for domain, ((table, columns), checks) in enumerate(domains.items(), first):
+        stack(table, columns, domain, 0)
+        children = [c for c in checks if isinstance(c, Relationships)]
+        for role, check in enumerate(children, 1):
+            stack(check.table, (check.column,), domain, role)
+        listed += [(domain, children.index(c) + 1 if c in children else 0, c.name, c.table) for c in checks]
+    roles = range(max(role for _, role, _, _ in listed) + 1)
+    by_key = _union(stacked).groupBy("_domain", *keys).agg(*[F.count_if(F.col("_role") == r).alias(f"_n{r}") for r in roles])
+    failing = [F.count_if(F.col("_n0") > 1)] + [F.sum(F.when(F.col("_n0") == 0, F.col(f"_n{r}"))) for r in roles[1:]]
+    found = by_key.groupBy("_domain").agg(F.array(*failing).alias("_failing"))
+    names = found.sparkSession.createDataFrame(listed, "_domain int, _role int, check string, `table` string")
+    failing_rows = F.coalesce(F.element_at("_failing", F.col("_role") + 1), F.lit(0)).cast("long")
+    # what is broadcast is one row a declared key
+    return names.join(F.broadcast(found), "_domain", "left").select("check", "table", failing_rows.alias("failing_rows"))
+
+
+def _key_check_counts(tables: Tables, checks: Sequence[Check]) -> list[DataFrame]:
+    """All key checks, in one aggregation for each type of key."""
+    by_type: dict[tuple[str, ...], dict[_Key, list]] = {}
+    for (table, columns), group in key_domains(checks).items():
+        kinds = dict(tables[table].dtypes)
+        by_type.setdefault(tuple(kinds[c] for c in columns), {})[table, columns] = group
+    out, first = [], 0
+    for domains in by_type.values():
+        out.append(_domain_counts(tables, domains, first))
+        first += len(domains)
+    return out
 
 
 def run_checks(tables: Tables, checks: Iterable[Check], counted: Mapping[str, int] | None = None) -> DataFrame:
@@ -232,7 +250,7 @@ def run_checks(tables: Tables, checks: Iterable[Check], counted: Mapping[str, in
     known = [(c.name, c.table, counted[c.name]) for c in checks if c.name in counted]
     open_checks = [c for c in checks if c.name not in counted]
     parts = [_row_check_counts(tables, table, group) for table, group in row_counts(open_checks).items()]
-    parts += [_domain_counts(tables, group) for group in key_domains(open_checks)]
+    parts += _key_check_counts(tables, open_checks)
     parts += [
         c.count(tables).select(F.lit(c.name).alias("check"), F.lit(c.table).alias("table"), "failing_rows")
         for c in open_checks
@@ -241,7 +259,7 @@ def run_checks(tables: Tables, checks: Iterable[Check], counted: Mapping[str, in
     if known:
         spark = SparkSession.active() if not parts else parts[0].sparkSession
         parts.append(spark.createDataFrame(known, "check string, `table` string, failing_rows long"))
-    results = reduce(DataFrame.unionByName, parts)
+    results = _union(parts)
     status = F.when(F.col("failing_rows") == 0, "pass").otherwise("fail")
     return results.select("check", "table", status.alias("status"), "failing_rows")
 

@@ -14,7 +14,7 @@ from tallyworks.plans import billing, events, finance, reliability, retail, stag
 from tallyworks.sources.tables import Layout, Staged, publish_table, read_table, stage_table, write_scratch_counted
 
 #: Models that are written at the same time.
-AT_ONCE = 4
+AT_ONCE = 8
 
 # Each model names what it reads; a source is written "source.table".
 _Model = tuple[Callable[..., DataFrame], tuple[str, ...]]

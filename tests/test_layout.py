@@ -84,20 +84,27 @@ def test_key_checks_of_one_key_share_an_exchange(spark):
         Relationships("other", "parent_id", "parent", "id"),
         Unique("child", ("n", "id")),
     ]
-    assert [len(g) for g in key_domains(checks)] == [3, 1]
+    assert [len(g) for g in key_domains(checks).values()] == [3, 1]
     got = run_checks(tables, checks)
     assert rows(got, "check", "failing_rows") == sorted(zip([c.name for c in checks], (1, 2, 1, 1)))
-    plan = plan_text(run_checks(tables, checks[:3]))
-    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
-    # counted per task before they are shuffled
-    assert plan.index("Exchange hashpartitioning") < plan.rindex("partial_count")
+    plan = plan_text(run_checks(tables, [*checks[:3], Unique("child", ("n",)), Unique("other", ("parent_id",))]))
+    # one exchange by tag and key, counted per task before it, and one of a row for each tag
+    assert plan.count("Exchange hashpartitioning(_domain") == 2 and plan.count("Exchange hashpartitioning") == 2
+    assert plan.index("Exchange hashpartitioning(_domain#", plan.index("Exchange hashpartitioning(_domain#") + 1) < plan.rindex("partial_count")
 
 
-def test_the_declared_keys_meet_in_few_aggregations():
-    groups = key_domains(generic_checks())
-    assert sum(len(g) for g in groups) == 67 and len(groups) == 52
-    orders = next(g for g in groups if any(c.name == "unique_stg_orders_order_id" for c in g))
-    assert len(orders) == 4
+def test_key_checks_of_empty_tables_pass(spark):
+    tables = {n: spark.createDataFrame([], "id long, name string") for n in ("parent", "child")}
+    checks = [Unique("parent", ("id",)), Unique("parent", ("name",)), Unique("child", ("id", "name")), Relationships("child", "id", "parent", "id")]
+    assert {r["failing_rows"] for r in run_checks(tables, checks).collect()} == {0} and run_checks(tables, checks).count() == 4
+
+
+def test_the_declared_keys_meet_in_few_aggregations(sources):
+    domains = key_domains(generic_checks())
+    assert sum(len(g) for g in domains.values()) == 67
+    assert len(domains["stg_orders", ("order_id",)]) == 4
+    plan = plan_text(run_checks(Warehouse(sources), [c for c in generic_checks() if c.name in {x.name for g in domains.values() for x in g}]))
+    assert plan.count("Exchange hashpartitioning(_domain") <= 2 * 6
 
 
 def test_build_lays_tables_out_and_writes_none_twice(spark, sources, tmp_path):
