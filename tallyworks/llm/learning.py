@@ -9,6 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.llm.shared import release
+from tallyworks.llm.words import chunks, text_bytes
+
 
 def labelled_sample(labels: DataFrame, label: str, rows: int, doc_id: str = "doc_id") -> DataFrame:
     """At most ``rows`` labelled documents, ``sample_id, label``, chosen by a hash of the id; the same every time.
@@ -31,6 +34,25 @@ def sample_features(docs: DataFrame, sample: DataFrame, feature: Callable[[Itera
     return sorted(((r[0], r[1], r[2], bytes(r[3])) for r in made.collect()), key=lambda r: (r[0], r[3]))
 
 
+def text_column(answer: Callable[[list[bytes | None]], pa.Array], kind: str, text: str) -> Column:
+    """A column made from whole texts by ``answer``; only it comes back from Python, a part of bounded size at a time."""
+
+    @F.arrow_udf(kind)
+    def answered(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            parts = [answer(text_bytes(part.column(0))) for part in chunks(pa.record_batch([batch], names=["text"]), "text")]
+            yield pa.concat_arrays(parts) if parts else answer([])
+            release()
+
+    return answered(F.col(text).cast("string"))
+
+
+def with_last(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with new columns behind the others; input columns of their names give way."""
+    new = {name.lower() for name in columns}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in new], *[c.alias(n) for n, c in columns.items()])
+
+
 class Adam:
     """Adam over a dict of arrays, changed in place."""
 

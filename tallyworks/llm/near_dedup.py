@@ -20,9 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallyworks.llm.shared import LAST_ID, components, scratch, ship, with_fields
+from tallyworks.llm.learning import text_column, with_last
+from tallyworks.llm.shared import LAST_ID, components, scratch, ship
 from tallyworks.llm.token_ids import filled_ids
 from tallyworks.llm.words import chunks, constants, mix, text_bytes, words_of
 from tallyworks.operators.joins import join_hot
@@ -94,15 +94,11 @@ def set_keys(values: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
 def keyed(docs: DataFrame, shingle: int, text: str = "text") -> DataFrame:
     """``docs`` with ``_set_key``, the key that ``sign`` gives to each text."""
     ship(docs.sparkSession)
-    names = docs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, text):
-                keys = set_keys(*shingle_sets(text_bytes(part.column(text)), shingle))
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(keys, pa.binary())], names=[*names, "_set_key"])
+    def key(texts: list[bytes | None]) -> pa.Array:
+        return pa.array(set_keys(*shingle_sets(texts, shingle)), pa.binary())
 
-    return docs.mapInArrow(run, with_fields(docs.schema, T.StructField("_set_key", T.BinaryType())))
+    return with_last(docs, _set_key=text_column(key, "binary", text))
 
 
 def sign(docs: DataFrame, shingle: int, coordinates: int = COORDINATES, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

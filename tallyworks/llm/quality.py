@@ -16,10 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tallyworks.llm.learning import Adam, labelled_sample, platt, sample_features, sigmoid
-from tallyworks.llm.shared import ship, with_fields
+from tallyworks.llm.learning import Adam, labelled_sample, platt, sample_features, sigmoid, text_column, with_last
+from tallyworks.llm.shared import ship
 from tallyworks.llm.words import chunks, text_bytes
 
 WIDTH = 6
@@ -204,13 +203,7 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text") -> D
     input column named ``quality_score`` gives way; all others stay. An empty table gives an empty table.
     """
     ship(docs.sparkSession)
-    schema = with_fields(docs.schema, T.StructField("quality_score", T.DoubleType()))
-    names = schema.fieldNames()
+    def score(texts: list[bytes | None]) -> pa.Array:
+        return pa.array(model.scores(texts), pa.float64())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, text):
-                made = {"quality_score": pa.array(model.scores(text_bytes(part.column(text))), pa.float64())}
-                yield pa.RecordBatch.from_arrays([made[n] if n in made else part.column(n) for n in names], names=names)
-
-    return docs.mapInArrow(run, schema)
+    return with_last(docs, quality_score=text_column(score, "double", text))

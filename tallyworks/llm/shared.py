@@ -17,11 +17,18 @@ from tallyworks.session import scratch_root
 
 #: Stands for a missing doc_id: such a row counts as the last document.
 LAST_ID = (1 << 63) - 1
+#: Rows of an Arrow batch.
+BATCH_ROWS = 2_000
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the executors' Python, once for each application, like ``--py-files``."""
+    """Give this package to the executors' Python, once for each application, like ``--py-files``.
+
+    Batches of whole texts are kept to ``BATCH_ROWS`` rows, as they are held by both sides.
+    """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -37,6 +44,13 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def release() -> None:
+    """Give memory that Arrow holds without using it back to the machine; a worker lives on from stage to stage."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; on a single machine without it, one of our own."""
     folder = scratch_root(spark)

@@ -21,7 +21,7 @@ from tallyworks.llm.words import Words, chunks, mix, text_bytes, words_of
 TABLE_BITS = 21
 _SPACED = np.uint64(0xA24BAED4963EE407)
 _RUN = 0x9FB21C651E98DF25
-_JOINED = 1000
+_JOINED = 100
 _encoders: dict[str, TokenEncoder] = {}
 
 
@@ -115,7 +115,7 @@ class TokenEncoder:
         self.ids, self.offset, self.length = _Pool(np.uint32), _Pool(np.int64), _Pool(np.int32)
 
     def _plain(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _learn(self, keys: np.ndarray, ids: list[np.ndarray] | np.ndarray, lengths: np.ndarray) -> None:
         flat = ids if isinstance(ids, np.ndarray) else np.concatenate(ids) if ids else np.zeros(0, np.uint32)
@@ -130,7 +130,7 @@ class TokenEncoder:
         return mix(words.hash + np.where(spaced, _SPACED, np.uint64(0))), None
 
     def _learn_words(self, keys: np.ndarray, words: list[bytes], hashes: np.ndarray, spaced: bool, variants: np.ndarray | None) -> None:
-        """Many words in one call: a line break between them is a pre-token of its own."""
+        """Some words in one call: a line break between them is a pre-token of its own."""
         gap = "\n " if spaced else "\n"
         for at in range(0, len(words), _JOINED):
             part = words[at : at + _JOINED]

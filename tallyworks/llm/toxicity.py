@@ -17,10 +17,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
-from tallyworks.llm.learning import Adam, best_threshold, labelled_sample, platt, sample_features, sigmoid
-from tallyworks.llm.shared import ship, with_fields
+from tallyworks.llm.learning import Adam, best_threshold, labelled_sample, platt, sample_features, sigmoid, text_column, with_last
+from tallyworks.llm.shared import ship
 from tallyworks.llm.words import chunks, text_bytes, words_of
 
 BUCKET_BITS = 22
@@ -242,16 +242,12 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", la
     columns named like the new ones give way; all others stay. An empty table gives an empty table.
     """
     ship(docs.sparkSession)
-    schema = with_fields(docs.schema, T.StructField("toxicity", T.DoubleType()), T.StructField("toxic", T.BooleanType()))
-    names = schema.fieldNames()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, text):
-                scores = model.scores(*buckets(text_bytes(part.column(text))))
-                spoken = part.column(lang).to_pylist() if lang else [None] * len(scores)
-                limits = np.array([model.limit(x) for x in spoken])
-                made = {"toxicity": pa.array(scores, pa.float64()), "toxic": pa.array(scores >= limits)}
-                yield pa.RecordBatch.from_arrays([made[n] if n in made else part.column(n) for n in names], names=names)
-
-    return docs.mapInArrow(run, schema)
+    def score(texts: list[bytes | None]) -> pa.Array:
+        return pa.array(model.scores(*buckets(texts)), pa.float64())
+
+    scored = with_last(docs, toxicity=text_column(score, "double", text))
+    limit = F.lit(model.threshold)
+    if lang and model.by_language:
+        limits = F.create_map(*[F.lit(x) for pair in sorted(model.by_language.items()) for x in pair])
+        limit = F.coalesce(limits[F.coalesce(F.col(lang).cast("string"), F.lit(""))], limit)
+    return with_last(scored, toxic=F.col("toxicity") >= limit)
