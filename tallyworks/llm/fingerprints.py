@@ -13,7 +13,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyworks.llm.shared import LAST_ID
+from tallyworks.llm.shared import LAST_ID, scratch
+from tallyworks.operators.joins import join_hot
 
 BITS = 64
 SEPARATOR = r"[\x20\x09-\x0D]+"
@@ -97,6 +98,7 @@ def near_fingerprints(prints: DataFrame, queries: DataFrame, radius: int, column
         keys = [F.struct(F.lit(i).alias("table"), F.col(name).bitwiseAND(F.lit(_signed(m))).alias("key")) for i, m in masks]
         return one.select(name, F.explode(F.array(*keys)).alias("_t")).select(name, "_t.table", "_t.key")
 
+    # a key that very many fingerprints share is split by AQE, as both sides come straight from an exchange
     pairs = posted(queries, "query").join(posted(prints, "found"), ["table", "key"])
     apart = F.col("query").bitwiseXOR(F.col("found"))
     first = F.coalesce(*[F.when(apart.bitwiseAND(F.lit(_signed(m))) == 0, F.lit(i)) for i, m in masks])
@@ -150,9 +152,23 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(whole, F.lit(1), F.char_length(whole) - half), F.substring(other, F.lit(1), half))
 
 
-def compare_with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_counts(prints: DataFrame, radius: int, every: int, doc_id: str = "doc_id", column: str = "fingerprint") -> DataFrame:
+    """``fingerprint, n_near``: how many rows have a fingerprint within ``radius`` bits, for those of the ids divisible by ``every``.
+
+    All rows are searched; equal fingerprints are counted, never paired. A row finds itself.
+    """
+    queries = prints.filter(F.col(doc_id) % every == 0).select(column)
+    found = near_fingerprints(prints, queries, radius, column)
+    sizes = prints.groupBy(F.col(column).alias("found")).agg(F.count("*").alias("_rows"))
+    return found.join(sizes, "found").groupBy(F.col("query").alias(column)).agg(F.sum("_rows").alias("n_near"))
+
+
+def compare_with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int | None = None, every: int = 50) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`` of each row.
 
+    With a ``radius`` also ``n_near``: for ids divisible by ``every`` the number of rows, its own included, whose
+    fingerprint differs in that many bits at most; null for other ids.
+
     ``edited`` says what the edit is. Null texts count as empty; a null id comes back null. With a
     single document the next one is itself. An empty table gives an empty table; other columns are left
     out, repeated rows stay.
@@ -172,9 +188,15 @@ def compare_with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         F.max(F.when(F.col("_kind") == 0, F.col("fingerprint"))).alias("_own"),
         F.max(F.when(F.col("_kind") == 1, F.col("fingerprint"))).alias("_changed"),
     )
-    known = facts.join(wide, ["_bucket", "_row"])
+    known = scratch(facts.join(wide, ["_bucket", "_row"]))
     following = known.groupBy(F.col("doc_id").alias("next_id")).agg(F.min_by("_own", "_row").alias("_next"))
     out = known.join(following, "next_id")
+    if radius is not None:
+        rows = known.select(F.nullif("doc_id", F.lit(LAST_ID)).alias("doc_id"), F.col("_own").alias("fingerprint"))
+        counts = near_counts(rows, radius, every).withColumnRenamed("fingerprint", "_query")
+        asks = F.when((F.col("doc_id") != LAST_ID) & (F.col("doc_id") % every == 0), F.col("_own"))
+        out = join_hot(out.withColumn("_query", asks), counts, "_query", "left")
+    extra = ["n_near"] if radius is not None else []
     return out.select(
         F.nullif("doc_id", F.lit(LAST_ID)).alias("doc_id"),
         "n_chars",
@@ -183,4 +205,5 @@ def compare_with_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         as_text(F.col("_changed")).alias("edited_fingerprint"),
         likeness(F.col("_own"), F.col("_changed")).alias("near_edited"),
         likeness(F.col("_own"), F.col("_next")).alias("near_next"),
+        *extra,
     )

@@ -96,7 +96,7 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyworks.llm.fingerprints import compare_with_edits
 
-    return compare_with_edits(_table(spark, sf_dir, "documents"))
+    return compare_with_edits(_table(spark, sf_dir, "documents"), radius=3, every=50)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,5 +196,52 @@ c as (select doc_id, count(*) as n, list(j) as js from r group by doc_id)
 select d.doc_id, len(w) as n_words, coalesce(c.n, 0) as n_removed,
  sha256(array_to_string(case when c.n is null then w else list_transform(list_filter(range(1, len(w) + 1), lambda j: not list_contains(c.js, j)), lambda j: w[j]) end, ' ')) as kept_sha256
 from d left join c using (doc_id)
+""",
+    "op12_conversation_trie": r"""
+with recursive bits as (select i as n, i::ubigint as c, 0 as k from range(256) as r(i)
+  union all select n, case when c & 1 = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end, k + 1 from bits where k < 8),
+crc as (select list(c order by n) as t from bits where k = 8),
+own as (select conv_id, row_number() over (partition by conv_id order by turn nulls first) as p,
+  struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) as t from conversations where conv_id is not null),
+lengths as (select conv_id, max(p) as n from own group by conv_id),
+convs as (select l.conv_id, l.conv_id - l.conv_id % 5 as base, xor(list_reduce(
+  list_transform(string_split(l.conv_id::varchar, ''), lambda x: ascii(x)::ubigint),
+  lambda a, x: xor(crc.t[((xor(a, x) & 255) + 1)::bigint], a >> 8), 4294967295::ubigint), 4294967295::ubigint)::bigint % 9 as h
+  from lengths l, crc),
+turns as (select c.conv_id, p, t from convs c join own o on o.conv_id = c.base where p <= h
+  union all select c.conv_id, least(h, coalesce(b.n, 0)) + p - h, t from convs c join own o on o.conv_id = c.conv_id left join lengths b on b.conv_id = c.base where p > h),
+seq as (select c.conv_id, coalesce(list(t order by p) filter (p is not null), []) as s from convs c left join turns using (conv_id) group by c.conv_id),
+steps as (select conv_id, d, s[1:d] as prefix, d = len(s) as ends from seq, unnest(range(0, len(s) + 1)) as u(d)),
+nodes as (select prefix, any_value(d) as depth, min(conv_id) as conv_id, count(*) as n_convs,
+  coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '') as ended from steps group by prefix),
+kids as (select prefix[1:depth - 1] as prefix, count(*) as n_children from nodes where depth > 0 group by 1),
+valued as (select n.*, coalesce(n_children, 0) as n_children,
+  case when depth > 0 then (n_convs - 1) * octet_length(encode(n.prefix[depth].x)) else 0 end as saved from nodes n left join kids k on k.prefix = n.prefix),
+sums as (select v.prefix[1:d] as prefix, sum(saved)::bigint as saved_tokens, count(*) filter (n_children = 0) as n_leaves
+  from valued v, unnest(range(0, depth + 1)) as u(d) group by 1)
+select v.conv_id, depth, above.conv_id as parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, sha256(v.ended) as ends_sha256
+from valued v join sums s on s.prefix = v.prefix left join (select prefix as up, conv_id from nodes) above on v.depth > 0 and above.up = v.prefix[1:v.depth - 1]
+""",
+    "op13_importance_resampling": r"""
+with recursive bits as (select i as n, i::ubigint as c, 0 as k from range(256) as r(i)
+  union all select n, case when c & 1 = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end, k + 1 from bits where k < 8),
+crc as (select list(c order by n) as t from bits where k = 8),
+texts as (select 0 as side, doc_id as id, text from documents union all select 1, item_id, text from benchmark),
+w as (select side, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from texts),
+f as (select side, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) as g from w),
+known as (select g, hex(encode(g)) as x from (select distinct g from f)),
+b as (select g, (xor(list_reduce(list_transform(range(0, length(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::ubigint),
+  lambda a, y: xor(crc.t[((xor(a, y) & 255) + 1)::bigint], a >> 8), 4294967295::ubigint), 4294967295::ubigint) % 10000)::bigint as b from known, crc),
+fb as (select side, id, b from f join b using (g)),
+n as (select b, count(*) filter (side = 0) as s, count(*) filter (side = 1) as t from fb group by b),
+total as (select sum(s)::double as ss, sum(t)::double as tt from n),
+gain as (select b, floor(1000 * ln((t + 1.0::double) * (ss + 10000) / ((s + 1.0::double) * (tt + 10000))))::bigint as g from n, total),
+weights as (select id, count(*) as n_features, sum(g) as g from fb join gain using (b) where side = 0 group by id),
+scored as (select w.id as doc_id, len(w.w) as n_words, coalesce(n_features, 0) as n_features, coalesce(floor(g::double / n_features), 0)::bigint as weight
+  from w left join weights on weights.id = w.id where side = 0),
+drawn as (select *, weight + floor(-1000 * ln(-ln((('0x' || sha256('7:' || doc_id)[1:8])::ubigint::double + 0.5) / 4294967296)))::bigint as score from scored),
+ranked as (select *, row_number() over (partition by n_words >= 20 order by score desc, doc_id) as r, sum((n_words >= 20)::int) over () as n from drawn)
+select doc_id, n_features, weight, score, case when n_words >= 20 and r <= 25 * n // 100 then r end as rank from ranked
 """,
 }

@@ -1,16 +1,17 @@
 """Token shards compressed by Re-Pair: frequent pairs of ids become nonterminals, over and over.
 
 Documents are dealt by ascending id into ranges, each range into shards of bounded size. In a shard,
-each round counts all pairs of neighbours, gives the frequent ones a nonterminal each and replaces
-them from left to right, until no pair is frequent enough. A shard holds the rules, how many ids each
+pairs of neighbours that occur often get a nonterminal each and are replaced from left to right, the
+most frequent first, until no pair occurs twice. A shard holds the rules, how many ids each
 rule stands for, the remaining symbols, and the place in the ids of every 1,024th symbol, so that any
-span of ids is decoded from the symbols that cover it alone.
+span of ids is decoded from the symbols that cover it, and the rules these reach, alone.
 
 A shard is one binary value, so Spark's own writer commits it, and a task that runs twice leaves one
-copy. Layout, all little-endian: magic ``RPG1``; eight unsigned 64-bit numbers (documents, ids,
-rules, symbols, first nonterminal, bytes a symbol, marks, end id); document ids (signed 64); document
-starts and the end (unsigned 64); rules (pairs of unsigned 32); expansion lengths (unsigned 32);
-marks (unsigned 64); symbols (unsigned 16 or 32).
+copy. Layout, all little-endian: magic ``RPG2``; eight unsigned 64-bit numbers (documents, ids,
+rules, symbols, first nonterminal, bits a symbol, marks, end id); document ids (signed 64); document
+starts and the end (unsigned 64); marks (unsigned 64); left and right sides of the rules; expansion
+lengths (unsigned 32); symbols. Rule sides and symbols are an array of their low 16 bits (unsigned 16) and
+one packed array of bits for each further bit.
 """
 
 from __future__ import annotations
@@ -26,13 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyworks.llm.shared import LAST_ID, pieces_for, running_total, ship, text_size
-from tallyworks.llm.token_ids import encoded, filled_ids, gather
+from tallyworks.llm.token_ids import encoded, filled_ids
 
-MAGIC = b"RPG1"
+MAGIC = b"RPG2"
 MARK_EVERY = 1024
 SHARD_IDS = 1 << 20
 RANGE_BYTES = 16 << 20
-LEAST_COUNT = 64
+LEAST_COUNT = 2
 SHARD_SCHEMA = "shard long, documents long, ids long, payload binary"
 _SLOT_BITS = 20
 
@@ -54,101 +55,147 @@ class Grammar:
         return out
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """The ids behind ``symbols``. Rules only refer to earlier ones, so each is spelt out once."""
-        spelt, offsets = self._spelt()
-        return gather(spelt, offsets[symbols], self.size_of(symbols)).astype(np.uint32)
-
-    def _spelt(self) -> tuple[np.ndarray, np.ndarray]:
-        pool = np.zeros(self.first + int(self.lengths.sum()), dtype=np.uint32)
-        pool[: self.first] = np.arange(self.first)
-        offsets = np.arange(self.first + len(self.rules), dtype=np.int64)
-        offsets[self.first :] = self.first + np.cumsum(self.lengths) - self.lengths
-        at = self.first
-        for i, (a, b) in enumerate(self.rules):
-            for part in (int(a), int(b)):
-                n = 1 if part < self.first else int(self.lengths[part - self.first])
-                pool[at : at + n] = pool[offsets[part] : offsets[part] + n]
-                at += n
-        return pool, offsets
+        """The ids behind ``symbols``. Lengths tell where each side of a rule goes; only rules that are reached are opened."""
+        now = np.asarray(symbols, dtype=np.int64)
+        size = self.size_of(now)
+        at = np.cumsum(size) - size
+        out = np.empty(int(size.sum()), dtype=np.uint32)
+        while len(now):
+            rule = now >= self.first
+            out[at[~rule]] = now[~rule]
+            now, at = now[rule], at[rule]
+            left, right = self.rules[now - self.first].T
+            now, at = np.concatenate([left, right]), np.concatenate([at, at + self.size_of(left)])
+        return out
 
 
 def repair(ids: np.ndarray, first: int, end_id: int, least: int = LEAST_COUNT) -> Grammar:
     """Re-Pair over one shard. ``first`` is above every id; pairs with ``end_id`` stay, so no rule spans documents.
 
-    A round takes every pair that occurs at least an eighth as often as the most frequent one (never
-    under ``least``); pairs that share a neighbour are settled from the left. Nonterminals stay under
-    2^16 if the ids do, so that symbols keep two bytes.
+    A full round counts all pairs in hash slots, and exactly where a slot is full enough, and takes those that
+    occur at least a thirty-second as often as the fullest slot (never under ``least``); pairs that share a
+    neighbour are settled from the left. What it makes frequent are pairs with a new nonterminal, all of which
+    lie where it replaced something, so the rounds after it count there alone until nothing is left. It ends
+    with a full round that finds no pair ``least`` times, but for places that overlap (a a a).
     """
-    top = 1 << 16 if first < 1 << 16 else 1 << 32
-    now, rules, lengths = ids.astype(np.uint64 if top > 1 << 16 else np.uint32), [], []
-    shift = 16 if top == 1 << 16 else 32
-    kind = now.dtype.type
-    while len(now) > 1 and first + len(rules) < top:
-        keys = (now[:-1] << kind(shift)) | now[1:]
-        inside = (now[:-1] != end_id) & (now[1:] != end_id)
-        pairs, counts = np.unique(keys[inside], return_counts=True)
-        if not len(pairs) or counts.max() < least:
-            break
-        good = np.flatnonzero(counts >= max(least, int(counts.max()) // 8))
-        good = good[np.argsort(-counts[good], kind="stable")][: top - first - len(rules)]
-        at, slots = _lookup(keys, pairs[good])
-        at[~inside] = -1
-        chosen = _from_the_left(at)
-        used = np.bincount(at[chosen], minlength=len(slots))
-        worth = used >= 2
-        number = np.cumsum(worth) - 1
-        chosen = chosen[worth[at[chosen]]]
-        if not len(chosen):
+    now = ids.astype(np.uint32)
+    rules: list[np.ndarray] = []
+    to_the_end = False
+    while True:
+        limit, keys, places = _narrowed(*_pairs(now, None, end_id), least, to_the_end)
+        pairs, at, places = _often(keys, places, limit)
+        now, made = _rounds(now, pairs, at, places, limit, first, end_id, rules)
+        if not made and limit == least:
+            now, made = _rounds(now, *_apart(pairs, at, places), limit, first, end_id, rules)
+            if not made:
+                return _grammar(now, rules, first)
+        to_the_end = not made
+
+
+def _pairs(now: np.ndarray, places: np.ndarray | None, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pair that begins at each of the places (all, if they are not given) as one number, without those of the end."""
+    left, right = (now[:-1], now[1:]) if places is None else (now[places], now[places + 1])
+    inside = (left != end_id) & (right != end_id)
+    places = np.flatnonzero(inside) if places is None else places[inside]
+    return (left[inside].astype(np.uint64) << np.uint64(32)) | right[inside], places
+
+
+def _narrowed(keys: np.ndarray, places: np.ndarray, least: int, to_the_end: bool) -> tuple[int, np.ndarray, np.ndarray]:
+    """How often a pair must occur in this round, and the places where one may that does."""
+    if not len(keys):
+        return least, keys, places
+    slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+    full = np.bincount(slot, minlength=1 << _SLOT_BITS)
+    limit = least if to_the_end else max(least, int(full.max()) // 32)
+    some = (full >= limit)[slot]
+    return limit, keys[some], places[some]
+
+
+def _often(keys: np.ndarray, places: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that occur ``limit`` times, and which of them is at which place."""
+    pairs, at, counts = np.unique(keys, return_inverse=True, return_counts=True)
+    return _picked(pairs, at, places, counts >= limit)
+
+
+def _picked(pairs: np.ndarray, at: np.ndarray, places: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    some = good[at]
+    return pairs[good], (np.cumsum(good) - 1)[at[some]], places[some]
+
+
+def _rounds(
+    now: np.ndarray, pairs: np.ndarray, at: np.ndarray, places: np.ndarray, limit: int, first: int, end_id: int, rules: list[np.ndarray]
+) -> tuple[np.ndarray, int]:
+    """Replace ``pairs``, then what that makes frequent, until nothing is; new rules go to ``rules``."""
+    made, base = 0, first + sum(map(len, rules))
+    while len(pairs):
+        chosen = _from_the_left(places)
+        places, at = places[chosen], at[chosen]
+        pairs, at, places = _picked(pairs, at, places, np.bincount(at, minlength=len(pairs)) >= 2)
+        if not len(pairs):
             break
-        replaced = slots[worth]
-        base = first + len(rules)
-        now[chosen] = (base + number[at[chosen]]).astype(now.dtype)
-        now = np.delete(now, chosen + 1)
-        pair = np.stack([replaced >> kind(shift), replaced & kind((1 << shift) - 1)], axis=1).astype(np.int64)
-        known = np.array(lengths, dtype=np.int64)
-        size = np.ones(pair.shape, dtype=np.int64)
-        size[pair >= first] = known[pair[pair >= first] - first]
-        rules.extend(pair.tolist())
-        lengths.extend(size.sum(axis=1).tolist())
-    return Grammar(now.astype(np.uint32), np.array(rules, dtype=np.uint32).reshape(-1, 2), np.array(lengths, dtype=np.uint32), first)
-
-
-def _lookup(keys: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which of ``pairs`` each key is, or -1. Of pairs that meet in one slot the first is taken, the rest wait a round."""
-
-    def slot(of: np.ndarray) -> np.ndarray:
-        return ((of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
-
-    _, one = np.unique(slot(pairs), return_index=True)
-    pairs = pairs[np.sort(one)]
-    table = np.full(1 << _SLOT_BITS, -1, dtype=np.int32)
-    table[slot(pairs)] = np.arange(len(pairs), dtype=np.int32)
-    at = table[slot(keys)]
-    at[pairs[at] != keys] = -1
-    return at, pairs
-
-
-def _from_the_left(at: np.ndarray) -> np.ndarray:
-    """Places to replace: in each run of places that overlap their neighbours, every second one."""
-    marked = at >= 0
-    places = np.flatnonzero(marked)
+        rules.append(np.stack([pairs >> np.uint64(32), pairs & np.uint64((1 << 32) - 1)], axis=1).astype(np.int64))
+        now[places] = base + at
+        base, made = base + len(pairs), made + len(pairs)
+        stays = np.ones(len(now), dtype=bool)
+        stays[places + 1] = False
+        now = now[stays]
+        moved = places - np.arange(len(places))
+        near = np.empty(2 * len(moved), dtype=np.int64)
+        near[0::2], near[1::2] = moved - 1, moved
+        near = near[np.concatenate([[True], near[1:] > np.maximum.accumulate(near)[:-1]])]
+        near = near[(near >= 0) & (near < len(now) - 1)]
+        pairs, at, places = _often(*_pairs(now, near, end_id), limit)
+    return now, made
+
+
+def _apart(pairs: np.ndarray, at: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Only pairs of which no two share a symbol, so that none is in another's way; pairs of two symbols come first."""
+    seen: set[int] = set()
+    good = np.zeros(len(pairs), dtype=bool)
+    for i in sorted(range(len(pairs)), key=lambda i: int(pairs[i]) >> 32 == int(pairs[i]) & 0xFFFFFFFF):
+        sides = {int(pairs[i]) >> 32, int(pairs[i]) & 0xFFFFFFFF}
+        if not sides & seen:
+            seen |= sides
+            good[i] = True
+    return _picked(pairs, at, places, good)
+
+
+def _grammar(now: np.ndarray, rules: list[np.ndarray], first: int) -> Grammar:
+    """Rules in order with their lengths; a rule's sides were made before it, a batch at a time."""
+    lengths = np.ones(first + sum(map(len, rules)), dtype=np.int64)
+    at = first
+    for batch in rules:
+        lengths[at : at + len(batch)] = lengths[batch].sum(axis=1)
+        at += len(batch)
+    every = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64)
+    return Grammar(now.astype(np.int64), every, lengths[first:], first)
+
+
+def _from_the_left(places: np.ndarray) -> np.ndarray:
+    """Which places to replace: in each run of places that overlap their neighbours, every second one."""
     if not len(places):
-        return places
+        return np.zeros(0, dtype=bool)
     starts = np.ones(len(places), dtype=bool)
     starts[1:] = np.diff(places) != 1
     run = places[starts][np.cumsum(starts) - 1]
-    return places[(places - run) % 2 == 0]
+    return (places - run) % 2 == 0
+
+
+def _packed(values: np.ndarray, bits: int) -> list[bytes]:
+    parts = [(values & 0xFFFF).astype("<u2").tobytes()]
+    return parts + [np.packbits((values >> b) & 1 == 1).tobytes() for b in range(16, bits)]
 
 
 def pack_shard(ids: np.ndarray, docs: np.ndarray, offsets: np.ndarray, first: int, end_id: int) -> bytes:
     grammar = repair(ids, first, end_id)
     upto = np.concatenate([[0], np.cumsum(grammar.size_of(grammar.symbols))])
     marks = upto[:-1][::MARK_EVERY]
-    wide = 2 if first + len(grammar.rules) <= 1 << 16 else 4
-    head = np.array([len(docs), len(ids), len(grammar.rules), len(grammar.symbols), first, wide, len(marks), end_id], dtype="<u8")
-    parts = [head, docs.astype("<i8"), offsets.astype("<u8"), grammar.rules.astype("<u4"), grammar.lengths.astype("<u4")]
-    parts += [marks.astype("<u8"), grammar.symbols.astype(f"<u{wide}")]
-    return MAGIC + b"".join(p.tobytes() for p in parts)
+    bits = max(16, int(first + len(grammar.rules)).bit_length())
+    head = np.array([len(docs), len(ids), len(grammar.rules), len(grammar.symbols), first, bits, len(marks), end_id], dtype="<u8")
+    parts = [p.tobytes() for p in (head, docs.astype("<i8"), offsets.astype("<u8"), marks.astype("<u8"))]
+    for side in (0, 1):
+        parts += _packed(grammar.rules[:, side], bits)
+    return b"".join([MAGIC, *parts, grammar.lengths.astype("<u4").tobytes(), *_packed(grammar.symbols, bits)])
 
 
 class Shard:
@@ -165,11 +212,18 @@ class Shard:
             at += out.nbytes
             return out
 
-        n_docs, self.n_ids, n_rules, n_symbols, first, wide, n_marks, _ = (int(x) for x in take("<u8", 8))
+        def packed(n: int, bits: int) -> np.ndarray:
+            out = take("<u2", n).astype(np.int64)
+            for bit in range(16, bits):
+                out |= np.unpackbits(take("u1", -(-n // 8)), count=n).astype(np.int64) << bit
+            return out
+
+        n_docs, self.n_ids, n_rules, n_symbols, first, bits, n_marks, _ = (int(x) for x in take("<u8", 8))
         self.docs, self.offsets = take("<i8", n_docs), take("<u8", n_docs + 1).astype(np.int64)
-        rules, lengths = take("<u4", 2 * n_rules).reshape(-1, 2), take("<u4", n_rules)
         self.marks = take("<u8", n_marks).astype(np.int64)
-        self.grammar = Grammar(take(f"<u{wide}", n_symbols).astype(np.int64), rules, lengths.astype(np.int64), first)
+        rules = np.stack([packed(n_rules, bits), packed(n_rules, bits)], axis=1)
+        lengths = take("<u4", n_rules).astype(np.int64)
+        self.grammar = Grammar(packed(n_symbols, bits), rules, lengths, first)
 
     def all_ids(self) -> np.ndarray:
         return self.grammar.expand(self.grammar.symbols)
@@ -231,9 +285,10 @@ def write_tokens(
         if held_ids:
             yield flush()
 
-    columns = docs.select(F.coalesce(doc_id, F.lit(LAST_ID)).alias(doc_id), text)
+    # rows of one id, or none, are told apart by their texts, so that they need not meet in one range
+    columns = docs.select(F.coalesce(doc_id, F.lit(LAST_ID)).alias(doc_id), text, F.xxhash64(text).alias("_order"))
     ranges = pieces_for(text_size(docs, text), RANGE_BYTES)
-    ordered = columns.repartitionByRange(ranges, doc_id).sortWithinPartitions(doc_id)
+    ordered = columns.repartitionByRange(ranges, doc_id, "_order").sortWithinPartitions(doc_id, "_order").drop("_order")
     ordered.mapInArrow(write, SHARD_SCHEMA).write.parquet(path)
 
 

@@ -42,6 +42,18 @@ def test_compare_with_edits_equals_brute_force(spark):
             assert r.near_next == 1
 
 
+@pytest.mark.parametrize("radius", [0, 3, 12])
+def test_the_search_counts_all_rows_within_the_radius(spark, radius):
+    docs = messy(spark)
+    got = compare_with_edits(docs, radius=radius, every=6).collect()
+    prints = [int(r.fingerprint, 16) for r in got]
+    for r in got:
+        if r.doc_id is None or r.doc_id % 6:
+            assert r.n_near is None
+        else:
+            assert r.n_near == sum((int(r.fingerprint, 16) ^ p).bit_count() <= radius for p in prints)
+
+
 def test_next_document_across_buckets(spark):
     ids = [-5000, -1, 0, 2047, 2048, 9_000_000, 9_000_001, 1 << 40]
     docs = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string")

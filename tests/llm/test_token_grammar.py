@@ -21,7 +21,7 @@ def test_shard_round_trip_and_random_access(first):
     offsets = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
     payload = pack_shard(ids, np.arange(60), offsets, first, 0)
     shard = Shard(payload)
-    assert len(shard.grammar.rules) and len(shard.grammar.symbols) < len(ids) / 2 and len(payload) < 4 * len(ids)
+    assert len(shard.grammar.rules) and len(shard.grammar.symbols) < len(ids) / 2 and len(payload) < 2 * len(ids)
     assert (shard.all_ids() == ids).all()
     for _ in range(100):
         start, n = int(rng.integers(0, len(ids))), int(rng.integers(0, 200))
@@ -38,6 +38,37 @@ def test_rules_replace_frequent_pairs_and_never_the_end():
     assert len(repair(np.zeros(0, np.uint32), 10, 0).symbols) == 0
 
 
+@pytest.mark.parametrize("case", range(8))
+def test_no_pair_is_left_twice(case):
+    rng = np.random.default_rng(case)
+    ids = rng.integers(0, [4, 10, 50, 3000][case % 4], 4000 if case < 4 else 60_000).astype(np.uint32)
+    if case % 2:
+        ids[2000:2900] = ids[:900]
+    grammar = repair(ids, 60_000, 0)
+    assert (grammar.expand(grammar.symbols) == ids).all()
+    assert (grammar.size_of(grammar.symbols).sum()) == len(ids) and 0 not in grammar.rules
+    left = Counter()
+    symbols, last = grammar.symbols.tolist(), -2
+    for i, pair in enumerate(zip(symbols[:-1], symbols[1:])):
+        # of places that overlap (a a a) one counts
+        if 0 in pair or (pair[0] == pair[1] and last == i - 1 and symbols[i - 1] == pair[0]):
+            continue
+        left[pair] += 1
+        last = i
+    assert max(left.values(), default=0) <= 1
+
+
+def test_many_rules_take_wide_symbols():
+    rng = np.random.default_rng(5)
+    half = rng.integers(1, 50_000, 90_000)
+    ids = np.concatenate([half, [0], rng.permutation(half.reshape(-1, 3)).ravel(), [0]]).astype(np.uint32)
+    payload = pack_shard(ids, np.arange(2), np.array([0, 90_001, 180_002]), 50257, 0)
+    shard = Shard(payload)
+    assert 50257 + len(shard.grammar.rules) > 1 << 16
+    assert (shard.all_ids() == ids).all() and (shard.span(90_500, 777) == ids[90_500:91_277]).all()
+    assert len(payload) < 4 * len(ids)  # plain ids; nothing but the halves' triples repeats here
+
+
 def test_files_give_back_every_document(spark, tmp_path):
     docs, path = messy(spark), str(tmp_path / "tokens")
     write_tokens(docs, path, PATH, shard_ids=2000)
