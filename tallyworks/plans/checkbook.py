@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+
 from tallyworks.operators.checks import (
     AcceptedRange,
     AcceptedValues,
@@ -12,8 +14,10 @@ from tallyworks.operators.checks import (
     Relationships,
     RowsExpectedEmpty,
     Unique,
+    row_counts,
 )
 from tallyworks.plans.named_checks import NAMED_CHECKS
+from tallyworks.plans.warehouse import SAME_ROWS
 
 # Keys that are both unique and required.
 KEYS: dict[str, tuple[str, ...]] = {
@@ -202,6 +206,17 @@ def generic_checks() -> list[Check]:
     return [*checks, *ACCEPTED_VALUES, *RELATIONSHIPS, *RANGES, *CEILINGS, *COMBINATIONS]
 
 
+def write_counts() -> dict[str, dict[str, Column]]:
+    """What the write of each table counts for the row checks: its own, and those of an intermediate it holds."""
+    checks = generic_checks()
+    counting = row_counts(checks)
+    for name, (mart, renamed) in SAME_ROWS.items():
+        held = {c.name for c in checks if c.table == name and getattr(c, "column", None) not in renamed.values()}
+        own = counting.get(name, {})
+        counting.setdefault(mart, {}).update({n: own.pop(n) for n in list(own) if n in held})
+    return counting
+
+
 def named_checks(tables) -> tuple[dict, list[Check]]:
     """The hand-written checks as results to count: ``(tables, checks)`` for ``run_checks``."""
     results = {name: make(tables) for name, make in NAMED_CHECKS.items()}

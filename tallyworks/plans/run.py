@@ -15,10 +15,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.operators.checks import Check, RowsExpectedEmpty, row_counts, run_checks
+from tallyworks.operators.checks import Check, RowsExpectedEmpty, run_checks
 from tallyworks.operators.contracts import age_status
 from tallyworks.operators.history import scd2_step, start_history
-from tallyworks.plans.checkbook import generic_checks
+from tallyworks.plans.checkbook import generic_checks, write_counts
 from tallyworks.plans.named_checks import NAMED_CHECKS
 from tallyworks.plans.warehouse import SAME_ROWS, STAGING, Warehouse, held_by, stage
 from tallyworks.sources.ingest import LOADED_AT, LOADED_MICROS, SOURCES, load_tables, with_load_micros
@@ -162,7 +162,7 @@ def run(warehouse: Warehouse, root: str, loaded_at: Column | datetime, warn_only
     stamp = (loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at)).cast("timestamp")
     check_staging(warehouse)
     keep_history(warehouse["raw.customers"], root, stamp)
-    built, staged = stage(warehouse, root, row_counts(generic_checks()))
+    built, staged = stage(warehouse, root, write_counts())
     counted = {name: n for table in staged.values() for name, n in table.counts.items()}
     failing = {name: found for name, found in audit(built, counted).items() if name not in warn_only}
     looked_at = set().union(*[tables for tables, _ in failing.values()])

@@ -20,7 +20,6 @@ from tallyworks.operators.checks import (
     Relationships,
     Unique,
     check_grew,
-    row_counts,
     run_checks,
     summarize,
 )
@@ -38,7 +37,7 @@ from tallyworks.plans import checkbook, events, reports
 from tallyworks.plans.faults import FAULTS, LOST, NEGATIVE_PAYMENTS, Fault, Lost
 from tallyworks.plans.governed import registry
 from tallyworks.plans.named_checks import NAMED_CHECKS
-from tallyworks.plans.warehouse import CONTRACTS, MODELS, SAME_ROWS, STAGING, Warehouse
+from tallyworks.plans.warehouse import CONTRACTS, MODELS, SAME_ROWS, Warehouse
 from tallyworks.session import rely_on_aqe, scratch_root
 from tallyworks.sources.ingest import SOURCES, coerce_temporal, stamp_loaded_at
 from tallyworks.sources.testdata import TestTables
@@ -114,10 +113,9 @@ MODEL_IDS = (
 # Models a query reads several times, in the order they build on each other.
 MONTHLY = "int_subscription_mrr_by_chain_month"
 ADJUSTMENTS = "fct_period_close_adjustments"
-# Every table is checked: raw tables and models are written once, row checks are counted by these writes, and
-# the other checks read what is written. Staging models are projections of the raw tables, not worth a copy.
-SOURCE_TABLES = tuple(f"{s}.{t}" for s, tables in SOURCES.items() for t in tables) + ("accounting_periods", "tax_rates")
-CHECKED = tuple(m for m in MODELS if m not in STAGING and m not in SAME_ROWS)
+# Every table is checked: each is written once, row checks are counted by these writes, and the other checks read
+# what is written.
+CHECKED = ("accounting_periods", "tax_rates", *[m for m in MODELS if m not in SAME_ROWS])
 SHARED_BY_QUERY: dict[str, tuple[str, ...]] = {
     "md34_mart_customer_lifetime_value": (MONTHLY,),
     "chk16_check_grew": (ADJUSTMENTS,),
@@ -431,9 +429,7 @@ def chk12_volume_anomaly(w: Warehouse) -> DataFrame:
 
 def all_results(w: Warehouse) -> DataFrame:
     """All declared and all hand-written checks."""
-    counting = row_counts(checkbook.generic_checks())
-    w.share(*SOURCE_TABLES)
-    counted = w.share(*CHECKED, counting=counting)
+    counted = w.share(*CHECKED, counting=checkbook.write_counts())
     named, rows = checkbook.named_checks(w)
     return run_checks(ChainMap(named, w), [*checkbook.generic_checks(), *rows], counted)
 
