@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.llm.learning import text_column, with_last
-from tallyworks.llm.shared import LAST_ID, components, scratch, ship
+from tallyworks.llm.shared import LAST_ID, components, release, scratch, ship
 from tallyworks.llm.token_ids import filled_ids
 from tallyworks.llm.words import chunks, constants, mix, text_bytes, words_of
 from tallyworks.operators.joins import join_hot
@@ -120,6 +120,7 @@ def sign(docs: DataFrame, shingle: int, coordinates: int = COORDINATES, text: st
                     [ids, pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(signed, pa.binary())],
                     names=["doc_id", "n_shingles", "set_key", "signature"],
                 )
+            release()
 
     return docs.select(F.col(doc_id), F.col(text)).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signature binary")
 
@@ -216,6 +217,7 @@ def _block_verifier(shingle: int, percent: int, t: int, across: bool) -> Callabl
                 if forest.root(i) != forest.root(int(j)):
                     forest.join(i, int(j))
                     links.append((int(reps[i]), int(reps[j])))
+        release()
         return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
 
     return verify

@@ -45,10 +45,17 @@ def ship(spark: SparkSession) -> None:
 
 
 def release() -> None:
-    """Give memory that Arrow holds without using it back to the machine; a worker lives on from stage to stage."""
+    """Give memory that is held but not used back to the machine: a Python worker lives on from stage to stage,
+    and what Arrow and the C library keep for it is missing to the executor beside it."""
+    import ctypes
+
     import pyarrow as pa
 
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def scratch_folder(spark: SparkSession) -> str:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyworks.llm.shared import LAST_ID, pieces_for, ship, text_size, with_fields
+from tallyworks.llm.shared import LAST_ID, pieces_for, release, ship, text_size, with_fields
 from tallyworks.llm.words import Words, text_bytes, words_of
 
 GROUP_BYTES = 4 << 20
@@ -136,6 +136,8 @@ def _poster(doc_id: str, text: str, lengths: list[int], level: int, bits: int) -
         last = level == len(lengths) - 1
         number = table.column(_GROUP)[0].as_py() if len(table) else 0
         spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+        del group
+        release()
         return pa.table(
             {
                 "bucket": pa.array([int(buckets[s]) for s, _ in spans], pa.int64()),
@@ -223,6 +225,8 @@ def _finisher(doc_id: str, text: str, lengths: list[int], schema: T.StructType,
 
             new = pc.if_else(pa.array(removed > 0), new, table.column(text).combine_chunks().cast(pa.string()))
         made = {"n_words": pa.array(group.words.counts, pa.int64()), "n_removed": pa.array(removed, pa.int64()), text: new}
+        del group
+        release()
         return pa.table({n: made.get(n, table.column(n) if n not in made else None) for n in names})
 
     return finish

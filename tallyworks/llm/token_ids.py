@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tallyworks.llm.shared import release
 from tallyworks.llm.words import Words, chunks, mix, text_bytes, words_of
 
 TABLE_BITS = 21
@@ -254,6 +255,7 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, text: str, end_id: int
                 ids = np.insert(ids, offsets[1:], np.uint32(end_id))
                 offsets = offsets + np.arange(len(offsets))
             yield part, ids, offsets
+        release()
 
 
 def binary_column(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:

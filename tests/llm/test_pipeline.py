@@ -26,7 +26,7 @@ def test_queries_are_registered():
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations", "benchmark"):
         connection.execute(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
     df = QUERIES[name](spark, SMALL)
     cursor = connection.execute(SQL[name])
