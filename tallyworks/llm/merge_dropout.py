@@ -1,20 +1,23 @@
 """SentencePiece encoding and decoding with seeded merge-dropout.
 
-A unit is a word with the space before it. Its characters are merged pair by pair, always the pair
+A unit is a word with the spaces before it. Its characters are merged pair by pair, always the pair
 whose piece has the best score, the leftmost of equals; each candidate that comes up is skipped if a
-hash of the seed, the unit, its variant, the place and the two pieces falls below the dropout rate.
-Which of a unit's variants a place in a text gets hangs on the document and the place, so one word is
-cut in different ways while every run gives the same ids. A skipped candidate is gone; a merge beside
-it makes new ones.
-
-Many units are merged at once as rows of arrays, and each unit and variant once per worker. Decoding
-puts the pieces' bytes end to end and drops the one space that encoding puts before a text. A literal
-U+2581 is written as bytes, so that it does not come back as a space: every text decodes to itself.
+hash of the seed, the document, the unit's byte place in the text, the candidate's place in the unit
+and the two pieces falls below the dropout rate. So every occurrence of a word is cut by draws of its
+own, while every run gives the same ids. A skipped candidate is gone; a merge beside it makes new ones.
+
+What the agenda offers next hangs only on the unit and on what was merged and skipped before. A worker
+keeps these states as a tree per unit: an occurrence walks down by its own draws to the ids at the end,
+and only one that leaves the known part is merged, many at once as rows of arrays, and its way is kept.
+The tree saves work and changes no result; when it is full it starts anew. Units of more than ``LONG``
+bytes are cut where no piece reaches across and merged with a heap. Decoding puts the pieces' bytes end
+to end and drops the one space that encoding puts before a text. A literal U+2581 is written as bytes,
+so that it does not come back as a space: every text decodes to itself.
 """
 
 from __future__ import annotations
 
-import re
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,20 +26,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyworks.llm.shared import LAST_ID, ship, with_fields
-from tallyworks.llm.token_ids import TokenEncoder, _Table, binary_column, filled_ids, gather
-from tallyworks.llm.words import Words, chunks, mix, text_bytes, words_of
+from tallyworks.llm.shared import LAST_ID, release, ship, with_fields
+from tallyworks.llm.token_ids import _Pool, _Table, binary_column, filled_ids, gather
+from tallyworks.llm.words import chunks, constants, mix, text_bytes
 
 DROPOUT = 0.1
-VARIANTS = 8
+#: Bytes up to which a unit's states are kept.
+LONG = 64
 TABLE_BITS = 21
 _ROWS = 20_000
 _NEVER = np.int32(2**31 - 1)
 _SPACE = "▁"
-_C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93)]
+_MASK = (1 << 64) - 1
+_SEED, _UNIT, _PLACE, _LEFT, _RIGHT = (int(x) for x in constants(5, 9))
+_POWERS = constants(LONG, 10)
 _encoders: dict[tuple, MergeEncoder] = {}
 _decoders: dict[str, Pieces] = {}
-_UNITS = re.compile(r"[ ]*[^ \t-\r]+|[ ]+|[\t-\r]")
 
 
 class Pieces:
@@ -58,7 +63,9 @@ class Pieces:
                 a, b = self.number.get(name[:cut]), self.number.get(name[cut:])
                 if a is not None and b is not None:
                     pairs[a, b] = whole
-        self.pairs = pairs
+        self.pairs, self.ranks = pairs, self.rank.tolist()
+        beside = {(ord(x) << 32) | ord(y) for name in self.number for x, y in zip(name, name[1:], strict=False)}
+        self.inner = np.array(sorted(beside), dtype=np.uint64)
         self.table = _Table(max(4, (4 * len(pairs)).bit_length()))
         keys = np.array([(a << 32) | b for a, b in pairs], dtype=np.uint64)
         self.table.add(mix(keys), np.array(list(pairs.values()), dtype=np.int32))
@@ -80,34 +87,120 @@ class Pieces:
         return found[1:]
 
 
-class MergeEncoder(TokenEncoder):
-    def __init__(self, path: str, dropout: float, seed: int, variants: int, bits: int = TABLE_BITS):
-        if not 0 <= dropout <= 1 or variants < 1:
-            raise ValueError("dropout lies between 0 and 1, and there is one variant at least")
+class MergeEncoder:
+    def __init__(self, path: str, dropout: float, seed: int, bits: int = TABLE_BITS):
+        if not 0 <= dropout <= 1:
+            raise ValueError("dropout lies between 0 and 1")
         self.pieces = Pieces(path)
-        self.dropout, self.variants, self.bits = dropout, variants, bits
-        self.seeds = [np.uint64(seed * int(c) % (1 << 64)) for c in _C]
+        self.bits, self.seed = bits, np.uint64(seed * _SEED & _MASK)
+        self.limit = int(dropout * 2.0**53)
         self._clear()
 
-    def _keys(self, words: Words, spaced: np.ndarray, salts: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        place = np.arange(len(words.hash)) - words.first[:-1][words.owner]
-        variant = self._variant(salts[words.owner] if salts is not None else np.zeros(len(place), np.uint64), place)
-        return mix(words.hash + spaced.astype(np.uint64) * _C[0] + variant * _C[1]), variant
-
-    def _variant(self, salts: np.ndarray, place: np.ndarray) -> np.ndarray:
-        return mix(salts + place.astype(np.uint64) * _C[2] + self.seeds[3]) % np.uint64(self.variants)
-
-    def _base(self, hashes: np.ndarray, spaces: np.ndarray, variants: np.ndarray) -> np.ndarray:
-        """What a unit and its variant put into every decision."""
-        return mix(hashes + spaces.astype(np.uint64) * _C[0] + variants * _C[1] + self.seeds[4])
-
-    def _skips(self, base: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        drawn = mix(base + place.astype(np.uint64) * _C[2] + a.astype(np.uint64) * _C[3] + b.astype(np.uint64) * _C[4])
-        return (drawn >> np.uint64(11)).astype(np.float64) * 2.0**-53 < self.dropout
+    def _clear(self) -> None:
+        self.roots = _Table(self.bits)
+        self.candidate, self.next, self.leaf = _Pool(np.uint64), _Pool(np.int32), _Pool(np.int32)
+        self.ids, self.offset, self.length = _Pool(np.uint32), _Pool(np.int64), _Pool(np.int32)
+        spelt = [bytes([c]) for c in range(9, 14)] + [_SPACE.encode()]
+        flat = self.pieces.byte_ids[np.frombuffer(b"".join(spelt), dtype=np.uint8)]
+        self._entries(flat, np.array([len(x) for x in spelt]))
+
+    def _entries(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Keep some sequences of ids, which lie end to end; their numbers."""
+        numbers = self.length.size + np.arange(len(lengths), dtype=np.int32)
+        self.offset.extend(self.ids.size + np.cumsum(lengths) - lengths)
+        self.length.extend(lengths)
+        self.ids.extend(ids)
+        return numbers
+
+    def _nodes(self, n: int) -> np.ndarray:
+        numbers = self.leaf.size + np.arange(n, dtype=np.int32)
+        self.candidate.extend(np.zeros(n, dtype=np.uint64))
+        self.next.extend(np.full(2 * n, -1, dtype=np.int32))
+        self.leaf.extend(np.full(n, -1, dtype=np.int32))
+        return numbers
+
+    def base(self, salts: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """What an occurrence puts into every draw."""
+        return mix(mix(salts + self.seed) + places.astype(np.uint64) * np.uint64(_UNIT))
+
+    def skips(self, base: np.ndarray, candidate: np.ndarray) -> np.ndarray:
+        return (mix(base + candidate) >> np.uint64(11)) < np.uint64(self.limit)
+
+    def encode(self, texts: list[bytes | None], salts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and where each text begins and the last ends. Null counts as empty.
+
+        ``salts`` tell documents apart: equal texts with equal salts are cut alike.
+        """
+        texts = [t or b"" for t in texts]
+        data = np.frombuffer(b"".join(t + b"\n" for t in texts), dtype=np.uint8)
+        begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)]).astype(np.int64)
+        start, end = _units(data, begins)
+        owner = np.searchsorted(begins, start, side="right") - 1
+        salts = np.zeros(len(texts), dtype=np.uint64) if salts is None else salts
+        counts = np.zeros(len(texts), dtype=np.int64)
+        parts = [np.zeros(0, dtype=np.uint32)]
+        block = 1 << (self.bits - 3)
+        for at in range(0, len(start), block):
+            if self.roots.used > (1 << self.bits) // 2 or max(self.leaf.size, self.ids.size // 2) > 1 << self.bits:
+                self._clear()
+            own = slice(at, at + block)
+            entries = self._found(data, start[own], end[own], self.base(salts[owner[own]], start[own] - begins[owner[own]]))
+            lengths = self.length.data[entries].astype(np.int64)
+            parts.append(gather(self.ids.data, self.offset.data[entries], lengths))
+            counts += np.bincount(owner[own], weights=lengths, minlength=len(texts)).astype(np.int64)
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+
+    def _found(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """The number of each unit's ids."""
+        out = np.full(len(start), -1, dtype=np.int32)
+        byte = data[start]
+        white = (byte >= 9) & (byte <= 13)
+        out[white] = byte[white] - 9
+        out[_marks(data, start)] = 5
+        for i in np.flatnonzero((out < 0) & (end - start > LONG)):
+            ids = np.array(self.one(_spelt(data[start[i] : end[i]].tobytes()), int(base[i])), dtype=np.uint32)
+            out[i] = self._entries(ids, np.array([len(ids)]))[0]
+        rows = np.flatnonzero(out < 0)
+        keys = _hashes(data, start[rows], end[rows])
+        first = True
+        while len(rows):
+            last, way = self._walk(self.roots.find(keys), base[rows])
+            known = way < 0
+            out[rows[known]] = self.leaf.data[last[known]]
+            rows, keys, last, way = rows[~known], keys[~known], last[~known], way[~known]
+            if not len(rows):
+                break
+            stops = np.where(last < 0, keys, mix(2 * last.astype(np.uint64) + way.astype(np.uint64)))
+            chosen = np.unique(stops, return_index=True)[1] if first else np.arange(len(rows))
+            first = False
+            units = [_spelt(data[s:e].tobytes()) for s, e in zip(start[rows[chosen]], end[rows[chosen]], strict=True)]
+            self._remember(keys[chosen], units, base[rows[chosen]])
+        return out
 
-    def _learn_words(self, keys: np.ndarray, words: list[bytes], hashes: np.ndarray, spaced: bool, variants: np.ndarray | None) -> None:
-        base = self._base(hashes, np.full(len(words), int(spaced)), variants)
-        units = [(_SPACE if spaced else "") + w.decode("utf-8", "replace") for w in words]
+    def _walk(self, node: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each occurrence comes to in its tree, and the way it would go on if that is not known, else -1."""
+        node = node.astype(np.int64)
+        way = np.where(node < 0, 0, -1).astype(np.int8)
+        at = np.flatnonzero(node >= 0)
+        while len(at):
+            at = at[self.leaf.data[node[at]] < 0]
+            here = node[at]
+            skip = self.skips(base[at], self.candidate.data[here])
+            then = self.next.data[2 * here + skip]
+            on = then >= 0
+            way[at[~on]] = skip[~on]
+            at = at[on]
+            node[at] = then[on]
+        return node, way
+
+    def _remember(self, keys: np.ndarray, units: list[str], base: np.ndarray) -> None:
+        """Merge units by their own draws and keep the ways they took."""
+        own, inverse = np.unique(keys, return_inverse=True)
+        root = self.roots.find(own)
+        new = root < 0
+        root[new] = self._nodes(int(new.sum()))
+        self.roots.add(own[new], root[new])
+        node = root[inverse].astype(np.int64)
         sizes = np.array([len(u) for u in units])
         order = np.argsort(sizes, kind="stable")
         at = 0
@@ -115,12 +208,26 @@ class MergeEncoder(TokenEncoder):
             longest = max(8, int(sizes[order[at]]) * 3 // 2)
             stop = min(at + max(1, _ROWS * 16 // longest), int(np.searchsorted(sizes[order], longest, side="right")))
             rows = order[at:stop]
-            ids, lengths = self._merge([units[i] for i in rows], base[rows])
-            self._learn(keys[rows], ids, lengths.astype(np.int32))
+            ids, lengths, steps = self._merge([units[i] for i in rows], base[rows])
+            for some, candidate, skip in steps:
+                here = node[rows[some]]
+                self.candidate.data[here] = candidate
+                slot = 2 * here + skip
+                fresh = np.unique(slot[self.next.data[slot] < 0])
+                made = self._nodes(len(fresh))
+                self.next.data[fresh] = made
+                node[rows[some]] = self.next.data[slot]
+            ends, pick = np.unique(node[rows], return_index=True)
+            pick = pick[self.leaf.data[ends] < 0]
+            made = self._entries(gather(ids, (np.cumsum(lengths) - lengths)[pick], lengths[pick]), lengths[pick])
+            self.leaf.data[node[rows[pick]]] = made
             at = stop
 
-    def _merge(self, units: list[str], base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all units end to end and the number of each; rows are units, columns their characters."""
+    def _merge(self, units: list[str], base: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple]]:
+        """Ids of all units end to end, the number of each, and all turns: rows, candidates, whether skipped.
+
+        Rows are units, columns their characters.
+        """
         sizes = np.array([len(u) for u in units])
         width = int(sizes.max())
         flat = "".join(units)
@@ -146,6 +253,7 @@ class MergeEncoder(TokenEncoder):
         row, left = np.nonzero(behind >= 0)
         offer[row, left] = offers(row, left, left + 1)
         rows = np.arange(len(units))
+        steps = []
         while len(rows):
             best = offer[rows].argmin(axis=1)
             going = offer[rows, best] != _NEVER
@@ -154,7 +262,9 @@ class MergeEncoder(TokenEncoder):
                 break
             right = behind[rows, best]
             a, b = symbol[rows, best], symbol[rows, right]
-            skip = self._skips(base[rows], best, a, b) if self.dropout else np.zeros(len(rows), dtype=bool)
+            candidate = _candidates(best, a, b)
+            skip = self.skips(base[rows], candidate)
+            steps.append((rows, candidate, skip))
             offer[rows[skip], best[skip]] = _NEVER
             r, j, k = rows[~skip], best[~skip], right[~skip]
             symbol[r, j] = self.pieces.merged(a[~skip], b[~skip])
@@ -173,75 +283,127 @@ class MergeEncoder(TokenEncoder):
         counts = alive.sum(axis=1)
         unknown = np.flatnonzero(chosen < 0)
         if not len(unknown):
-            return chosen.astype(np.uint32), counts
+            return chosen.astype(np.uint32), counts, steps
         raw = [chr(c).encode("utf-8", "replace") for c in letter[alive][unknown]]
         many = np.ones(len(chosen), dtype=np.int64)
         many[unknown] = [len(x) for x in raw]
         out = np.repeat(chosen, many).astype(np.int64)
         out[np.repeat(chosen < 0, many)] = self.pieces.byte_ids[np.frombuffer(b"".join(raw), dtype=np.uint8)]
         owner = np.repeat(np.arange(len(units)), counts)
-        return out.astype(np.uint32), np.bincount(owner, weights=many, minlength=len(units)).astype(np.int64)
-
-    def _run_ids(self, run: bytes, spaced: bool, tail: bool) -> np.ndarray:
-        """White space between words, where no two spaces meet: each space is a unit, all else is bytes."""
-        space = self.pieces.number[_SPACE]
-        return np.array([space if c == 32 else self.pieces.byte_ids[c] for c in run], dtype=np.uint32)
-
-    def _odd(self, texts: list[bytes], data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        mark = _SPACE.encode()
-        return np.array([i for i, t in enumerate(texts) if b"  " in t or mark in t], dtype=np.int64)
-
-    def _whole(self, texts: list[bytes], salts: np.ndarray | None) -> list[list[int]]:
-        return [self.slowly(t.decode("utf-8", "replace"), int(salts[i]) if salts is not None else 0) for i, t in enumerate(texts)]
-
-    def slowly(self, text: str, salt: int = 0) -> list[int]:
-        """One text, unit by unit; spaces in a row belong to the word behind them. ``text`` has its space in front."""
+        return out.astype(np.uint32), np.bincount(owner, weights=many, minlength=len(units)).astype(np.int64), steps
+
+    def one(self, unit: str, base: int) -> list[int]:
+        """A long unit, part by part: between two letters that stand together in no piece nothing merges."""
+        codes = np.frombuffer(unit.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+        together = np.isin(codes[:-1] << np.uint64(32) | codes[1:], self.pieces.inner)
+        cuts = [0, *(np.flatnonzero(~together) + 1).tolist(), len(unit)]
+        return [i for a, b in zip(cuts, cuts[1:], strict=False) for i in self._agenda(unit[a:b], a, base)]
+
+    def _agenda(self, part: str, at: int, base: int) -> list[int]:
+        """The agenda as a heap; ``at`` is the part's place in its unit. A stale offer names pieces that are gone."""
+        pieces, pairs, ranks = self.pieces, self.pieces.pairs, self.pieces.ranks
+        symbol = [pieces.number.get(c, -1) for c in part]
+        n = len(symbol)
+        behind, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = []
+        for i in range(n - 1):
+            whole = pairs.get((symbol[i], symbol[i + 1]))
+            if whole is not None:
+                heap.append((ranks[whole], i, symbol[i], symbol[i + 1]))
+        heapq.heapify(heap)
+        while heap:
+            _, i, a, b = heapq.heappop(heap)
+            k = behind[i]
+            if symbol[i] != a or k >= n or symbol[k] != b:
+                continue
+            drawn = _mixed(base + (at + i) * _PLACE + a * _LEFT + b * _RIGHT)
+            if drawn >> 11 < self.limit:
+                continue
+            symbol[i], symbol[k] = pairs[a, b], None
+            then = behind[i] = behind[k]
+            if then < n:
+                before[then] = i
+                whole = pairs.get((symbol[i], symbol[then]))
+                if whole is not None:
+                    heapq.heappush(heap, (ranks[whole], i, symbol[i], symbol[then]))
+            prior = before[i]
+            if prior >= 0:
+                whole = pairs.get((symbol[prior], symbol[i]))
+                if whole is not None:
+                    heapq.heappush(heap, (ranks[whole], prior, symbol[prior], symbol[i]))
         out: list[int] = []
-        place = 0
-        for unit in _UNITS.findall(text):
-            if unit[0] in "\t\n\v\f\r":
-                out.append(int(self.pieces.byte_ids[ord(unit)]))
+        for s, c in zip(symbol, part, strict=True):
+            if s is None:
                 continue
-            word = unit.lstrip(" ")
-            spaces = len(unit) - len(word)
-            variant = self._variant(np.array([salt], np.uint64), np.array([place]))
-            hashed = words_of([word.encode("utf-8", "replace")]).hash if word else np.zeros(1, np.uint64)
-            base = self._base(hashed, np.array([spaces]), variant)
-            for k, part in enumerate(word.split(_SPACE)):
-                if k:
-                    out += [int(self.pieces.byte_ids[b]) for b in _SPACE.encode()]
-                lead = _SPACE * spaces if k == 0 else ""
-                if lead + part:
-                    out += self.one(lead + part, base)
-            place += bool(word)
+            if s >= 0:
+                out.append(s)
+            else:
+                out += pieces.byte_ids[list(c.encode("utf-8", "replace"))].tolist()
         return out
 
-    def one(self, unit: str, base: np.ndarray) -> list[int]:
-        """The agenda for one unit, plainly."""
-        symbols = [(i, self.pieces.number.get(c, -1), c) for i, c in enumerate(unit)]
-        gone: set[tuple[int, int, int]] = set()
-        while True:
-            offers = [
-                (int(self.pieces.rank[whole]), i, whole)
-                for i, (left, right) in enumerate(zip(symbols, symbols[1:], strict=False))
-                if (whole := self.pieces.pairs.get((left[1], right[1]))) is not None and (left[0], left[1], right[1]) not in gone
-            ]
-            if not offers:
-                break
-            _, i, whole = min(offers)
-            place, a, b = symbols[i][0], symbols[i][1], symbols[i + 1][1]
-            if self.dropout and self._skips(base, np.array([place]), np.array([a]), np.array([b]))[0]:
-                gone.add((place, a, b))
-                continue
-            symbols[i : i + 2] = [(place, whole, "")]
-        return [x for _, n, c in symbols for x in ([n] if n >= 0 else [int(self.pieces.byte_ids[v]) for v in c.encode("utf-8", "replace")])]
-
 
-def merge_encoder(path: str, dropout: float = DROPOUT, seed: int = 0, variants: int = VARIANTS) -> MergeEncoder:
-    key = (path, dropout, seed, variants)
+def _candidates(place: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """What a candidate puts into its draw."""
+    return place.astype(np.uint64) * np.uint64(_PLACE) + a.astype(np.uint64) * np.uint64(_LEFT) + b.astype(np.uint64) * np.uint64(_RIGHT)
+
+
+def _mixed(value: int) -> int:
+    """``mix`` of one number, without an array."""
+    value &= _MASK
+    value = (value ^ value >> 30) * 0xBF58476D1CE4E5B9 & _MASK
+    value = (value ^ value >> 27) * 0x94D049BB133111EB & _MASK
+    return value ^ value >> 31
+
+
+def _marks(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a literal U+2581 begins at each place; behind the last text stands a line break."""
+    last = len(data) - 1
+    return (data[at] == 0xE2) & (data[np.minimum(at + 1, last)] == 0x96) & (data[np.minimum(at + 2, last)] == 0x81)
+
+
+def _units(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of all units: words with the spaces before them, spaces without a word, other white
+    space and literal U+2581 one by one. The line break behind each text is none."""
+    if not len(data):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    space = data == 32
+    alone = (data >= 9) & (data <= 13)
+    leads = np.flatnonzero(data == 0xE2)
+    leads = leads[_marks(data, leads)]
+    begin = alone.copy()
+    begin[leads] = True
+    for step in range(3):
+        alone[leads + step] = True
+    begin[0] = True
+    begin[1:] |= space[1:] & ~space[:-1] | ~space[1:] & ~alone[1:] & alone[:-1]
+    start = np.flatnonzero(begin)
+    end = np.append(start[1:], len(data))
+    real = np.ones(len(start), dtype=bool)
+    real[np.searchsorted(start, begins[1:] - 1)] = False
+    return start[real], end[real]
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of at most ``LONG`` bytes."""
+    out = (end - start).astype(np.uint64)
+    at = np.arange(len(start))
+    for j in range(LONG):
+        at = at[start[at] + j < end[at]]
+        if not len(at):
+            break
+        out[at] += (data[start[at] + j].astype(np.uint64) + np.uint64(1)) * _POWERS[j]
+    return mix(out)
+
+
+def _spelt(unit: bytes) -> str:
+    return unit.decode("utf-8", "replace").replace(" ", _SPACE)
+
+
+def merge_encoder(path: str, dropout: float = DROPOUT, seed: int = 0) -> MergeEncoder:
+    key = (path, dropout, seed)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = MergeEncoder(path, dropout, seed, variants)
+        _encoders[key] = MergeEncoder(path, dropout, seed)
     return _encoders[key]
 
 
@@ -261,7 +423,6 @@ def encode_pieces(
     model: str,
     dropout: float = DROPOUT,
     seed: int = 0,
-    variants: int = VARIANTS,
     text: str = "text",
     doc_id: str = "doc_id",
 ) -> DataFrame:
@@ -269,12 +430,12 @@ def encode_pieces(
 
     The same seed gives the same ids; without dropout they are those of the library, but for a literal
     U+2581. Null and empty texts have no pieces. A null ``doc_id`` stays null and counts as the largest
-    in the choice of variants. Repeated rows are encoded alike. Other columns are left out.
+    in the draws. Repeated rows are encoded alike. Other columns are left out.
     """
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = merge_encoder(model, dropout, seed, variants)
+        own = merge_encoder(model, dropout, seed)
         for batch in batches:
             for part in chunks(batch, text):
                 salts = mix(filled_ids(part.column(doc_id), LAST_ID).astype(np.uint64))
@@ -283,6 +444,7 @@ def encode_pieces(
                     [part.column(doc_id).cast(pa.int64()), pa.array(np.diff(offsets), pa.int64()), binary_column(ids, offsets)],
                     names=["doc_id", "n_pieces", "ids"],
                 )
+            release()
 
     return docs.select(F.col(doc_id), F.col(text)).mapInArrow(run, "doc_id long, n_pieces long, ids binary")
 
