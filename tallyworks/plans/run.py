@@ -130,7 +130,7 @@ def audit(built: Warehouse, counted: Mapping[str, int]) -> dict[str, tuple[set[s
         named[name] = make(reads)
         tables[name] = reads.names
     rows = [RowsExpectedEmpty(name, name) for name in named]
-    results = run_checks(ChainMap(named, built), [*checks, *rows], counted).filter("status = 'fail'").collect()
+    results = run_checks(ChainMap(named, built), [*checks, *rows], counted, SAME_ROWS).filter("status = 'fail'").collect()
     return {r["check"]: (tables[r["check"]], r["failing_rows"]) for r in results}
 
 
