@@ -30,15 +30,26 @@ def sample_features(docs: DataFrame, sample: DataFrame, feature: Callable[[Itera
     language = F.col(lang).cast("string") if lang else F.lit(None).cast("string")
     known = docs.select(F.col(doc_id).alias("sample_id"), language.alias("lang"), F.col(text).alias("text"))
     rows = known.join(F.broadcast(sample), "sample_id").select("sample_id", "label", "lang", "text")
-    made = rows.mapInArrow(feature, "sample_id long, label int, lang string, feature binary")
+    made = rows.mapInArrow(afresh(feature), "sample_id long, label int, lang string, feature binary")
     return sorted(((r[0], r[1], r[2], bytes(r[3])) for r in made.collect()), key=lambda r: (r[0], r[3]))
 
 
+def afresh(step: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``step``, but its worker first gives up what it kept for other steps."""
+
+    def run(batches: Iterator) -> Iterator:
+        release()
+        yield from step(batches)
+
+    return run
+
+
 def text_column(answer: Callable[[list[bytes | None]], pa.Array], kind: str, text: str) -> Column:
     """A column made from whole texts by ``answer``; only it comes back from Python, a part of bounded size at a time."""
 
     @F.arrow_udf(kind)
     def answered(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
         for batch in batches:
             parts = [answer(text_bytes(part.column(0))) for part in chunks(pa.record_batch([batch], names=["text"]), "text")]
             yield pa.concat_arrays(parts) if parts else answer([])

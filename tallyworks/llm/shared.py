@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 from functools import reduce
 from uuid import uuid4
 
@@ -20,6 +21,7 @@ LAST_ID = (1 << 63) - 1
 #: Rows of an Arrow batch.
 BATCH_ROWS = 2_000
 _shipped: set[str] = set()
+_kept: dict[tuple, object] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -44,13 +46,24 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def release() -> None:
+def kept(key: tuple, make: Callable[[], object]) -> object:
+    """What this worker keeps from task to task: one thing, made on first use, until another or another step takes its place."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def release(keep: bool = False) -> None:
     """Give memory that is held but not used back to the machine: a Python worker lives on from stage to stage,
-    and what Arrow and the C library keep for it is missing to the executor beside it."""
+    and what Arrow and the C library keep for it is missing to the executor beside it. So is what the worker
+    keeps for an earlier step, unless the caller is that step and says ``keep``."""
     import ctypes
 
     import pyarrow as pa
 
+    if not keep:
+        _kept.clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)

@@ -16,21 +16,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tallyworks.llm.shared import release
+from tallyworks.llm.shared import kept, release
 from tallyworks.llm.words import Words, chunks, mix, text_bytes, words_of
 
 TABLE_BITS = 21
 _SPACED = np.uint64(0xA24BAED4963EE407)
 _RUN = 0x9FB21C651E98DF25
 _JOINED = 100
-_encoders: dict[str, TokenEncoder] = {}
 
 
 def encoder(path: str) -> TokenEncoder:
-    """This worker's encoder; it outlives a task, and so do the words it has seen."""
-    if path not in _encoders:
-        _encoders[path] = TokenEncoder(path)
-    return _encoders[path]
+    """This worker's encoder; it outlives a task, and so do the words it has seen, until the worker goes on to another step."""
+    return kept(("ids", path), lambda: TokenEncoder(path))
 
 
 class _Table:
@@ -255,7 +252,7 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, text: str, end_id: int
                 ids = np.insert(ids, offsets[1:], np.uint32(end_id))
                 offsets = offsets + np.arange(len(offsets))
             yield part, ids, offsets
-        release()
+        release(keep=True)
 
 
 def binary_column(ids: np.ndarray, offsets: np.ndarray) -> pa.Array:

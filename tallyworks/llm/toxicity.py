@@ -202,6 +202,7 @@ def train(docs: list[np.ndarray], labels: np.ndarray, languages: list[str | None
         for name in np.unique(names):
             own = names == name
             model.by_language[str(name)] = best_threshold(scores[own], labels[kept][own], model.threshold)
+    model._tables = None  # half of what the model weighs, and made anew where texts are scored
     return model
 
 
