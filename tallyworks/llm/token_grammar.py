@@ -35,7 +35,6 @@ SHARD_IDS = 1 << 20
 RANGE_BYTES = 16 << 20
 LEAST_COUNT = 2
 SHARD_SCHEMA = "shard long, documents long, ids long, payload binary"
-_SLOT_BITS = 20
 
 
 @dataclass
@@ -72,18 +71,18 @@ class Grammar:
 def repair(ids: np.ndarray, first: int, end_id: int, least: int = LEAST_COUNT) -> Grammar:
     """Re-Pair over one shard. ``first`` is above every id; pairs with ``end_id`` stay, so no rule spans documents.
 
-    A full round counts all pairs in hash slots, and exactly where a slot is full enough, and takes those that
-    occur at least a thirty-second as often as the fullest slot (never under ``least``); pairs that share a
-    neighbour are settled from the left. What it makes frequent are pairs with a new nonterminal, all of which
-    lie where it replaced something, so the rounds after it count there alone until nothing is left. It ends
-    with a full round that finds no pair ``least`` times, but for places that overlap (a a a).
+    A full round counts all pairs and takes those that occur at least a thirty-second as often as the most frequent
+    one (never under ``least``); pairs that share a neighbour are settled from the left. What it makes frequent
+    are pairs with a new nonterminal, all of which lie where it replaced something, so the rounds after it count
+    there alone until nothing is left. It ends with a full round that finds no pair ``least`` times, but for
+    places that overlap (a a a).
     """
     now = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
     to_the_end = False
     while True:
-        limit, keys, places = _narrowed(*_pairs(now, None, end_id), least, to_the_end)
-        pairs, at, places = _often(keys, places, limit)
+        width = (first + sum(map(len, rules))).bit_length()
+        pairs, at, places, limit = _often(*_pairs(now, None, end_id, width), least, width, 0 if to_the_end else 32)
         now, made = _rounds(now, pairs, at, places, limit, first, end_id, rules)
         if not made and limit == least:
             now, made = _rounds(now, *_apart(pairs, at, places), limit, first, end_id, rules)
@@ -92,29 +91,51 @@ def repair(ids: np.ndarray, first: int, end_id: int, least: int = LEAST_COUNT) -
         to_the_end = not made
 
 
-def _pairs(now: np.ndarray, places: np.ndarray | None, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """The pair that begins at each of the places (all, if they are not given) as one number, without those of the end."""
+def _pairs(now: np.ndarray, places: np.ndarray | None, end_id: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pair that begins at each of the places (all, if they are not given) as one number, without those of the end.
+
+    Symbols have ``width`` bits.
+    """
     left, right = (now[:-1], now[1:]) if places is None else (now[places], now[places + 1])
     inside = (left != end_id) & (right != end_id)
     places = np.flatnonzero(inside) if places is None else places[inside]
-    return (left[inside].astype(np.uint64) << np.uint64(32)) | right[inside], places
-
+    return (left[inside].astype(np.uint64) << np.uint64(width)) | right[inside], places
 
-def _narrowed(keys: np.ndarray, places: np.ndarray, least: int, to_the_end: bool) -> tuple[int, np.ndarray, np.ndarray]:
-    """How often a pair must occur in this round, and the places where one may that does."""
-    if not len(keys):
-        return least, keys, places
-    slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
-    full = np.bincount(slot, minlength=1 << _SLOT_BITS)
-    limit = least if to_the_end else max(least, int(full.max()) // 32)
-    some = (full >= limit)[slot]
-    return limit, keys[some], places[some]
 
+def _often(keys: np.ndarray, places: np.ndarray, limit: int, width: int, part: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Pairs that occur ``limit`` times, which of them is at which place, and the limit.
 
-def _often(keys: np.ndarray, places: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs that occur ``limit`` times, and which of them is at which place."""
-    pairs, at, counts = np.unique(keys, return_inverse=True, return_counts=True)
-    return _picked(pairs, at, places, counts >= limit)
+    With ``part``, pairs must also occur that part as often as the most frequent one. Places ascend. Pair and place
+    are sorted as one number, as plain numbers are sorted several times as fast as indices to them.
+    """
+    if not len(keys):
+        return keys, places, places, limit
+    low = int(places[-1]).bit_length()
+    if 2 * width + low > 64:
+        pairs, at, counts = np.unique(keys, return_inverse=True, return_counts=True)
+        limit = max(limit, int(counts.max()) // part) if part else limit
+        return *_picked(_wide(pairs, width), at, places, counts >= limit), limit
+    both = np.sort((keys << np.uint64(low)) | places.astype(np.uint64))
+    starts = np.concatenate([[0], np.flatnonzero((both[1:] ^ both[:-1]) >> np.uint64(low)) + 1])
+    counts = np.diff(starts, append=len(both))
+    limit = max(limit, int(counts.max()) // part) if part else limit
+    good = counts >= limit
+    pairs, counts = both[starts[good]] >> np.uint64(low), counts[good]
+    if not len(pairs):
+        return pairs, places[:0], places[:0], limit
+    runs = np.repeat(starts[good] - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+    found = both[runs] & np.uint64((1 << low) - 1)
+    high = len(pairs).bit_length()
+    if low + high > 64:
+        order = np.argsort(found)
+        return _wide(pairs, width), np.repeat(np.arange(len(pairs)), counts)[order], found[order].astype(np.int64), limit
+    found = np.sort((found << np.uint64(high)) | np.repeat(np.arange(len(pairs), dtype=np.uint64), counts))
+    return _wide(pairs, width), (found & np.uint64((1 << high) - 1)).astype(np.int64), (found >> np.uint64(high)).astype(np.int64), limit
+
+
+def _wide(pairs: np.ndarray, width: int) -> np.ndarray:
+    """The left symbol in the high 32 bits and the right one in the low 32."""
+    return (pairs >> np.uint64(width) << np.uint64(32)) | (pairs & np.uint64((1 << width) - 1))
 
 
 def _picked(pairs: np.ndarray, at: np.ndarray, places: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -144,7 +165,8 @@ def _rounds(
         near[0::2], near[1::2] = moved - 1, moved
         near = near[np.concatenate([[True], near[1:] > np.maximum.accumulate(near)[:-1]])]
         near = near[(near >= 0) & (near < len(now) - 1)]
-        pairs, at, places = _often(*_pairs(now, near, end_id), limit)
+        width = base.bit_length()
+        pairs, at, places, _ = _often(*_pairs(now, near, end_id, width), limit, width)
     return now, made
 
 

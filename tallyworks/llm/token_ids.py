@@ -10,6 +10,7 @@ yet go to the library. Texts with white space beyond ASCII take the library's wa
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,13 @@ from tallyworks.llm.words import Words, chunks, mix, text_bytes, words_of
 TABLE_BITS = 21
 _SPACED = np.uint64(0xA24BAED4963EE407)
 _RUN = 0x9FB21C651E98DF25
-_JOINED = 100
+_JOINED = 400
+#: Words that the byte level's pattern cuts before their closing marks only, and how it spells the bytes they may have.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[.,;:!?]*").fullmatch
+_CLOSING = re.compile("(?<![.,;:!?\n])(?=[.,;:!?])").sub
+_LEVEL = np.arange(256, dtype="<u4")
+_LEVEL[0x7F:0xA1] = 289 + np.arange(0xA1 - 0x7F)
+_LEVEL[0xAD] = 323
 
 
 def encoder(path: str) -> TokenEncoder:
@@ -100,8 +107,17 @@ def gather(pool: np.ndarray, offset: np.ndarray, length: np.ndarray) -> np.ndarr
 class TokenEncoder:
     def __init__(self, path: str, bits: int = TABLE_BITS):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        level, added = self.tokenizer.pre_tokenizer, self.tokenizer.get_added_tokens_decoder().values()
+        sure = isinstance(level, ByteLevel) and level.use_regex and not level.add_prefix_space and self.tokenizer.normalizer is None
+        #: The same model without cutting, for words that are cut here; none where the tokenizer might cut or change them otherwise.
+        self.letters = Tokenizer(self.tokenizer.model) if sure and not any(_LETTERS("a" + t.content.strip().lstrip(".,;:!?")) for t in added) else None
+        vocabulary = self.tokenizer.get_vocab()
+        #: How many bytes each id stands for.
+        self.spans = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        self.spans[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.newline = self._plain("\n")
         if len(self.newline) != 1:
             raise ValueError("the tokenizer has no id of its own for a line break")
@@ -128,15 +144,34 @@ class TokenEncoder:
         return mix(words.hash + np.where(spaced, _SPACED, np.uint64(0))), None
 
     def _learn_words(self, keys: np.ndarray, words: list[bytes], hashes: np.ndarray, spaced: bool, variants: np.ndarray | None) -> None:
-        """Some words in one call: a line break between them is a pre-token of its own."""
+        """Some words in one call: those of letters cut here, in others a line break between them is a pre-token of its own."""
+        if not words:
+            return
+        texts = b"\n".join(words).decode("utf-8", "replace").split("\n")
+        plain = np.array([bool(self.letters and _LETTERS(t)) for t in texts])
+        for chosen, encode in ((plain, self._lettered), (~plain, self._broken)):
+            at = np.flatnonzero(chosen)
+            made = [encode([texts[i] for i in at[k : k + _JOINED]], spaced) for k in range(0, len(at), _JOINED)]
+            if made:
+                self._learn(keys[at], [ids for ids, _ in made], np.concatenate([lengths for _, lengths in made]).astype(np.int32))
+
+    def _lettered(self, words: list[str], spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that are cut here, and how many each has; bytes are spelt as the byte level does."""
+        gap, data = "\n\u0120" if spaced else "\n", np.frombuffer("\n".join(words).encode(), dtype=np.uint8)
+        ends = np.append(np.flatnonzero(data == 10), len(data)) - np.arange(len(words)) + spaced * np.arange(1, len(words) + 1)
+        spelt = gap[1:] + _LEVEL[data].tobytes().decode("utf-32-le").replace("\n", gap)
+        pieces = _CLOSING("\n", spelt).split("\n")
+        ids = np.array(self.letters.encode_batch_fast([pieces], is_pretokenized=True, add_special_tokens=False)[0].ids, dtype=np.uint32)
+        upto = np.cumsum(self.spans[ids])
+        if not len(ids) or upto[-1] != ends[-1]:  # the model has no id for some byte
+            return self._broken(words, spaced)
+        return ids, np.diff(np.searchsorted(upto, ends) + 1, prepend=0)
+
+    def _broken(self, words: list[str], spaced: bool) -> tuple[np.ndarray, np.ndarray]:
         gap = "\n " if spaced else "\n"
-        for at in range(0, len(words), _JOINED):
-            part = words[at : at + _JOINED]
-            text = (" " if spaced else "") + gap.join(w.decode("utf-8", "replace") for w in part)
-            ids = np.array(self._plain(text), dtype=np.uint32)
-            breaks = np.flatnonzero(ids == self.newline[0])
-            lengths = np.diff(np.concatenate([[-1], breaks, [len(ids)]])) - 1
-            self._learn(keys[at : at + _JOINED], np.delete(ids, breaks), lengths.astype(np.int32))
+        ids = np.array(self._plain(gap[1:] + gap.join(words)), dtype=np.uint32)
+        breaks = np.flatnonzero(ids == self.newline[0])
+        return np.delete(ids, breaks), np.diff(np.concatenate([[-1], breaks, [len(ids)]])) - 1
 
     def _run_key(self, run: bytes, spaced: bool, tail: bool) -> int:
         """The key of a white-space run before a word or at a text's end; its ids are learned on first sight."""
@@ -181,7 +216,8 @@ class TokenEncoder:
                 listed = [raw[s:e] for s, e in zip(words.start[place[chosen]], words.end[place[chosen]], strict=True)]
                 own = place[chosen]
                 self._learn_words(unseen[chosen], listed, words.hash[own], flag, None if variants is None else variants[own])
-            found = self.table.find(keys)
+            missing = np.flatnonzero(found < 0)
+            found[missing] = self.table.find(keys[missing])
         extra = np.flatnonzero(gap - spaced > 0)
         runs = np.array(
             [self._run_key(data[before[i] : words.start[i] - spaced[i]].tobytes(), bool(spaced[i]), False) for i in extra]

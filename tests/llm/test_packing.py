@@ -108,3 +108,19 @@ def test_empty_table_and_bad_lengths(spark):
     assert document_pieces(empty(spark), PATH).columns == ["doc_id", "piece", "start", "length", "ids"]
     with pytest.raises(ValueError, match="more than 4"):
         pack(spark.createDataFrame([(1, 0, 5)], "doc_id long, piece int, length long"), limit=4)
+
+
+def test_words_of_letters_are_cut_here_with_the_ids_of_the_library(monkeypatch):
+    own, library = TokenEncoder(PATH, bits=12), Tokenizer.from_file(PATH)
+    rng = random.Random(3)
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha() and c not in (0xAA, 0xB5, 0xBA)]
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 9))) + "".join(rng.choices(".,;:!?", k=rng.randint(0, 3))) for _ in range(900)]
+    text = " ".join(words[:600]) + "\n" + "\n".join(words[600:])
+    own.encode([b"\n \n"])
+    monkeypatch.setattr(own, "_broken", lambda *a: pytest.fail("not cut here"))
+    ids, _ = own.encode([text.encode()])
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    monkeypatch.undo()
+    odd = text + " don't it's x1 1x ( a.b .a a., 'Ǆ ª × a× � 中文. é <|endoftext|> a<|endoftext|>."
+    ids, _ = own.encode([odd.encode()])
+    assert ids.tolist() == library.encode(odd, add_special_tokens=False).ids

@@ -7,6 +7,7 @@ import pytest
 from messy import empty, messy, messy_rows
 from tokenizers import Tokenizer
 
+from tallyworks.llm import token_grammar
 from tallyworks.llm.token_grammar import Shard, pack_shard, read_shards, read_tokens, repair, write_tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -89,3 +90,24 @@ def test_empty_table(spark, tmp_path):
     assert read_tokens(spark, path).count() == 0
     with pytest.raises(ValueError, match="not a token shard"):
         Shard(random.randbytes(100) + b"x")
+
+
+@pytest.mark.parametrize("first", [50_257, 1 << 27])
+def test_pairs_are_sorted_as_plain_numbers_where_they_fit(first, monkeypatch):
+    rng = np.random.default_rng(first)
+    ids = rng.integers(1, 300, 30_000).astype(np.uint32)
+    ids[::100] = 0
+    wanted = Counter(zip(ids[:-1].tolist(), ids[1:].tolist(), strict=True))
+    if first < 1 << 20:
+        for name in ("unique", "argsort"):
+            monkeypatch.setattr(token_grammar.np, name, lambda *a, **k: pytest.fail("sorted by an index"))
+    grammar = repair(ids, first, 0)
+    assert (grammar.expand(grammar.symbols) == ids).all()
+    monkeypatch.undo()
+    width = first.bit_length()
+    pairs, at, places, limit = token_grammar._often(*token_grammar._pairs(ids, None, 0, width), 2, width, 32)
+    inside = {p: n for p, n in wanted.items() if 0 not in p}
+    assert limit == max(2, max(inside.values()) // 32)
+    got = {(int(p) >> 32, int(p) & 0xFFFFFFFF): int(n) for p, n in zip(pairs, np.bincount(at), strict=True)}
+    assert got == {p: n for p, n in inside.items() if n >= limit} and (np.diff(places) > 0).all()
+    assert all((int(ids[p]), int(ids[p + 1])) in got for p in places[:50])
