@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from uuid import uuid4
 
 import numpy as np
@@ -53,18 +54,23 @@ class Grammar:
         out[rule] = self.lengths[symbols[rule] - self.first]
         return out
 
+    @cached_property
+    def left_sizes(self) -> np.ndarray:
+        """How many ids the left side of each rule stands for."""
+        return self.size_of(self.rules[:, 0])
+
     def expand(self, symbols: np.ndarray) -> np.ndarray:
         """The ids behind ``symbols``. Lengths tell where each side of a rule goes; only rules that are reached are opened."""
-        now = np.asarray(symbols, dtype=np.int64)
+        now = np.asarray(symbols).astype(np.uint32)
         size = self.size_of(now)
         at = np.cumsum(size) - size
         out = np.empty(int(size.sum()), dtype=np.uint32)
         while len(now):
-            rule = now >= self.first
-            out[at[~rule]] = now[~rule]
-            now, at = now[rule], at[rule]
-            left, right = self.rules[now - self.first].T
-            now, at = np.concatenate([left, right]), np.concatenate([at, at + self.size_of(left)])
+            out[at] = now  # where a rule begins, so does its left side, which the next turn writes over it
+            opened = np.flatnonzero(now >= self.first)
+            rule, at = now[opened] - np.uint32(self.first), at[opened]
+            left, right = self.rules[rule].T
+            now, at = np.concatenate([left, right], dtype=np.uint32, casting="unsafe"), np.concatenate([at, at + self.left_sizes[rule]])
         return out
 
 
@@ -74,21 +80,26 @@ def repair(ids: np.ndarray, first: int, end_id: int, least: int = LEAST_COUNT) -
     A full round counts all pairs and takes those that occur at least a thirty-second as often as the most frequent
     one (never under ``least``); pairs that share a neighbour are settled from the left. What it makes frequent
     are pairs with a new nonterminal, all of which lie where it replaced something, so the rounds after it count
-    there alone until nothing is left. It ends with a full round that finds no pair ``least`` times, but for
-    places that overlap (a a a).
+    there alone until nothing is left. Once a full round has gone down to ``least``, pairs that occur so often are
+    those it found or have a newer nonterminal, so the full rounds after it count at the places of both, not at all.
+    It ends with a full round that finds no pair ``least`` times, but for places that overlap (a a a).
     """
     now = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
-    to_the_end = False
+    to_the_end, open_places = False, None
     while True:
         width = (first + sum(map(len, rules))).bit_length()
-        pairs, at, places, limit = _often(*_pairs(now, None, end_id, width), least, width, 0 if to_the_end else 32)
-        now, made = _rounds(now, pairs, at, places, limit, first, end_id, rules)
+        pairs, at, places, limit = _often(*_pairs(now, open_places, end_id, width), least, width, 0 if to_the_end else 32)
+        still = None
+        if limit == least:
+            still = np.zeros(len(now), dtype=bool)
+            still[places] = True
+        now, made, still = _rounds(now, pairs, at, places, limit, first, end_id, rules, still)
         if not made and limit == least:
-            now, made = _rounds(now, *_apart(pairs, at, places), limit, first, end_id, rules)
+            now, made, still = _rounds(now, *_apart(pairs, at, places), limit, first, end_id, rules, still)
             if not made:
                 return _grammar(now, rules, first)
-        to_the_end = not made
+        to_the_end, open_places = not made, None if still is None else np.flatnonzero(still[:-1])
 
 
 def _pairs(now: np.ndarray, places: np.ndarray | None, end_id: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,17 +150,28 @@ def _wide(pairs: np.ndarray, width: int) -> np.ndarray:
 
 
 def _picked(pairs: np.ndarray, at: np.ndarray, places: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    some = good[at]
+    some = np.flatnonzero(good[at])
     return pairs[good], (np.cumsum(good) - 1)[at[some]], places[some]
 
 
 def _rounds(
-    now: np.ndarray, pairs: np.ndarray, at: np.ndarray, places: np.ndarray, limit: int, first: int, end_id: int, rules: list[np.ndarray]
-) -> tuple[np.ndarray, int]:
-    """Replace ``pairs``, then what that makes frequent, until nothing is; new rules go to ``rules``."""
+    now: np.ndarray,
+    pairs: np.ndarray,
+    at: np.ndarray,
+    places: np.ndarray,
+    limit: int,
+    first: int,
+    end_id: int,
+    rules: list[np.ndarray],
+    still: np.ndarray | None,
+) -> tuple[np.ndarray, int, np.ndarray | None]:
+    """Replace ``pairs``, then what that makes frequent, until nothing is; new rules go to ``rules``.
+
+    ``still``, if given, marks places of ``now`` to count at later; those of new nonterminals join them.
+    """
     made, base = 0, first + sum(map(len, rules))
     while len(pairs):
-        chosen = _from_the_left(places)
+        chosen = np.flatnonzero(_from_the_left(places))
         places, at = places[chosen], at[chosen]
         pairs, at, places = _picked(pairs, at, places, np.bincount(at, minlength=len(pairs)) >= 2)
         if not len(pairs):
@@ -165,9 +187,12 @@ def _rounds(
         near[0::2], near[1::2] = moved - 1, moved
         near = near[np.concatenate([[True], near[1:] > np.maximum.accumulate(near)[:-1]])]
         near = near[(near >= 0) & (near < len(now) - 1)]
+        if still is not None:
+            still = still[stays]
+            still[near] = True
         width = base.bit_length()
         pairs, at, places, _ = _often(*_pairs(now, near, end_id, width), limit, width)
-    return now, made
+    return now, made, still
 
 
 def _apart(pairs: np.ndarray, at: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -124,3 +124,25 @@ def test_words_of_letters_are_cut_here_with_the_ids_of_the_library(monkeypatch):
     odd = text + " don't it's x1 1x ( a.b .a a., 'Ǆ ª × a× � 中文. é <|endoftext|> a<|endoftext|>."
     ids, _ = own.encode([odd.encode()])
     assert ids.tolist() == library.encode(odd, add_special_tokens=False).ids
+
+
+def test_words_of_letters_digits_and_marks_are_cut_here(monkeypatch):
+    own, library = TokenEncoder(PATH, bits=12), Tokenizer.from_file(PATH)
+    rng = random.Random(7)
+    signs = [chr(c) for c in range(0x21, 0x7F) if chr(c) not in "'<"] + list("éßñŁ")
+    words = ["".join(rng.choices(signs, k=rng.randint(1, 12))) for _ in range(1500)] + ["aaux###", "été.***", "16.183.68.211", "555-8981", "x" * 5000]
+    text = " ".join(words[:900]) + "\n" + "\n".join(words[900:])
+    own.encode([b"\n \n"])
+    monkeypatch.setattr(own, "_broken", lambda *a: pytest.fail("not cut here"))
+    ids, _ = own.encode([text.encode()])
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_texts_with_other_white_space_do_not_mislead_the_words_of_others():
+    own, library = TokenEncoder(PATH, bits=12), Tokenizer.from_file(PATH)
+    rng = random.Random(2)
+    texts = ["it's\n\u00a0\nso", *("\n".join("".join(rng.choices("ab'\u4e2d", k=5)) for _ in range(40)) for _ in range(5))]
+    for _ in range(2):  # the second time from the table
+        ids, offsets = own.encode([t.encode() for t in texts])
+        for i, text in enumerate(texts):
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids

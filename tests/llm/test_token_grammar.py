@@ -111,3 +111,17 @@ def test_pairs_are_sorted_as_plain_numbers_where_they_fit(first, monkeypatch):
     got = {(int(p) >> 32, int(p) & 0xFFFFFFFF): int(n) for p, n in zip(pairs, np.bincount(at), strict=True)}
     assert got == {p: n for p, n in inside.items() if n >= limit} and (np.diff(places) > 0).all()
     assert all((int(ids[p]), int(ids[p + 1])) in got for p in places[:50])
+
+
+def test_late_rounds_count_only_where_pairs_can_repeat(monkeypatch):
+    rng = np.random.default_rng(11)
+    ids = rng.integers(1, 50_000, 60_000).astype(np.uint32)
+    for start in range(10_000, 50_000, 4_000):
+        ids[start : start + 300] = ids[:300]
+    counted, often = [], token_grammar._often
+    monkeypatch.setattr(token_grammar, "_often", lambda keys, *a: counted.append(len(keys)) or often(keys, *a))
+    grammar = repair(ids, 50_257, 0)
+    assert (grammar.expand(grammar.symbols) == ids).all() and len(grammar.rules)
+    symbols = grammar.symbols.tolist()
+    assert max(Counter(zip(symbols[:-1], symbols[1:], strict=True)).values()) == 1
+    assert counted[-1] < len(symbols) / 10
