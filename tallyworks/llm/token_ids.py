@@ -243,7 +243,7 @@ class TokenEncoder:
         before[heads] = begins[words.owner[heads]]
         gap = words.start - before
         spaced = (gap > 0) & (data[np.maximum(words.start - 1, 0)] == 32) if n else np.zeros(0, dtype=bool)
-        keys, variants = self._keys(words, spaced, salts)
+        keys, _ = self._keys(words, spaced, salts)
         found = self.table.find(keys)
         odd = self._odd(texts, data, begins, sizes)
         if len(odd):  # their words are not words to the library, and would mislead those learned beside them
