@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.llm.learning import text_column, with_last
-from tallyworks.llm.shared import LAST_ID, components, release, scratch, ship
+from tallyworks.llm.shared import FILE_ROWS, LAST_ID, components, pieces_for, release, scratch, ship
 from tallyworks.llm.token_ids import filled_ids
 from tallyworks.llm.words import chunks, constants, mix, text_bytes, words_of
 from tallyworks.operators.joins import join_hot
@@ -223,21 +223,21 @@ def _block_verifier(shingle: int, percent: int, t: int, across: bool) -> Callabl
     return verify
 
 
-def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int, t: int, block_shingles: int) -> DataFrame:
+def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int, t: int, block_shingles: int, files: int) -> DataFrame:
     """Confirmed links between classes that connect what all confirmed links together would."""
-    posted = scratch(postings(classes, t))
+    posted = scratch(postings(classes, t), files)
     leads = posted.groupBy("token").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).filter("n > 1")
-    near = components(join_hot(posted, leads, "token").select(F.col("rep").alias("a"), F.col("lead").alias("b")))
+    near = components(join_hot(posted, leads, "token").select(F.col("rep").alias("a"), F.col("lead").alias("b")), most=posted.count())
     scores = posted.groupBy("rep").agg(F.max("score").alias("score"))
     members = near.select(F.col("node").alias("rep"), "component").join(classes.select("rep", "least", "n", "signature"), "rep").join(scores, "rep", "left")
     sizes = members.groupBy("component").agg(F.sum("n").alias("total"), F.max(F.struct("score", "rep")).alias("lead"))
     placed = join_hot(members, sizes, "component").withColumn("blocks", F.ceil(F.col("total") / block_shingles))
-    placed = scratch(placed.select("rep", "least", "component", "blocks", "signature", F.col("lead.rep").alias("lead")))
+    placed = scratch(placed.select("rep", "least", "component", "blocks", "signature", F.col("lead.rep").alias("lead")), files)
     of_id = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("least"), "text")
     texts = keyed(join_hot(of_id, placed.select("least").distinct(), "least", "left_semi"), shingle).withColumn("rep", F.xxhash64("_set_key"))
     one_each = Window.partitionBy("rep").orderBy(F.octet_length("text"))
     texts = texts.filter("_set_key is not null").withColumn("_turn", F.row_number().over(one_each)).filter("_turn = 1").select("rep", "text")
-    held = scratch(texts.join(placed.drop("least"), "rep"))
+    held = scratch(texts.join(placed.drop("least"), "rep"), files)
 
     small, large = held.filter("blocks = 1"), held.filter("blocks > 1")
     bins = small.groupBy().agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"] // (6 * block_shingles) + 1
@@ -252,7 +252,7 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int, percent: int, t: i
     if large.isEmpty():
         return first
 
-    labels = components(first).select(F.col("node").alias("rep"), F.col("component").alias("label"))
+    labels = components(first, most=first.count()).select(F.col("node").alias("rep"), F.col("component").alias("label"))
     named = large.join(labels, "rep", "left").withColumn("label", F.coalesce("label", "rep")).withColumn("own", F.pmod(F.xxhash64("rep"), "blocks"))
     common = named.groupBy("component", "label").agg(F.count("*").alias("k"), F.max("blocks").alias("blocks"))
     main = common.groupBy("component").agg(F.max(F.struct("k", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1")
@@ -293,10 +293,10 @@ def near_duplicates(
     if not 0 < percent <= 100:
         raise ValueError("percent lies above 0 and up to 100")
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    signed, of_class = _placed(docs, shingle, percent, coordinates, block_shingles)
+    signed, of_class, files = _placed(docs, shingle, percent, coordinates, block_shingles)
     out = join_hot(signed.select("doc_id", "n_shingles", "set_key"), of_class, "set_key", "left")
     component = F.coalesce("component", "doc_id")
-    return out.select(
+    return out.coalesce(files).select(
         F.nullif("doc_id", F.lit(LAST_ID)).alias("doc_id"),
         "n_shingles",
         F.nullif(component, F.lit(LAST_ID)).alias("component_id"),
@@ -304,21 +304,25 @@ def near_duplicates(
     )
 
 
-def _placed(docs: DataFrame, shingle: int, percent: int, coordinates: int, block_shingles: int) -> tuple[DataFrame, DataFrame]:
-    """The signed rows, and of each set its component's smallest id and whether the set is the one ``chosen`` from it."""
+def _placed(docs: DataFrame, shingle: int, percent: int, coordinates: int, block_shingles: int) -> tuple[DataFrame, DataFrame, int]:
+    """The signed rows, of each set its component's smallest id and whether the set is the one ``chosen`` from it, and how many files they are worth."""
     t = match_threshold(coordinates, percent / 100)
     signed = scratch(sign(docs, shingle, coordinates))
+    files = pieces_for(signed.count(), FILE_ROWS)
     classes = scratch(
         signed.filter("n_shingles > 0")
         .groupBy("set_key")
         .agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("n"), F.max("signature").alias("signature"))
-        .withColumn("rep", F.xxhash64("set_key"))
+        .withColumn("rep", F.xxhash64("set_key")),
+        files,
     )
-    found = components(_links(docs, classes, shingle, percent, t, block_shingles)).select(F.col("node").alias("rep"), F.col("component").alias("group"))
+    links = _links(docs, classes, shingle, percent, t, block_shingles, files)
+    found = components(links, most=links.count()).select(F.col("node").alias("rep"), F.col("component").alias("group"))
     grouped = classes.select("set_key", "rep", "least").join(found, "rep", "left").withColumn("group", F.coalesce("group", "rep"))
     tops = grouped.groupBy("group").agg(F.min(F.struct("least", "rep")).alias("top"))
     of_class = join_hot(grouped, tops, "group")
-    return signed, scratch(of_class.select("set_key", F.col("top.least").alias("component"), (F.col("rep") == F.col("top.rep")).alias("chosen")))
+    of_class = of_class.select("set_key", F.col("top.least").alias("component"), (F.col("rep") == F.col("top.rep")).alias("chosen"))
+    return signed, scratch(of_class, files), files
 
 
 def drop_near_duplicates(
@@ -334,14 +338,14 @@ def drop_near_duplicates(
     if not 0 < percent <= 100:
         raise ValueError("percent lies above 0 and up to 100")
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    signed, of_class = _placed(own, shingle, percent, coordinates, block_shingles)
+    signed, of_class, files = _placed(own, shingle, percent, coordinates, block_shingles)
     out = join_hot(signed.select("doc_id", "set_key"), of_class, "set_key", "left")
     kept = out.filter(F.col("set_key").isNull() | F.col("chosen") & (F.col("doc_id") == F.col("component")))
     counts = signed.groupBy(F.col("doc_id").alias("_kept_id")).agg(F.count("*").alias("_n"))
-    several = scratch(counts.filter("_n > 1").select("_kept_id"))
+    several = scratch(counts.filter("_n > 1").select("_kept_id"), files)
     named = docs.withColumn("_kept_id", F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)))
     single = kept.select(F.col("doc_id").alias("_kept_id")).join(several, "_kept_id", "left_anti").distinct()
-    done = named.join(single, "_kept_id", "left_semi").select(*docs.columns)
+    done = named.join(single, "_kept_id", "left_semi").select(*docs.columns).coalesce(files)
     if several.isEmpty():
         return done
 

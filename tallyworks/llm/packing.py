@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyworks.llm.shared import pieces_for, running_total, scratch, ship
+from tallyworks.llm.shared import FILE_ROWS, pieces_for, release, running_total, scratch, ship
 from tallyworks.llm.token_ids import binary_column, encoded
 
 LIMIT = 2048
@@ -222,12 +222,13 @@ def pack(pieces: DataFrame, limit: int = LIMIT, rank_rows: int = RANK_ROWS) -> D
     salted = pieces.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)))
     before = running_total(salted.groupBy("length", "_part").agg(F.count("*").alias("_n")), ["length"], "_part", "_n", "_before")
     ranked = salted.withColumn("_row", F.row_number().over(Window.partitionBy("length", "_part").orderBy("doc_id", "piece")) - 1)
-    ranked = ranked.join(before.select("length", "_part", "_before"), ["length", "_part"])
+    ranked = ranked.join(before.select("length", "_part", "_before"), ["length", "_part"]).coalesce(pieces_for(sum(histogram.values()), FILE_ROWS))
     span = np.int64(1) << np.int64(48)
     starts = lengths * span + firsts
 
     @F.pandas_udf("sequence_id long, offset long")
     def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+        release()  # the encoder that this worker may have kept
         length, rank = length.to_numpy(np.int64), rank.to_numpy(np.int64)
         at = np.searchsorted(starts, length * span + rank, side="right") - 1
         inner = rank - firsts[at]

@@ -29,7 +29,7 @@ SAMPLE_ROWS = 6_000
 LONGEST_SAMPLE = 400_000
 LEAK = 0.1
 LEAST_STEPS = 400
-_PART_BYTES = 1 << 18
+_PART_BYTES = 1 << 16
 
 
 def byte_inputs(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:

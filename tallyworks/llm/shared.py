@@ -20,6 +20,11 @@ from tallyworks.session import scratch_root
 LAST_ID = (1 << 63) - 1
 #: Rows of an Arrow batch.
 BATCH_ROWS = 2_000
+#: Bytes of an Arrow batch after which it ends, fewer rows or not.
+BATCH_BYTES = 2 << 20
+#: A file of fewer rows of documents, or of links, is not worth what it costs to make and to open.
+FILE_ROWS = 1_000
+FILE_LINKS = 20_000
 _shipped: set[str] = set()
 _kept: dict[tuple, object] = {}
 
@@ -27,8 +32,9 @@ _kept: dict[tuple, object] = {}
 def ship(spark: SparkSession) -> None:
     """Give this package to the executors' Python, once for each application, like ``--py-files``.
 
-    Batches of whole texts are kept to ``BATCH_ROWS`` rows, as they are held by both sides.
+    Batches of whole texts are kept to ``BATCH_ROWS`` rows and to ``BATCH_BYTES`` and a row, as they are held by both sides.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
@@ -79,10 +85,10 @@ def scratch_folder(spark: SparkSession) -> str:
     return folder
 
 
-def scratch(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared scratch folder and read it back."""
+def scratch(df: DataFrame, files: int | None = None) -> DataFrame:
+    """Cut the lineage: write ``df`` to the shared scratch folder, to at most ``files`` files, and read it back."""
     path = f"{scratch_folder(df.sparkSession)}/corpus/{uuid4().hex}"
-    df.write.parquet(path)
+    (df.coalesce(files) if files else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -120,16 +126,24 @@ def running_total(df: DataFrame, group: list[str], order: str, value: str, out:
     return joined.select(*df.columns, (F.col("_total_within") + F.col("_total_before")).cast("long").alias(out))
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def _stars(links: DataFrame) -> bool:
+    """Whether every node of the distinct ``links`` from ``u`` down to ``v`` has either one link down or links from above alone."""
+    ends = F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("down")), F.struct(F.col("v").alias("node"), F.lit(0).alias("down")))
+    nodes = links.select(F.explode(ends).alias("e")).groupBy("e.node").agg(F.sum("e.down").alias("down"), F.min("e.down").alias("least"))
+    return not nodes.agg(F.max((F.col("down") > 1) | (F.col("down") == 1) & (F.col("least") == 0))).first()[0]
+
+
+def components(edges: DataFrame, a: str = "a", b: str = "b", most: int | None = None) -> DataFrame:
     """Connected components of an undirected graph: ``node``, ``component`` (its smallest node).
 
-    Large-star and small-star turns until nothing changes; each turn joins edges to one minimum per
-    node, so a hub costs one row per edge and is split by AQE. Lineage is cut every turn. Nodes
-    without a link to another node are not returned.
+    Large-star and small-star turns until only stars are left; each turn joins edges to one minimum per
+    node, so a hub costs one row per edge and is split by AQE. Lineage is cut every turn, and no turn has
+    more edges than the one before: where the caller knows that there are at most ``most``, each is
+    written to as few files as that many need. Nodes without a link to another node are not returned.
     """
-    now = scratch(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
-    mark = None
-    while True:
+    files = None if most is None else pieces_for(most, FILE_LINKS)
+    now = scratch(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), files)
+    while not _stars(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = join_hot(both, least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -138,11 +152,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = join_hot(large, small_least, "u").select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")
         )
-        now = scratch(small.select("e.u", "e.v").filter("u <> v").distinct())
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
-            break
-        mark = tuple(seen)
+        now = scratch(small.select("e.u", "e.v").filter("u <> v").distinct(), files)
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 

@@ -68,8 +68,11 @@ def _bits(answers: pa.Table, level: int) -> np.ndarray:
 class _Group:
     """The windows of one group of documents, level by level."""
 
-    def __init__(self, ids: np.ndarray, texts: list[bytes | None], lengths: list[int]):
+    def __init__(self, ids: np.ndarray, texts: list[bytes | None], lengths: list[int], whole: bool = True):
+        """``whole``: the texts and the places of the words in them are kept, not only the words' hashes."""
         self.words: Words = words_of(texts)
+        if not whole:
+            self.words.data = self.words.start = self.words.end = self.words.hash[:0]
         self.doc = ids[self.words.owner]
         self.lengths = lengths
         self.alive = np.zeros(len(self.doc), dtype=bool)
@@ -126,7 +129,7 @@ def _poster(doc_id: str, text: str, lengths: list[int], level: int, bits: int) -
     """Posts a group's windows of ``level`` by bucket, once the answers to the levels before are in."""
 
     def post(table: pa.Table, answers: pa.Table | None) -> pa.Table:
-        group = _Group(_ids(table, doc_id), text_bytes(table.column(text)), lengths)
+        group = _Group(_ids(table, doc_id), text_bytes(table.column(text)), lengths, False)
         for earlier in range(level):
             group.keys(earlier)
             group.settle(_bits(answers, earlier), False)
@@ -209,7 +212,7 @@ def _finisher(doc_id: str, text: str, lengths: list[int], schema: T.StructType,
     window = lengths[-1]
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
-        group = _Group(_ids(table, doc_id), text_bytes(table.column(text)), lengths)
+        group = _Group(_ids(table, doc_id), text_bytes(table.column(text)), lengths, True)
         for level in range(len(lengths)):
             group.keys(level)
             group.settle(_bits(answers, level), level == len(lengths) - 1)

@@ -45,13 +45,16 @@ def encoder(path: str) -> TokenEncoder:
 
 
 class _Table:
-    """Open addressing over uint64 keys, all queries of a call at once."""
+    """Open addressing over uint64 keys, all queries of a call at once; it grows with its keys, up to ``most`` bits."""
 
-    def __init__(self, bits: int):
+    def __init__(self, most: int):
+        self.most, self.used = most, 0
+        self._empty(min(most, 14))
+
+    def _empty(self, bits: int) -> None:
         self.bits = bits
         self.keys = np.zeros(1 << bits, dtype=np.uint64)
         self.values = np.full(1 << bits, -1, dtype=np.int32)
-        self.used = 0
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         out = np.full(len(keys), -1, dtype=np.int32)
@@ -69,6 +72,10 @@ class _Table:
     def add(self, keys: np.ndarray, values: np.ndarray) -> None:
         """``keys`` are distinct and not in the table."""
         self.used += len(keys)
+        if self.bits < self.most and self.used > 1 << (self.bits - 1):
+            held = self.values >= 0
+            keys, values = np.concatenate([self.keys[held], keys]), np.concatenate([self.values[held], values])
+            self._empty(min(self.most, self.used.bit_length() + 1))
         slot = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
         while len(keys):
             free = np.flatnonzero(self.values[slot] < 0)

@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
-SEGMENT_BYTES = 1 << 20
+#: The tables of powers, which a worker keeps, have 16 bytes for each byte of a segment.
+SEGMENT_BYTES = 1 << 16
 
 _BASE = 0x9E3779B97F4A7C55 | 1
 _MASK = (1 << 64) - 1
@@ -131,8 +132,11 @@ def words_of(texts: list[bytes | None], lower: bool = False) -> Words:
         at = stop
     empty = np.zeros(0, dtype=np.int64)
     start = np.concatenate(starts) if starts else empty
+    starts.clear()
     end = np.concatenate(ends) if ends else empty
+    ends.clear()
     hashed = np.concatenate(hashes) if hashes else empty.astype(np.uint64)
+    hashes.clear()
     first = np.searchsorted(start, begins[: len(texts)])
     first = np.concatenate([first, [len(start)]]).astype(np.int64)
     owner = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(first))
