@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests_helpers import plan_text, rows
 
+from tallyworks.functions.columns import cents, money
 from tallyworks.operators.checks import NotNull, Relationships, RowsExpectedEmpty, Unique, count_checks, count_table, run_checks
 from tallyworks.plans import audit
 from tallyworks.plans.checkbook import generic_checks, named_checks
@@ -76,7 +77,7 @@ def test_shuffle_files_go_with_their_action(spark):
 
 
 def test_every_table_is_named_once():
-    written = {*audit.TABLES, audit.MOVEMENTS, audit.PLANS}
+    written = {*audit.TABLES, *audit.SMALL, audit.MOVEMENTS}
     assert written | set(audit.HELD) == {*MODELS, "accounting_periods", "tax_rates"}
     assert set(audit.PASSED) | set(audit.KEPT) <= written and not set(audit.PASSED) & set(audit.KEPT)
 
@@ -109,7 +110,7 @@ def test_all_checks_of_broken_tables(spark, broken):
     tables = {**{n: single[n] for n in single}, **named}
     assert got == {r["check"]: r["failing_rows"] for r in run_checks(tables, [*generic_checks(), *checks]).collect()}
     assert sum(1 for n in got.values() if n) > 8
-    assert len(written) == len(audit.TABLES) - len(audit.PASSED) + 2
+    assert len(written) == len(audit.TABLES) - len(audit.PASSED) + len(audit.SMALL) + 1
     assert not [columns for columns in written if columns & {"product_category", "order_channel", "search_query", "quantity", "is_retry"}]
 
 
@@ -120,3 +121,25 @@ def test_chains_are_followed_without_a_shuffle_of_months(spark):
     assert not [line for line in plan.split("\n") if "Exchange" in line and "activity_month" in line]
     plain = [line for line in plan_text(w[audit.MOVEMENTS]).split("\n") if "Exchange" in line and "activity_month" in line]
     assert plain
+
+
+def test_active_customers_meet_without_a_shuffle_of_periods(spark):
+    w = Warehouse(TestTables(spark, SMALL).makers())
+    w.share(*audit.SMALL)
+    met = audit.meet_customers(w)
+    keys = met.select(F.col("period_id").alias("_k0"), F.col("customer_id").alias("_k1")).groupBy("_k0", "_k1").count()
+    assert not [line for line in plan_text(keys).split("\n") if "Exchange hashpartitioning" in line and "period_id" in line]
+    assert rows(met) == rows(w[audit.CUSTOMERS])
+    assert keys.filter("count > 1").count() == 0 and keys.count() == met.count()
+
+
+def test_cents_are_those_of_money(spark):
+    import random
+
+    random.seed(5)
+    values = [0.0, -0.0, 0.005, 1.005, 2.675, -2.675, 0.1 + 0.2, 84197.04, 1e13, 1e13 + 0.01, 123456789012345.67, 9_007_199_254_740_993.0, -1.015, None]
+    values += [round(random.uniform(-1e6, 1e6), random.randint(0, 4)) for _ in range(5000)] + [random.uniform(0, 1e13) for _ in range(500)]
+    values += [k / 1000 + 0.0005 for k in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select("x", cents("x").alias("cents"), money("x").alias("money"))
+    assert df.filter(~(F.col("cents") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(18,2)").eqNullSafe(F.col("money"))).collect() == []
+    assert df.filter("cents is null").count() == 1
